@@ -14,6 +14,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from rushcart.sources.folders import stored
+
 
 def column_name(prob: float) -> str:
     """0.95 -> p95, 0.999 -> p99_9."""
@@ -23,10 +25,14 @@ def column_name(prob: float) -> str:
 def value_counts(
     df: DataFrame, group: Sequence[str], value: str, width: float, *extra: Column
 ) -> DataFrame:
-    """``group``, ``cell``, ``x``, ``n`` and any further aggregates per distinct value."""
-    return df.groupBy(
+    """``group``, ``cell``, ``x``, ``n`` and any further aggregates per distinct value.
+
+    Written once, because what follows reads it several times.
+    """
+    counts = df.groupBy(
         *group, F.rint(F.col(value) / width).alias("cell"), F.col(value).alias("x")
     ).agg(F.count("*").alias("n"), *extra)
+    return stored(counts, "value-counts")
 
 
 def exact_quantiles(counts: DataFrame, group: Sequence[str], probs: Sequence[float]) -> DataFrame:

@@ -3,7 +3,8 @@
 A window partitioned by such a key would put all of its rows into one task.
 Here a key above ``rows`` rows is cut into slices of its own time span, windows
 run inside a slice, and what crosses a slice border is carried over on a small
-table with one row per slice. Other keys stay whole and pay no second shuffle.
+table with one row per slice. Other keys stay whole, and where no key is that
+large the plan is a plain window.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rushcart.functions.spans import micros
+from rushcart.sources.folders import stored
 
 #: Keys with more rows than this are cut into slices of about this many rows.
 HOT_ROWS = 1_000_000
@@ -22,13 +24,16 @@ HOT_ROWS = 1_000_000
 HOT_KEYS = 100_000
 
 
-def split_hot(df: DataFrame, key: str, ts: str, rows: int = HOT_ROWS) -> DataFrame:
-    """Add ``piece``: the slice number for rows of a hot key, null for all others.
+def cut_hot_keys(
+    df: DataFrame, key: str, ts: str, rows: int = HOT_ROWS
+) -> tuple[DataFrame, bool]:
+    """Add ``piece``, the slice number for rows of a hot key and null for all others.
 
-    Rows of one key with equal ``ts`` share a piece, and pieces rise with ``ts``.
+    Also tells whether there is any hot key, which takes one pass that counts rows
+    per key. Rows of one key with equal ``ts`` share a piece; pieces rise with ``ts``.
     """
     at = micros(ts)
-    hot = (
+    hot = stored(
         df.groupBy(key)
         .agg(F.count("*").alias("_n"), F.min(at).alias("_lo"), F.max(at).alias("_hi"))
         .where(F.col("_n") > rows)
@@ -38,13 +43,17 @@ def split_hot(df: DataFrame, key: str, ts: str, rows: int = HOT_ROWS) -> DataFra
             key,
             "_lo",
             (F.floor((F.col("_hi") - F.col("_lo")) / F.ceil(F.col("_n") / rows)) + 1).alias("_width"),
-        )
+        ),
+        "hot-keys",
     )
-    return (
+    if hot.isEmpty():
+        return df.withColumn("piece", F.lit(None).cast("long")), False
+    cut = (
         df.join(F.broadcast(hot), key, "left")
         .withColumn("piece", F.floor((at - F.col("_lo")) / F.col("_width")))
         .drop("_lo", "_width")
     )
+    return cut, True
 
 
 def nearest(
@@ -54,12 +63,13 @@ def nearest(
     found: Column,
     name: str,
     *,
+    cut: bool,
     later: bool = False,
 ) -> DataFrame:
     """Add ``name``: ``found`` of the closest earlier (or later) row where it is not null.
 
-    ``df`` comes from :func:`split_hot`; ``order`` must be a total order within a
-    key wherever it matters which of two tied rows is the closer one.
+    ``df`` and ``cut`` come from :func:`cut_hot_keys`; ``order`` must be a total
+    order within a key wherever it matters which of two tied rows is the closer one.
     """
     turn = F.desc if later else F.asc
     inside = (
@@ -67,22 +77,27 @@ def nearest(
         .orderBy(*[turn(c) for c in order])
         .rowsBetween(Window.unboundedPreceding, -1)
     )
+    local = df.withColumn(name, F.last(found, ignorenulls=True).over(inside))
+    if not cut:
+        return local
     across = (
         Window.partitionBy("_key")
         .orderBy(turn("_piece"))
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    pick = F.min if later else F.max
-    edge = pick(F.when(found.isNotNull(), F.struct(*order, found.alias("_found"))))
-    carried = (
+    # The last (first) hit of every slice, handed on to the slices after (before) it.
+    edge = (F.min if later else F.max)(
+        F.when(found.isNotNull(), F.struct(*order, found.alias("_found")))
+    )
+    carried = stored(
         df.where(F.col("piece").isNotNull())
         .groupBy(F.col(key).alias("_key"), F.col("piece").alias("_piece"))
         .agg(edge.alias("_edge"))
-        .select("_key", "_piece", F.last("_edge", ignorenulls=True).over(across)["_found"].alias("_carried"))
+        .select("_key", "_piece", F.last("_edge", ignorenulls=True).over(across)["_found"].alias("_carried")),
+        "carried",
     )
     return (
-        df.withColumn(name, F.last(found, ignorenulls=True).over(inside))
-        .join(carried, (F.col(key) == F.col("_key")) & (F.col("piece") == F.col("_piece")), "left")
+        local.join(carried, (F.col(key) == F.col("_key")) & (F.col("piece") == F.col("_piece")), "left")
         .withColumn(name, F.coalesce(name, "_carried"))
         .drop("_key", "_piece", "_carried")
     )

@@ -11,7 +11,7 @@ from datetime import timedelta
 from pyspark.sql import DataFrame, Window, functions as F
 
 from rushcart.functions.money import ratio
-from rushcart.functions.skew import HOT_ROWS, nearest, split_hot
+from rushcart.functions.skew import HOT_ROWS, cut_hot_keys, nearest
 from rushcart.functions.spans import MICROSECOND, micros, window_start
 
 
@@ -63,8 +63,9 @@ def coverage_curve(df: DataFrame, key: str) -> DataFrame:
 
 def reuse_gaps(df: DataFrame, key: str, *, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Per access, the microseconds since the key was last used; null for the first use."""
-    rows = split_hot(df.where(F.col(key).isNotNull()).select(key, "ts"), key, "ts", hot_rows)
-    seen = nearest(rows, key, ["ts"], F.col("ts"), "_before")
+    known = df.where(F.col(key).isNotNull()).select(key, "ts")
+    rows, cut = cut_hot_keys(known, key, "ts", hot_rows)
+    seen = nearest(rows, key, ["ts"], F.col("ts"), "_before", cut=cut)
     return seen.select(key, "ts", (micros("ts") - micros("_before")).alias("gap_us"))
 
 

@@ -7,7 +7,7 @@ from datetime import timedelta
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from rushcart.functions.skew import HOT_ROWS, nearest, split_hot
+from rushcart.functions.skew import HOT_ROWS, cut_hot_keys, nearest
 from rushcart.functions.spans import text
 
 ORDER = ("ts", "event_id")
@@ -26,16 +26,17 @@ def funnel(
     rows = events.where(F.col("event_type").isin(*steps) & F.col("user_id").isNotNull()).select(
         "user_id", *ORDER, "event_type"
     )
-    rows = split_hot(rows, "user_id", "ts", hot_rows).withColumn("reach", F.lit(1))
+    rows, cut = cut_hot_keys(rows, "user_id", "ts", hot_rows)
+    rows = rows.withColumn("reach", F.lit(1))
     for here, after in reversed(list(zip(steps, steps[1:]))):
         goal = F.when(F.col("event_type") == after, F.struct("ts", "reach"))
-        rows = nearest(rows, "user_id", ORDER, goal, "_next", later=True)
+        rows = nearest(rows, "user_id", ORDER, goal, "_next", cut=cut, later=True)
         arrives = F.col("_next.ts") <= F.col("ts") + F.lit(within)
         rows = rows.withColumn(
             "reach",
-            F.when((F.col("event_type") == here) & arrives, F.col("_next.reach") + 1).otherwise(
-                F.when(F.col("event_type") == here, 1).otherwise(F.col("reach"))
-            ),
+            F.when(
+                F.col("event_type") == here, F.when(arrives, F.col("_next.reach") + 1).otherwise(1)
+            ).otherwise(F.col("reach")),
         ).drop("_next")
     depth = range(1, len(steps) + 1)
     per_user = (
@@ -78,11 +79,11 @@ def last_touch(
     rows = events.where(F.col("event_type").isin(target, source)).select(
         "user_id", *ORDER, "event_type"
     )
-    known = split_hot(rows.where(F.col("user_id").isNotNull()), "user_id", "ts", hot_rows)
+    known, cut = cut_hot_keys(rows.where(F.col("user_id").isNotNull()), "user_id", "ts", hot_rows)
     touch = F.when(
         F.col("event_type") == source, F.struct(F.col("event_id").alias("id"), F.col("ts").alias("at"))
     )
-    touched = nearest(known, "user_id", ORDER, touch, "_touch")
+    touched = nearest(known, "user_id", ORDER, touch, "_touch", cut=cut)
     nobody = rows.where(F.col("user_id").isNull())
     return (
         touched.unionByName(nobody, allowMissingColumns=True)

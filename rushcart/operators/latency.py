@@ -15,8 +15,9 @@ from rushcart.functions.quantiles import (
     value_counts,
     with_quantiles,
 )
-from rushcart.functions.skew import HOT_ROWS, split_hot
+from rushcart.functions.skew import HOT_ROWS, cut_hot_keys
 from rushcart.functions.spans import window_start
+from rushcart.sources.folders import stored
 
 PROBS = (0.5, 0.9, 0.95, 0.99)
 
@@ -35,7 +36,7 @@ def error_rate(df: DataFrame, group: Sequence[str]) -> DataFrame:
 def request_summary(
     df: DataFrame, group: Sequence[str], probs: Sequence[float] = PROBS, *, cell: float = CELL_MS
 ) -> DataFrame:
-    """Everything below in one pass over the samples: counts, errors, span and quantiles.
+    """Counts, errors, time span, mean and quantiles in one pass over the samples.
 
     Quantiles are exact. Requests without a latency count as requests only.
     """
@@ -148,15 +149,11 @@ def load_vs_latency(df: DataFrame, width: timedelta, bands: int) -> DataFrame:
     windows' p95. Windows without requests have no latency and do not appear.
     """
     timed = df.withColumn("window_start", window_start("ts", width))
-    per_window = request_summary(timed, ["window_start"], [0.95]).select(
-        "window_start", "requests", "errors", "p95"
-    )
-    highest = (
-        df.groupBy(window_start("ts", width))
-        .agg(F.count("*").alias("requests"))
-        .select(F.max("requests"))
-        .scalar()
+    per_window = stored(
+        request_summary(timed, ["window_start"], [0.95]).select("requests", "errors", "p95"),
+        "windows",
     )
+    highest = per_window.select(F.max("requests")).scalar()
     band = F.floor(F.col("requests") * bands / (highest + 1)).alias("band")
     return per_window.groupBy(band).agg(
         F.count("*").alias("windows"),
@@ -172,8 +169,11 @@ def slow_samples(
 ) -> DataFrame:
     """Samples above the ``q`` quantile of their group."""
     counts = value_counts(df, group, "latency_ms", cell)
-    limits = exact_quantiles(counts, group, [q]).select(
-        *[F.col(c).alias(f"_{c}") for c in group], F.col("x").alias("threshold_ms")
+    limits = stored(
+        exact_quantiles(counts, group, [q]).select(
+            *[F.col(c).alias(f"_{c}") for c in group], F.col("x").alias("threshold_ms")
+        ),
+        "limits",
     )
     same = reduce(
         lambda a, b: a & b,
@@ -191,7 +191,7 @@ def error_runs(df: DataFrame, key: str, *, hot_rows: int = HOT_ROWS) -> DataFram
     the first and last run of a slice can go on across its border, so only those
     are looked at again.
     """
-    rows = split_hot(
+    rows, cut = cut_hot_keys(
         df.where(F.col(key).isNotNull()).select(
             key, "ts", F.coalesce("is_error", F.lit(False)).alias("failed")
         ),
@@ -210,11 +210,15 @@ def error_runs(df: DataFrame, key: str, *, hot_rows: int = HOT_ROWS) -> DataFram
             F.min("ts").alias("run_start"),
             F.max("ts").alias("run_end"),
             F.count("*").alias("length"),
-            F.first("failed").alias("failed"),
+            F.bool_or("failed").alias("failed"),
         )
-        .withColumn("_last", F.max("run").over(Window.partitionBy(key, "piece")))
     )
+    out = (key, "run_start", "run_end", "length")
+    if not cut:
+        return runs.where("failed").select(*out)
+    runs = runs.withColumn("_last", F.max("run").over(Window.partitionBy(key, "piece")))
     at_border = F.col("piece").isNotNull() & F.col("run").isin(1, F.col("_last"))
+    runs = stored(runs.withColumn("_border", at_border).where("_border OR failed"), "runs")
     across = Window.partitionBy(key).orderBy("piece", "run")
     apart = F.coalesce(
         (F.col("failed") != F.lag("failed").over(across))
@@ -222,7 +226,7 @@ def error_runs(df: DataFrame, key: str, *, hot_rows: int = HOT_ROWS) -> DataFram
         F.lit(True),
     )
     merged = (
-        runs.where(at_border)
+        runs.where("_border")
         .withColumn("_apart", apart.cast("int"))
         .withColumn(
             "_whole",
@@ -236,5 +240,4 @@ def error_runs(df: DataFrame, key: str, *, hot_rows: int = HOT_ROWS) -> DataFram
             F.sum("length").alias("length"),
         )
     )
-    out = (key, "run_start", "run_end", "length")
-    return runs.where(~at_border & F.col("failed")).select(*out).unionByName(merged.select(*out))
+    return runs.where("NOT _border").select(*out).unionByName(merged.select(*out))

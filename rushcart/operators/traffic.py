@@ -10,6 +10,7 @@ from math import gcd
 from pyspark.sql import DataFrame, Window, functions as F
 
 from rushcart.functions.spans import MICROSECOND, window_start
+from rushcart.sources.folders import stored
 
 
 def _counts(df: DataFrame, width: timedelta, group: Sequence[str]) -> DataFrame:
@@ -23,16 +24,15 @@ def traffic(df: DataFrame, width: timedelta, group: Sequence[str] = ()) -> DataF
 
     Every group gets every window from the first to the last one of the whole input.
     """
-    counts = _counts(df, width, group)
+    counts = stored(_counts(df, width, group), "window-counts")
     first = counts.select(F.min("window_start")).scalar()
     last = counts.select(F.max("window_start")).scalar()
     windows = F.explode(F.sequence(first, last, F.lit(width))).alias("window_start")
     if group:
         grid = counts.select(*group).distinct().select(*group, windows)
     else:
-        grid = counts.agg(F.min("window_start").alias("a"), F.max("window_start").alias("b")).select(
-            F.explode(F.sequence("a", "b", F.lit(width))).alias("window_start")
-        )
+        ends = counts.agg(F.min("window_start").alias("a"), F.max("window_start").alias("b"))
+        grid = ends.select(F.explode(F.sequence("a", "b", F.lit(width))).alias("window_start"))
     on = ("window_start", *group)
     found = counts.select(*[F.col(c).alias(f"_{c}") for c in on], F.col("requests").alias("_n"))
     same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in on])

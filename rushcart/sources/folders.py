@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def work_folder(spark: SparkSession, name: str) -> str:
@@ -13,9 +13,21 @@ def work_folder(spark: SparkSession, name: str) -> str:
 
     Only a local session without that setting gets a temporary folder of the machine.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", "")
+    shared = spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getCheckpointDir()
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         shared = tempfile.mkdtemp(prefix="rushcart-")
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once and go on from the files.
+
+    For results that are read several times: they are not computed again, a lost
+    executor costs nothing, and Spark plans later joins by the size of the files,
+    so it broadcasts what turned out small and shuffles what did not.
+    """
+    path = work_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
