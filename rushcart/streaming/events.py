@@ -52,7 +52,10 @@ def stream_sessions(stream: DataFrame, gap: timedelta, delay: timedelta) -> Data
 
 
 def stream_dedupe(stream: DataFrame, key: Sequence[str], delay: timedelta) -> DataFrame:
-    """Drop rows whose key was seen less than ``delay`` before; keys are then forgotten."""
+    """Drop rows whose key was seen less than ``delay`` before.
+
+    Keys are forgotten with the first batch whose watermark has passed that.
+    """
     return stream.withWatermark("ts", text(delay)).dropDuplicatesWithinWatermark(list(key))
 
 

@@ -1,0 +1,137 @@
+import random
+from datetime import timedelta
+
+import pytest
+from conftest import at, plan, tuples
+
+from rushcart.operators import journeys
+
+HALF_HOUR = timedelta(minutes=30)
+
+
+def busy_log(seed, n=600):
+    """One user holds most rows; times collide now and then."""
+    rng = random.Random(seed)
+    rows = []
+    for i in range(n):
+        user = 1 if rng.random() < 0.7 else rng.randint(2, 6)
+        kind = rng.choice(["view", "view", "click", "purchase", "signup"])
+        rows.append((i, float(rng.randint(0, 40_000)), user, kind))
+    return rows
+
+
+def in_order(rows):
+    by_user = {}
+    for i, s, u, t in sorted(rows, key=lambda r: (r[1], r[0])):
+        by_user.setdefault(u, []).append((s, i, t))
+    return by_user
+
+
+def walk(path, steps, within):
+    """Reach of every first-step event, straight from the definition."""
+    out = []
+    for n, (s, i, t) in enumerate(path):
+        if t != steps[0]:
+            continue
+        here, reach = n, 1
+        for step in steps[1:]:
+            nxt = next((m for m in range(here + 1, len(path)) if path[m][2] == step), None)
+            if nxt is None or path[nxt][0] > path[here][0] + within:
+                break
+            here, reach = nxt, reach + 1
+        out.append(reach)
+    return out
+
+
+@pytest.mark.parametrize("hot_rows", [1_000_000, 40, 7])
+@pytest.mark.parametrize(
+    "steps", [["view", "click", "purchase"], ["view", "view", "purchase"], ["signup", "click"]]
+)
+def test_funnel_follows_its_definition(events, hot_rows, steps):
+    rows, within = busy_log(3), 900
+    want = [[set(), 0] for _ in steps]
+    for user, path in in_order(rows).items():
+        for reach in walk(path, steps, within):
+            for k in range(reach):
+                want[k][0].add(user)
+                want[k][1] += 1
+    got = journeys.funnel(events(rows), steps, timedelta(seconds=within), hot_rows=hot_rows)
+    assert tuples(got, "step_no", "step", "users", "starts") == [
+        (k + 1, steps[k], len(u), n) for k, (u, n) in enumerate(want)
+    ]
+
+
+def test_funnel_limit_is_inclusive_and_empty_log_reports_zero(events):
+    rows = [(1, 0, 1, "view"), (2, 60, 1, "click"), (3, 120.000001, 1, "purchase")]
+    got = journeys.funnel(events(rows), ["view", "click", "purchase"], timedelta(seconds=60))
+    assert tuples(got, "step_no", "starts") == [(1, 1), (2, 1), (3, 0)]
+    none = journeys.funnel(events([]), ["view", "click"], timedelta(seconds=60))
+    assert tuples(none, "step_no", "users", "starts") == [(1, 0, 0), (2, 0, 0)]
+
+
+@pytest.mark.parametrize("hot_rows", [1_000_000, 40, 7])
+def test_last_touch_follows_its_definition(events, hot_rows):
+    rows = busy_log(5) + [(9_000, 10.0, None, "view"), (9_001, 20.0, None, "purchase")]
+    want = [(9_001, None)]
+    for user, path in in_order(rows).items():
+        if user is None:
+            continue
+        seen = None
+        for s, i, t in path:
+            if t == "purchase":
+                want.append((i, seen))
+            if t == "view":
+                seen = i
+    got = journeys.last_touch(events(rows), "purchase", "view", hot_rows=hot_rows)
+    assert tuples(got, "event_id", "touch_id") == sorted(want, key=repr)
+
+
+def test_last_touch_orders_ties_by_event(events):
+    rows = [(1, 5, 1, "purchase"), (2, 5, 1, "view"), (3, 5, 1, "purchase")]
+    got = journeys.last_touch(events(rows), "purchase", "view")
+    assert tuples(got, "event_id", "touch_id") == [(1, None), (3, 2)]
+
+
+def test_session_goes_on_at_exactly_the_gap(events):
+    rows = [(1, 0, 1, "view"), (2, 1800, 1, "view"), (3, 3600.000001, 1, "view"), (4, 1, None, "view")]
+    got = journeys.sessionize(events(rows), HALF_HOUR)
+    assert tuples(got, "user_id", "session_start", "session_end", "events") == [
+        (1, at(0), at(1800), 2),
+        (1, at(3600.000001), at(3600.000001), 1),
+    ]
+
+
+def test_sessions_equal_a_plain_scan(events):
+    rows = busy_log(11)
+    want = []
+    for user, path in in_order(rows).items():
+        start = last = None
+        for s, _, _ in path:
+            if last is None or s - last > 120:
+                if last is not None:
+                    want.append((user, at(start), at(last), n))
+                start, n = s, 0
+            last, n = s, n + 1
+        want.append((user, at(start), at(last), n))
+    got = journeys.sessionize(events(rows), timedelta(seconds=120))
+    assert tuples(got, "user_id", "session_start", "session_end", "events") == sorted(want, key=repr)
+
+
+def test_never_and_only_part_the_rows(events):
+    log = events(busy_log(2))
+    buyers = log.where("event_type = 'purchase' AND user_id > 2")
+    a, b = journeys.never(log, buyers, ["user_id"]), journeys.only(log, buyers, ["user_id"])
+    assert a.count() + b.count() == log.count()
+    assert a.join(b, "event_id").count() == 0
+
+
+def test_results_do_not_depend_on_partitions(events):
+    log = events(busy_log(4))
+    runs = [log.repartition(1), log.repartition(7)]
+    assert len({repr(tuples(journeys.last_touch(d, "purchase", "view"), "*")) for d in runs}) == 1
+    assert len({repr(tuples(journeys.sessionize(d, HALF_HOUR), "*")) for d in runs}) == 1
+
+
+def test_cold_keys_make_a_plain_window(events):
+    text = plan(journeys.last_touch(events(busy_log(4)), "purchase", "view"))
+    assert "Join" not in text
