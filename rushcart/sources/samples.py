@@ -56,7 +56,7 @@ def _parsed_lines(spark: SparkSession, path: str, fmt: str, schema: T.StructType
         record = F.from_json("value", full, options)
     elif fmt == "csv":
         text = text.where(F.col("value") != ",".join(schema.names))
-        record = F.from_csv("value", full.simpleString()[7:-1].replace(":", " "), options)
+        record = F.from_csv("value", full.toDDL(), options)
     else:
         raise ValueError(f"unknown format {fmt!r}")
     return text.select(F.inline(F.array(record)))
