@@ -9,18 +9,38 @@ from pyspark.sql import DataFrame, Window, functions as F
 from rushcart.functions.money import line_revenue
 
 
-def purchase_lines(
-    lineitem: DataFrame,
+def order_lines(lineitem: DataFrame) -> DataFrame:
+    """Order lines as bought. ``lines`` is 1 here and a count after :func:`summed`."""
+    return lineitem.select(
+        F.col("l_orderkey").alias("order_id"),
+        F.col("l_linenumber").alias("line"),
+        F.col("l_partkey").alias("item"),
+        F.lit(1).alias("lines"),
+        F.col("l_quantity").cast("decimal(18,2)").alias("quantity"),
+        line_revenue("l_extendedprice", "l_discount").alias("revenue"),
+    )
+
+
+def summed(lines: DataFrame, *keys: str) -> DataFrame:
+    """Lines added up per ``keys``, for the functions below to go on from.
+
+    Summing per order before joining the orders makes a huge order one row, and
+    its rows reach that join already shuffled by order.
+    """
+    return lines.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in ("lines", "quantity", "revenue")])
+
+
+def with_buyers(
+    lines: DataFrame,
     orders: DataFrame,
     customer: DataFrame | None = None,
-    part: DataFrame | None = None,
     nation: DataFrame | None = None,
     region: DataFrame | None = None,
 ) -> DataFrame:
-    """Order lines with their order and, as far as given, customer, place and product.
+    """Add who ordered, when and, as far as the tables are given, from where.
 
-    Leave out the tables a question does not need: an inner join that is not
-    there costs nothing. Small tables meet each other before the large ones.
+    Leave out the tables a question does not need: a join that is not there costs
+    nothing. Small tables meet each other before the large ones.
     """
     buyers = orders.select(
         F.col("o_orderkey").alias("order_id"),
@@ -46,25 +66,37 @@ def purchase_lines(
                 places = places.join(regions, "_region")
             home = home.join(places.drop("_region"), "_nation")
         buyers = buyers.join(home.drop("_nation"), "user")
-    lines = lineitem.select(
-        F.col("l_orderkey").alias("order_id"),
-        F.col("l_linenumber").alias("line"),
-        F.col("l_partkey").alias("item"),
-        F.col("l_quantity").alias("quantity"),
-        line_revenue("l_extendedprice", "l_discount").alias("revenue"),
-    ).join(buyers, "order_id")
-    if part is not None:
-        products = part.select(
-            F.col("p_partkey").alias("item"),
-            F.col("p_brand").alias("brand"),
-            F.col("p_type").alias("type"),
-        )
-        lines = lines.join(products, "item")
-    return lines
+    return lines.join(buyers, "order_id")
+
+
+def with_products(lines: DataFrame, part: DataFrame) -> DataFrame:
+    products = part.select(
+        F.col("p_partkey").alias("item"),
+        F.col("p_brand").alias("brand"),
+        F.col("p_type").alias("type"),
+    )
+    return lines.join(products, "item")
+
+
+def purchase_lines(
+    lineitem: DataFrame,
+    orders: DataFrame,
+    customer: DataFrame,
+    part: DataFrame,
+    nation: DataFrame,
+    region: DataFrame,
+) -> DataFrame:
+    """Order lines with their order, customer, nation, region and product."""
+    lines = order_lines(lineitem).drop("lines")
+    return with_products(with_buyers(lines, orders, customer, nation, region), part)
+
+
+def _lines():
+    return F.sum("lines").alias("lines")
 
 
 def _units():
-    return F.sum(F.col("quantity").cast("decimal(18,2)")).cast("double").alias("units")
+    return F.sum("quantity").cast("double").alias("units")
 
 
 def _revenue():
@@ -80,7 +112,7 @@ def revenue_by_period(lines: DataFrame, unit: str) -> DataFrame:
 
 
 def _products(lines: DataFrame, *group: str) -> DataFrame:
-    return lines.groupBy(*group, "item").agg(F.count("*").alias("lines"), _units(), _revenue())
+    return lines.groupBy(*group, "item").agg(_lines(), _units(), _revenue())
 
 
 def top_products(lines: DataFrame, k: int, by: str = "revenue") -> DataFrame:
@@ -113,12 +145,8 @@ def revenue_rollup(lines: DataFrame, cols: Sequence[str]) -> DataFrame:
 
     Lines are summed up per finest group first, so the rollup copies only those sums.
     """
-    finest = lines.groupBy(*cols).agg(F.count("*").alias("n"), F.sum("revenue").alias("r"))
-    return finest.rollup(*cols).agg(
-        F.grouping_id().cast("long").alias("level"),
-        F.sum("n").alias("lines"),
-        F.sum("r").cast("double").alias("revenue"),
-    )
+    level = F.grouping_id().cast("long").alias("level")
+    return summed(lines, *cols).rollup(*cols).agg(level, _lines(), _revenue())
 
 
 def daily_revenue(lines: DataFrame, group: str) -> DataFrame:

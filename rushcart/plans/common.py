@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rushcart.operators.purchases import purchase_lines
+from rushcart.operators.purchases import order_lines, summed, with_buyers
 from rushcart.sources.samples import samples_from_events
 from rushcart.sources.tables import load_table
 
@@ -17,9 +17,22 @@ def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     return samples_from_events(events(spark, sf_dir))
 
 
-def lines(spark: SparkSession, sf_dir: str, *dims: str) -> DataFrame:
-    tables = {name: load_table(spark, sf_dir, name) for name in ("lineitem", "orders", *dims)}
-    return purchase_lines(**tables)
+def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_lines(load_table(spark, sf_dir, "lineitem"))
+
+
+def buyers_of(spark: SparkSession, sf_dir: str, rows: DataFrame, *dims: str) -> DataFrame:
+    """``rows`` with their orders and the tables in ``dims``."""
+    return with_buyers(rows, **{name: load_table(spark, sf_dir, name) for name in ("orders", *dims)})
+
+
+def bought_lines(spark: SparkSession, sf_dir: str, *dims: str) -> DataFrame:
+    return buyers_of(spark, sf_dir, lines(spark, sf_dir), *dims)
+
+
+def bought_orders(spark: SparkSession, sf_dir: str, *dims: str) -> DataFrame:
+    """One row per order, for questions that do not look at single products."""
+    return buyers_of(spark, sf_dir, summed(lines(spark, sf_dir), "order_id"), *dims)
 
 
 SAMPLES = """

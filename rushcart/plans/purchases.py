@@ -5,23 +5,22 @@ from datetime import timedelta
 from pyspark.sql import functions as F
 
 from rushcart.operators import journeys, purchases
-from rushcart.plans.common import LINES, events, lines
+from rushcart.plans.common import LINES, bought_lines, bought_orders, events, lines
 from rushcart.sources.tables import load_table
 
-ALL = ("customer", "part", "nation", "region")
-
-
 def load_orders(spark, sf_dir):
     return load_table(spark, sf_dir, "orders")
 
 
 def purchase_lines(spark, sf_dir):
-    return lines(spark, sf_dir, *ALL).withColumn("revenue", F.col("revenue").cast("double"))
+    names = ("lineitem", "orders", "customer", "part", "nation", "region")
+    full = purchases.purchase_lines(*[load_table(spark, sf_dir, name) for name in names])
+    return full.withColumns({c: F.col(c).cast("double") for c in ("quantity", "revenue")})
 
 
 def revenue_by(unit):
     def run(spark, sf_dir):
-        return purchases.revenue_by_period(lines(spark, sf_dir), unit)
+        return purchases.revenue_by_period(bought_orders(spark, sf_dir), unit)
 
     sql = f"""
     WITH {LINES}
@@ -47,21 +46,21 @@ def top_products(by):
 
 
 def top_products_per_segment(spark, sf_dir):
-    return purchases.top_products_per(lines(spark, sf_dir, "customer"), "segment", 10)
+    return purchases.top_products_per(bought_lines(spark, sf_dir, "customer"), "segment", 10)
 
 
 def customer_purchases(spark, sf_dir):
-    return purchases.customer_purchases(lines(spark, sf_dir))
+    return purchases.customer_purchases(bought_lines(spark, sf_dir))
 
 
 def revenue_rollup(spark, sf_dir):
     return purchases.revenue_rollup(
-        lines(spark, sf_dir, "customer", "nation", "region"), ["segment", "region"]
+        bought_orders(spark, sf_dir, "customer", "nation", "region"), ["segment", "region"]
     )
 
 
 def running_revenue(spark, sf_dir):
-    daily = purchases.daily_revenue(lines(spark, sf_dir, "customer"), "segment")
+    daily = purchases.daily_revenue(bought_orders(spark, sf_dir, "customer"), "segment")
     return purchases.running_revenue(daily, "segment").withColumn(
         "day", F.col("day").cast("timestamp_ntz")
     )
