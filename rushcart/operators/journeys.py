@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from rushcart.functions.skew import HOT_ROWS, cut_hot_keys, nearest
 from rushcart.functions.spans import text
+from rushcart.sources.folders import stored
 
 ORDER = ("ts", "event_id")
 
@@ -131,8 +132,10 @@ def sessionize(events: DataFrame, gap: timedelta) -> DataFrame:
 
 
 def _known(right: DataFrame, on: Sequence[str]) -> DataFrame:
-    """The distinct keys; repeats are combined before the shuffle that joins them."""
-    return right.select(*on).distinct()
+    """The distinct keys, as a table: Spark broadcasts it if it is small, and otherwise
+    can split a join partition that a frequent key of the left side makes too large.
+    """
+    return stored(right.select(*on).distinct(), "keys")
 
 
 def never(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
