@@ -6,7 +6,8 @@ from pyspark.sql import Column, functions as F
 
 
 def line_revenue(price: str, discount: str) -> Column:
-    return F.col(price).cast("decimal(18,2)") * (1 - F.col(discount).cast("decimal(4,2)"))
+    """Exact; 18 digits in all, which Spark computes as a long."""
+    return F.col(price).cast("decimal(12,2)") * (1 - F.col(discount).cast("decimal(4,2)"))
 
 
 def exact(value: Column | str) -> Column:
@@ -14,10 +15,6 @@ def exact(value: Column | str) -> Column:
     return (F.col(value) if isinstance(value, str) else value).cast("decimal(18,6)")
 
 
-def exact_sum(value: Column | str) -> Column:
-    return F.sum(exact(value)).cast("double")
-
-
 def ratio(part: Column | str, whole: Column | str) -> Column:
     """Null instead of an error where the whole is 0."""
     part = F.col(part) if isinstance(part, str) else part

@@ -16,7 +16,7 @@ def order_lines(lineitem: DataFrame) -> DataFrame:
         F.col("l_linenumber").alias("line"),
         F.col("l_partkey").alias("item"),
         F.lit(1).alias("lines"),
-        F.col("l_quantity").cast("decimal(18,2)").alias("quantity"),
+        F.col("l_quantity").cast("decimal(12,2)").alias("quantity"),
         line_revenue("l_extendedprice", "l_discount").alias("revenue"),
     )
 
