@@ -2,6 +2,8 @@ from __future__ import annotations
 
 from datetime import timedelta
 
+from pyspark.sql import functions as F
+
 from rushcart.operators import cache
 from rushcart.plans.common import events
 
@@ -36,6 +38,14 @@ def working_set_approx(spark, sf_dir):
     return cache.working_set(events(spark, sf_dir), "user_id", timedelta(days=1), approx=True)
 
 
+def working_set_approx_holds_its_bound(spark, sf_dir):
+    """Exact counts per day, and whether the estimate is within three standard errors."""
+    exact, near = working_set(spark, sf_dir), working_set_approx(spark, sf_dir)
+    both = exact.join(near.withColumnRenamed("keys", "_near"), "window_start")
+    close = F.abs(F.col("_near") - F.col("keys")) <= 0.15 * F.col("keys")
+    return both.select("window_start", "keys", close.alias("close"))
+
+
 def load_spread(spark, sf_dir):
     return cache.load_spread(events(spark, sf_dir), "user_id", 8)
 
@@ -85,6 +95,13 @@ PLANS = {
         FROM events GROUP BY 1""",
     ),
     "working_set_approx": (working_set_approx, None),
+    "working_set_approx_holds_its_bound": (
+        working_set_approx_holds_its_bound,
+        """
+        SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS window_start,
+               count(DISTINCT user_id) AS keys, true AS close
+        FROM events GROUP BY 1""",
+    ),
     "load_spread": (
         load_spread,
         """

@@ -56,6 +56,23 @@ def latency_sketch_quantiles(spark, sf_dir):
     return latency.sketch_quantiles(daily, ["version"])
 
 
+def latency_sketch_holds_its_bound(spark, sf_dir):
+    """Whether the true rank of every sketched quantile lies within 3 % of the wanted one."""
+    probs = {f"p{p:g}": p / 100 for p in (50, 90, 95, 99)}
+    near = latency_sketch_quantiles(spark, sf_dir).select(
+        "version", *[F.col(name).alias(f"_{name}") for name in probs]
+    )
+    below = [F.count_if(F.col("latency_ms") < F.col(f"_{name}")) for name in probs]
+    upto = [F.count_if(F.col("latency_ms") <= F.col(f"_{name}")) for name in probs]
+    ranked = samples(spark, sf_dir).join(near, "version").groupBy("version")
+    return ranked.agg(
+        *[
+            ((lo / F.count("latency_ms") <= p + 0.03) & (hi / F.count("latency_ms") >= p - 0.03)).alias(name)
+            for (name, p), lo, hi in zip(probs.items(), below, upto)
+        ]
+    )
+
+
 def latency_histogram(spark, sf_dir):
     return latency.latency_histogram(
         samples(spark, sf_dir), [5.0, 10.0, 25.0, 50.0, 100.0, 250.0], ["version"]
@@ -109,6 +126,12 @@ PLANS = {
     ),
     "latency_of_all": (latency_of_all, f"WITH {SAMPLES} SELECT {SUMMARY} FROM samples"),
     "latency_sketch_quantiles": (latency_sketch_quantiles, None),
+    "latency_sketch_holds_its_bound": (
+        latency_sketch_holds_its_bound,
+        f"""
+        WITH {SAMPLES}
+        SELECT DISTINCT version, true AS p50, true AS p90, true AS p95, true AS p99 FROM samples""",
+    ),
     "latency_histogram": (
         latency_histogram,
         f"""

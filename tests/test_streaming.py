@@ -86,6 +86,13 @@ def test_closed_sessions_equal_the_batch_form(spark, run):
     assert tuples(got, *columns) == tuples(done, *columns)
 
 
+def test_a_session_goes_on_at_exactly_the_gap(feed, run):
+    gap = timedelta(minutes=30)
+    batches = [(1, 0, 1, "view"), (2, 1800, 1, "view")], [(3, 3600.000001, 1, "view")], [(4, 90_000, 2, "view")]
+    got, _ = run(streaming.stream_sessions(feed(*batches), gap, MINUTE))
+    assert tuples(got, "user_id", "session_start", "events") == [(1, at(0), 2), (1, at(3600.000001), 1)]
+
+
 def test_closed_windows_equal_the_batch_form(spark, run):
     delay = timedelta(minutes=10)
     end = closed(spark, delay)
