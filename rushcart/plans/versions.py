@@ -83,8 +83,10 @@ def _welch_sql(group):
       FROM x WHERE version IN ('V1', 'V4') {clause}),
     m AS (
       SELECT *, CAST(s1 AS DOUBLE) / n1 AS m1, CAST(s2 AS DOUBLE) / n2 AS m2,
-             CAST(n1 * q1 - s1 * s1 AS DOUBLE) / nullif(CAST(n1 AS DOUBLE) * (n1 - 1.0::DOUBLE), 0) / n1 AS e1,
-             CAST(n2 * q2 - s2 * s2 AS DOUBLE) / nullif(CAST(n2 AS DOUBLE) * (n2 - 1.0::DOUBLE), 0) / n2 AS e2
+             CAST(n1 * q1 - s1 * s1 AS DOUBLE)
+               / nullif(CAST(n1 AS DOUBLE) * (n1 - 1.0::DOUBLE), 0) / n1 AS e1,
+             CAST(n2 * q2 - s2 * s2 AS DOUBLE)
+               / nullif(CAST(n2 AS DOUBLE) * (n2 - 1.0::DOUBLE), 0) / n2 AS e2
       FROM s)
     SELECT {by} {comma} n1 AS n_base, n2 AS n_other, m1 AS mean_base, m2 AS mean_other,
            (m1 - m2) / nullif(sqrt(e1 + e2), 0) AS t,

@@ -70,7 +70,7 @@ def samples_from_events(events: DataFrame) -> DataFrame:
     k = F.get_json_object("props", "$.k").try_cast("long")
     return events.withColumn("_k", k).select(
         F.concat(F.lit("V"), (F.col("_k") % 4 + 1).cast("string")).alias("version"),
-        F.floor(F.col("_k") / 4).alias("route"),
+        F.expr("_k div 4").alias("route"),
         "ts",
         F.col("value").alias("latency_ms"),
         (F.col("event_type") == "error").alias("is_error"),
