@@ -28,13 +28,25 @@ def hot_keys(df: DataFrame, key: str, k: int) -> DataFrame:
 
 
 def hot_keys_approx(df: DataFrame, key: str, k: int, tracked: int = 10_000) -> DataFrame:
-    """The same from a sketch that tracks at most ``tracked`` keys per task."""
-    known = df.where(F.col(key).isNotNull())
-    top = known.agg(
-        F.expr(f"approx_top_k(`{key}`, {int(k)}, {int(tracked)})").alias("top"),
-        F.count("*").alias("_all"),
-    ).select("_all", F.explode("top").alias("top"))
-    return top.select(
+    """The same from sketches that track at most ``tracked`` keys.
+
+    They are merged in two steps, so that no task has to take in one per input split.
+    """
+    part = F.pmod(F.spark_partition_id(), F.lit(64)).alias("_part")
+    sketches = (
+        df.where(F.col(key).isNotNull())
+        .groupBy(part)
+        .agg(
+            F.expr(f"approx_top_k_accumulate(`{key}`, {int(tracked)})").alias("sketch"),
+            F.count("*").alias("_n"),
+        )
+    )
+    merged = sketches.agg(
+        F.expr(f"approx_top_k_combine(sketch, {int(tracked)})").alias("sketch"),
+        F.sum("_n").alias("_all"),
+    )
+    top = F.explode(F.expr(f"approx_top_k_estimate(sketch, {int(k)})")).alias("top")
+    return merged.select("_all", top).select(
         F.col("top.item").alias(key),
         F.col("top.count").alias("uses"),
         ratio("top.count", "_all").alias("share"),

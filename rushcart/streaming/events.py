@@ -96,7 +96,11 @@ def stream_conversions(
 
 
 def late_rows(query: StreamingQuery) -> int:
-    """Rows that the query's kept progress reports as dropped for being late."""
+    """Rows that the query's kept progress reports as dropped for being late.
+
+    Aggregations drop them after partial aggregation: late rows of one group that
+    arrive in one task count as one.
+    """
     return sum(
         operator.numRowsDroppedByWatermark
         for progress in query.recentProgress

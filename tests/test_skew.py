@@ -4,6 +4,8 @@ import pytest
 from conftest import plan
 from pyspark.sql import functions as F
 
+from rushcart.functions.pairs import co_occurrence
+from rushcart.functions.skew import cut_hot_keys
 from rushcart.operators import journeys, purchases, recommend
 from rushcart.sources.tables import load_table
 
@@ -44,6 +46,30 @@ def hot_events(spark):
     return log.withColumn("user_id", F.when(F.col("event_id") % 3 == 0, 5).otherwise(F.col("user_id")))
 
 
+def test_only_hot_keys_are_cut_into_even_slices(spark):
+    log = hot_events(spark)
+    rows, cut = cut_hot_keys(log, "user_id", "ts", rows=200)
+    assert cut
+    pieces = rows.where("piece IS NOT NULL").groupBy("user_id", "piece").agg(F.count("*").alias("n"))
+    assert {r["user_id"] for r in pieces.select("user_id").distinct().collect()} == {5}
+    sizes = [r["n"] for r in pieces.collect()]
+    assert len(sizes) > 10 and max(sizes) < 2 * 200
+    assert rows.count() == log.count()
+    whole, cut = cut_hot_keys(log, "user_id", "ts")
+    assert not cut and whole.where("piece IS NOT NULL").count() == 0
+
+
+def test_huge_groups_are_set_aside_and_the_next_ones_blocked(spark):
+    members = spark.range(9_000).select(
+        F.when(F.col("id") < 3_000, -1).otherwise(F.floor(F.col("id") / 5)).alias("grp"),
+        (F.col("id") % 3_000).alias("item"),
+        F.lit(1.0).alias("w"),
+    )
+    text = plan(co_occurrence(members, 2, wide=100))
+    assert "_block" in text and "Cartesian" not in text and "NestedLoop" not in text
+    assert co_occurrence(members, 2, wide=100).count() == co_occurrence(members, 2).count()
+
+
 def test_a_hot_order_is_split(small):
     bought = purchases.with_buyers(hot_lines(small), load_table(small, SF, "orders"))
     assert split_joins(purchases.customer_purchases(bought)) == 1
