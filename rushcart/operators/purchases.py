@@ -10,13 +10,16 @@ from rushcart.functions.money import line_revenue
 
 
 def order_lines(lineitem: DataFrame) -> DataFrame:
-    """Order lines as bought. ``lines`` is 1 here and a count after :func:`summed`."""
+    """Order lines as bought. ``lines`` is 1 here and a count after :func:`summed`.
+
+    Revenue is a decimal and adds up exactly; quantities do as far as they are whole.
+    """
     return lineitem.select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_linenumber").alias("line"),
         F.col("l_partkey").alias("item"),
         F.lit(1).alias("lines"),
-        F.col("l_quantity").cast("decimal(12,2)").alias("quantity"),
+        F.col("l_quantity").alias("quantity"),
         line_revenue("l_extendedprice", "l_discount").alias("revenue"),
     )
 
@@ -96,7 +99,7 @@ def _lines():
 
 
 def _units():
-    return F.sum("quantity").cast("double").alias("units")
+    return F.sum("quantity").alias("units")
 
 
 def _revenue():

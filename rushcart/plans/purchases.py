@@ -15,7 +15,7 @@ def load_orders(spark, sf_dir):
 def purchase_lines(spark, sf_dir):
     names = ("lineitem", "orders", "customer", "part", "nation", "region")
     full = purchases.purchase_lines(*[load_table(spark, sf_dir, name) for name in names])
-    return full.withColumns({c: F.col(c).cast("double") for c in ("quantity", "revenue")})
+    return full.withColumn("revenue", F.col("revenue").cast("double"))
 
 
 def revenue_by(unit):
