@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from rushcart.llm.exact import exact_dedup
+from rushcart.llm.toxicity import score_toxicity, train as train_toxicity
 from rushcart.sources.tables import load_table
 
 
@@ -16,6 +17,11 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_documents(spark, sf_dir))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    return score_toxicity(docs, train_toxicity(docs, load_table(spark, sf_dir, "labels")))
+
+
 EXACT_SQL = """
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
@@ -25,4 +31,5 @@ FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 #: Name to (query, SQL or None).
 QUERIES = {
     "op4_exact_dedup": (op4_exact_dedup, EXACT_SQL),
+    "op6_toxicity": (op6_toxicity, None),
 }
