@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from rushcart.llm.exact import exact_dedup
+from rushcart.llm.mixing import mix
 from rushcart.llm.toxicity import score_toxicity, train as train_toxicity
 from rushcart.sources.tables import load_table
 
@@ -22,6 +23,10 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(docs, train_toxicity(docs, load_table(spark, sf_dir, "labels")))
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(_documents(spark, sf_dir))
+
+
 EXACT_SQL = """
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
@@ -30,6 +35,7 @@ FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 
 #: Name to (query, SQL or None).
 QUERIES = {
+    "op3_mixing": (op3_mixing, None),
     "op4_exact_dedup": (op4_exact_dedup, EXACT_SQL),
     "op6_toxicity": (op6_toxicity, None),
 }
