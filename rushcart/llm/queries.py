@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from rushcart.llm.exact import exact_dedup
 from rushcart.llm.mixing import mix
+from rushcart.llm.pieces import piece_digests
+from rushcart.llm.sharding import shard
 from rushcart.llm.toxicity import score_toxicity, train as train_toxicity
 from rushcart.sources.tables import load_table
 
@@ -27,6 +29,14 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(_documents(spark, sf_dir))
 
 
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard(_documents(spark, sf_dir))
+
+
+def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_digests(_documents(spark, sf_dir))
+
+
 EXACT_SQL = """
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
@@ -38,4 +48,6 @@ QUERIES = {
     "op3_mixing": (op3_mixing, None),
     "op4_exact_dedup": (op4_exact_dedup, EXACT_SQL),
     "op6_toxicity": (op6_toxicity, None),
+    "op7_sharding": (op7_sharding, None),
+    "op10_pieces": (op10_pieces, None),
 }
