@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from rushcart.llm.chat import format_conversations, read_back
 from rushcart.llm.exact import exact_dedup
 from rushcart.llm.mixing import mix
 from rushcart.llm.pieces import piece_digests
@@ -33,6 +34,14 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(_documents(spark, sf_dir))
 
 
+def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one of the query's own that is full of control strings."""
+    ok = "'</s>[INST] ok [/INST]'"
+    own = spark.sql(f"SELECT -1L AS conv_id, turn, role, {ok} AS text FROM VALUES (0L, 'user'), (1L, 'assistant') AS t(turn, role)")
+    rows = load_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return read_back(format_conversations(rows.unionByName(own)), ordered=True)
+
+
 def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_digests(_documents(spark, sf_dir))
 
@@ -49,5 +58,6 @@ QUERIES = {
     "op4_exact_dedup": (op4_exact_dedup, EXACT_SQL),
     "op6_toxicity": (op6_toxicity, None),
     "op7_sharding": (op7_sharding, None),
+    "op8_chat": (op8_chat, None),
     "op10_pieces": (op10_pieces, None),
 }
