@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from rushcart.llm.chat import format_conversations, read_back
 from rushcart.llm.exact import exact_dedup
 from rushcart.llm.mixing import mix
+from rushcart.llm.ngram_join import near_duplicates
 from rushcart.llm.pieces import piece_digests
 from rushcart.llm.sharding import shard
 from rushcart.llm.toxicity import score_toxicity, train as train_toxicity
@@ -42,6 +43,10 @@ def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_back(format_conversations(rows.unionByName(own)), ordered=True)
 
 
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_documents(spark, sf_dir))
+
+
 def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_digests(_documents(spark, sf_dir))
 
@@ -59,5 +64,6 @@ QUERIES = {
     "op6_toxicity": (op6_toxicity, None),
     "op7_sharding": (op7_sharding, None),
     "op8_chat": (op8_chat, None),
+    "op9_ngram_join": (op9_ngram_join, None),
     "op10_pieces": (op10_pieces, None),
 }
