@@ -10,6 +10,7 @@ from rushcart.llm.mixing import mix
 from rushcart.llm.ngram_join import near_duplicates
 from rushcart.llm.pieces import piece_digests
 from rushcart.llm.sharding import shard
+from rushcart.llm.suffixes import remove_repeats
 from rushcart.llm.toxicity import score_toxicity, train as train_toxicity
 from rushcart.sources.tables import load_table
 
@@ -27,6 +28,10 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(docs, train_toxicity(docs, load_table(spark, sf_dir, "labels")))
 
 
+def op2_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(_documents(spark, sf_dir))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(_documents(spark, sf_dir))
 
@@ -59,6 +64,7 @@ FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 
 #: Name to (query, SQL or None).
 QUERIES = {
+    "op2_suffixes": (op2_suffixes, None),
     "op3_mixing": (op3_mixing, None),
     "op4_exact_dedup": (op4_exact_dedup, EXACT_SQL),
     "op6_toxicity": (op6_toxicity, None),
