@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from rushcart.llm.chat import format_conversations, read_back
 from rushcart.llm.exact import exact_dedup
+from rushcart.llm.graph_search import nearest_neighbours
 from rushcart.llm.mixing import mix
 from rushcart.llm.ngram_join import near_duplicates
 from rushcart.llm.pieces import piece_digests
@@ -23,6 +24,10 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_documents(spark, sf_dir))
 
 
+def op5_graph_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_neighbours(load_table(spark, sf_dir, "embeddings"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir)
     return score_toxicity(docs, train_toxicity(docs, load_table(spark, sf_dir, "labels")))
@@ -67,6 +72,7 @@ QUERIES = {
     "op2_suffixes": (op2_suffixes, None),
     "op3_mixing": (op3_mixing, None),
     "op4_exact_dedup": (op4_exact_dedup, EXACT_SQL),
+    "op5_graph_search": (op5_graph_search, None),
     "op6_toxicity": (op6_toxicity, None),
     "op7_sharding": (op7_sharding, None),
     "op8_chat": (op8_chat, None),
