@@ -10,6 +10,7 @@ from rushcart.llm.graph_search import nearest_neighbours
 from rushcart.llm.mixing import mix
 from rushcart.llm.ngram_join import near_duplicates
 from rushcart.llm.pieces import piece_digests
+from rushcart.llm.pii import find_pii, train as train_pii
 from rushcart.llm.sharding import shard
 from rushcart.llm.suffixes import remove_repeats
 from rushcart.llm.toxicity import score_toxicity, train as train_toxicity
@@ -33,6 +34,11 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(docs, train_toxicity(docs, load_table(spark, sf_dir, "labels")))
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    return find_pii(docs, train_pii(docs))
+
+
 def op2_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(_documents(spark, sf_dir))
 
@@ -69,6 +75,7 @@ FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 
 #: Name to (query, SQL or None).
 QUERIES = {
+    "op1_pii": (op1_pii, None),
     "op2_suffixes": (op2_suffixes, None),
     "op3_mixing": (op3_mixing, None),
     "op4_exact_dedup": (op4_exact_dedup, EXACT_SQL),
