@@ -126,7 +126,7 @@ def train(docs: DataFrame, labels: DataFrame, most: int = TRAINING_ROWS) -> Mode
     rows = training_rows(docs, labels, most).repartition(8)
     # Few tasks: each hands over counts of all buckets.
     parts = rows.mapInArrow(_counts, "seen array<long>, counts binary").collect()
-    seen = np.sum([p.seen for p in parts], axis=0)
+    seen = np.sum([[0, 0], *(p.seen for p in parts)], axis=0)
     share = (seen[1] + 1) / (seen.sum() + 2)
     empty = Model(np.zeros(1 << BITS, np.float32), float(np.log(share / (1 - share))))
     if seen.min() == 0:
