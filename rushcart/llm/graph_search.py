@@ -81,7 +81,8 @@ class Graph:
     def prune(self, owners: np.ndarray, candidates: np.ndarray, alpha: float) -> np.ndarray:
         """Of each owner's candidates (rows, -1 for none), at most DEGREE: the nearest first, each
         dropping the others that are nearer to it, times ``alpha``, than to the owner."""
-        candidates = np.where(candidates == owners[:, None], -1, np.sort(candidates, axis=1))
+        candidates = np.sort(candidates, axis=1)
+        candidates[candidates == owners[:, None]] = -1
         candidates[:, 1:][candidates[:, 1:] == candidates[:, :-1]] = -1
         own = self.points[owners]
         whole = self.distances(own, candidates) + self.lengths[owners][:, None]
