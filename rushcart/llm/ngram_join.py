@@ -11,8 +11,9 @@ An exact prefix-filter join, rarest shingles first:
    leave few pairs, and each pair is verified once on its whole sets.
 
 A group of very many near copies would still be all pairs. Links are therefore sought in
-two turns: first every class with a neighbour or two in each group, then, once those
-links have been joined to components, all remaining pairs across components. A pair
+two turns: first every class with two of each group, those that differ least from the
+rest, then, once those links have
+been joined to components, all remaining pairs across components. A pair
 inside a component can no longer change the result.
 """
 
@@ -33,6 +34,7 @@ from rushcart.sources.folders import stored
 PER_BUCKET = 2_000_000
 #: Bytes of text whose shingles leave a task together.
 FLUSH_BYTES = 8 << 20
+FLUSH_CLASSES = 1 << 16
 #: Classes that a task remembers so as not to send a copy's shingles again.
 REMEMBERED = 200_000
 #: A shingle in this share of a flush's documents is reported as frequent, and counts as such
@@ -40,6 +42,8 @@ REMEMBERED = 200_000
 FREQUENT = 0.005
 #: Cells of the token space in which the suffix filter compares counts.
 CELLS = 16
+#: Members of a group that all others of like length are compared with first.
+HEADS = 2
 #: Members of a group that meet all others of the group in one task.
 BLOCK = 4_000
 #: Partners that one copy of a set is compared with.
@@ -112,38 +116,44 @@ def _named(bucket: np.ndarray, low: np.ndarray) -> np.ndarray:
     return (bucket.astype(np.uint64) << np.uint64(40) | low).view(np.int64)
 
 
-SENT = "bucket long, low binary, high binary, classes binary, counts binary"
+SENT = "bucket long, flush long, kind int, at binary, tokens binary, high binary"
+#: What a row of SENT or SHARED holds: shingles and the places of their classes in the flush,
+#: frequent ones likewise, or the flush's classes and their sizes.
+TOKENS, OFTEN, CLASSES = 0, 1, 2
+
+
+def _rows_of(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
+    columns = list(zip(*rows))
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names)
 
 
 def _sent(words: int, buckets: int, often: np.ndarray):
-    """Shingles of classes that the task has not sent yet, packed by bucket. Frequent ones
-    need no counting; they go to a bucket of their class as numbers below 0 minus 1."""
+    """Shingles of classes that the task has not sent yet, packed by bucket. They name their
+    class by its place in the flush. Frequent ones need no counting and skip the buckets."""
 
     def packed(classes, sets):
-        run = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+        sizes = np.array([len(x) for x in sets], np.int64)
+        at = np.repeat(np.arange(len(sets), dtype=np.uint16), sizes)
         tokens = np.concatenate(sets)
+        flush = _class_of(np.array(classes, np.int64))
         bucket = _bucket(tokens, buckets)
+        frequent = np.zeros(len(tokens), bool)
         if len(often):
-            at = np.minimum(np.searchsorted(often, tokens), len(often) - 1)
-            bucket = np.where(often[at] == tokens, -1 - classes[run] % buckets, bucket)
+            frequent = often[np.minimum(np.searchsorted(often, tokens), len(often) - 1)] == tokens
+        own = -1 - flush % buckets
+        rows = [(own, flush, CLASSES, b"", np.array(classes, np.int64).tobytes(), sizes.tobytes())]
+        if frequent.any():
+            named = _named(bucket[frequent], tokens[frequent] & _LOW)
+            rows.append((own, flush, OFTEN, at[frequent].tobytes(), named.tobytes(), b""))
+        bucket, at, low = bucket[~frequent], at[~frequent], tokens[~frequent] & _LOW
         order = np.argsort(bucket, kind="stable")
-        bucket, run, tokens = bucket[order], run[order], tokens[order]
-        cuts = [0, *(np.flatnonzero(np.diff(bucket)) + 1).tolist(), len(bucket)]
-        rows = []
+        bucket, at, low = bucket[order], at[order], low[order]
+        cuts = [0, *(np.flatnonzero(np.diff(bucket)) + 1).tolist(), len(bucket)] if len(bucket) else [0]
         for a, b in zip(cuts, cuts[1:]):
-            part, count = np.unique(run[a:b], return_counts=True)
-            if bucket[a] < 0:
-                low = _named(_bucket(tokens[a:b], buckets), tokens[a:b] & _LOW)
-                pair = (low.tobytes(), b"")
-            else:
-                low = tokens[a:b] & _LOW
-                pair = (low.astype(np.uint32).tobytes(), (low >> np.uint64(32)).astype(np.uint8).tobytes())
-            rows.append((int(bucket[a]), *pair, classes[part].tobytes(), count.astype(np.uint32).tobytes()))
-        columns = list(zip(*rows))
-        return pa.RecordBatch.from_arrays(
-            [pa.array(columns[0], pa.int64()), *[pa.array(c, pa.binary()) for c in columns[1:]]],
-            ["bucket", "low", "high", "classes", "counts"],
-        )
+            high = (low[a:b] >> np.uint64(32)).astype(np.uint8).tobytes()
+            rows.append((int(bucket[a]), flush, TOKENS, at[a:b].tobytes(), low[a:b].astype(np.uint32).tobytes(), high))
+        return _rows_of(rows, ["bucket", "flush", "kind", "at", "tokens", "high"])
 
     def run(batches):
         known, classes, sets, size = set(), [], [], 0
@@ -157,36 +167,20 @@ def _sent(words: int, buckets: int, often: np.ndarray):
                 classes.append(one)
                 sets.append(x)
                 size += 8 * len(x)
-                if size >= FLUSH_BYTES:
-                    yield packed(np.array(classes, np.int64), sets)
+                if size >= FLUSH_BYTES or len(sets) == FLUSH_CLASSES:
+                    yield packed(classes, sets)
                     classes, sets, size = [], [], 0
         if sets:
-            yield packed(np.array(classes, np.int64), sets)
+            yield packed(classes, sets)
 
     return run
 
 
-SHARED = "shelf long, classes binary, tokens binary, degrees binary, class long, n long"
-
-
-def _shelved(classes: np.ndarray, tokens: np.ndarray, degree: np.ndarray, shelves: int):
-    """Shared shingles packed by the shelf of their class."""
-    shelf = classes % shelves
-    order = np.lexsort((classes, shelf))
-    shelf, classes, tokens, degree = shelf[order], classes[order], tokens[order], degree[order]
-    cuts = [0, *(np.flatnonzero(np.diff(shelf)) + 1).tolist(), len(shelf)]
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array([int(shelf[a]) for a in cuts[:-1]], pa.int64()),
-            *[pa.array([x[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary()) for x in (classes, tokens, degree)],
-            *[pa.nulls(len(cuts) - 1, pa.int64())] * 2,
-        ],
-        ["shelf", "classes", "tokens", "degrees", "class", "n"],
-    )
+SHARED = "shelf long, flush long, kind int, at binary, tokens binary, degrees binary"
 
 
 def _runs(batches, key: str):
-    """Rows of a sorted partition, key by key, as lists of dicts of bytes."""
+    """Rows of a sorted partition, key by key."""
     now, rows = None, []
     for batch in batches:
         for row in batch.to_pylist():
@@ -200,82 +194,85 @@ def _runs(batches, key: str):
 
 
 def _degrees(shelves: int):
-    """Of every bucket, the shingles that several classes have, with a degree of frequency (16 log2, 255 at most)."""
+    """Of every bucket, the shingles that several classes have, with a degree of frequency (16 log2, 254 at most).
+
+    A copy of a class that another task sent counts for itself; that shifts degrees, alike for all.
+    """
+    names = ["shelf", "flush", "kind", "at", "tokens", "degrees"]
 
     def run(batches):
         for bucket, rows in _runs(batches, "bucket"):
-            classes = np.concatenate([np.repeat(np.frombuffer(r["classes"], np.int64), np.frombuffer(r["counts"], np.uint32)) for r in rows])
             if bucket < 0:
-                tokens = np.concatenate([np.frombuffer(r["low"], np.int64) for r in rows])
-                pairs = np.unique(np.stack([classes, tokens], 1), axis=0)
-                yield _shelved(pairs[:, 0], pairs[:, 1], np.full(len(pairs), 255, np.uint8), shelves)
+                for r in rows:
+                    degrees = r["high"] if r["kind"] == CLASSES else bytes([255]) * (len(r["at"]) // 2)
+                    yield _rows_of([(r["flush"] % shelves, r["flush"], r["kind"], r["at"], r["tokens"], degrees)], names)
                 continue
-            low = np.concatenate([np.frombuffer(r["low"], np.uint32) for r in rows]).astype(np.uint64)
+            low = np.concatenate([np.frombuffer(r["tokens"], np.uint32) for r in rows]).astype(np.uint64)
             low |= np.concatenate([np.frombuffer(r["high"], np.uint8) for r in rows]).astype(np.uint64) << np.uint64(32)
-            rows.clear()
             order = np.argsort(low)
-            low = low[order]
-            same = np.zeros(len(low) + 1, bool)
-            same[1:-1] = low[1:] == low[:-1]
-            several = same[1:] | same[:-1]
-            low, classes = low[several], classes[order[several]]
-            order = np.lexsort((classes, low))
-            low, classes = low[order], classes[order]
-            fresh = np.ones(len(low), bool)  # a copy's shingles may have come from several tasks
-            fresh[1:] = (low[1:] != low[:-1]) | (classes[1:] != classes[:-1])
-            low, classes = low[fresh], classes[fresh]
-            first = np.ones(len(low), bool)
-            first[1:] = low[1:] != low[:-1]
-            count = np.diff(np.append(np.flatnonzero(first), len(low)))
-            degree = np.repeat(np.minimum(16 * np.log2(count), 254).astype(np.uint8), count)
-            shared = np.repeat(count > 1, count)
-            if shared.any():
-                yield _shelved(classes[shared], _named(np.full(int(shared.sum()), bucket), low[shared]), degree[shared], shelves)
+            sorted_ = low[order]
+            head = np.flatnonzero(np.append(True, sorted_[1:] != sorted_[:-1]))
+            count = np.diff(np.append(head, len(low)))
+            degree = np.empty(len(low), np.uint8)
+            degree[order] = np.repeat(np.minimum(16 * np.log2(count), 254).astype(np.uint8), count)
+            named, begin, out = _named(np.full(len(low), bucket), low), 0, []
+            for r in rows:
+                end = begin + len(r["at"]) // 2
+                shared = degree[begin:end] > 0
+                if shared.any():
+                    at = np.frombuffer(r["at"], np.uint16)[shared]
+                    out.append((r["flush"] % shelves, r["flush"], TOKENS, at.tobytes(), named[begin:end][shared].tobytes(), degree[begin:end][shared].tobytes()))
+                begin = end
+            if out:
+                yield _rows_of(out, names)
 
     return run
 
 
-SETS = "class long, n long, prefix long, tokens binary"
+SETS = "class long, flush long, n long, prefix long, tokens binary"
 
 
 def _prefixes(percent: int):
     """Classes that may have a partner, with their shared shingles, rarest first, and how many of those their prefix holds."""
 
     def run(batches):
-        for _, rows in _runs(batches, "shelf"):
-            known = [r for r in rows if r["n"] is not None]
-            packed = [r for r in rows if r["n"] is None]
-            if not packed:
-                continue
-            classes, tokens = (np.concatenate([np.frombuffer(r[c], np.int64) for r in packed]) for c in ("classes", "tokens"))
-            degree = np.concatenate([np.frombuffer(r["degrees"], np.uint8) for r in packed])
-            of, n_of = (np.array([r[c] for r in known], np.int64) for c in ("class", "n"))
-            by = np.argsort(of)
-            of, n_of = of[by], n_of[by]
-            at = np.searchsorted(of, classes)
-            shared = np.bincount(at, minlength=len(of))
-            need = least_overlap(n_of, percent)
+        for flush, rows in _runs(batches, "flush"):
+            own = next(r for r in rows if r["kind"] == CLASSES)
+            classes, n = np.frombuffer(own["tokens"], np.int64), np.frombuffer(own["degrees"], np.int64)
+            rows = [r for r in rows if r["kind"] != CLASSES]
+            at = np.concatenate([np.frombuffer(r["at"], np.uint16) for r in rows] or [np.zeros(0, np.uint16)]).astype(np.int64)
+            tokens = np.frombuffer(b"".join(r["tokens"] for r in rows), np.int64)
+            degree = np.frombuffer(b"".join(r["degrees"] for r in rows), np.uint8)
+            shared = np.bincount(at, minlength=len(classes))
+            need = least_overlap(n, percent)
             open_ = shared >= need
             wanted = open_[at]
             at, tokens, degree = at[wanted], tokens[wanted], degree[wanted]
             order = np.lexsort((tokens, degree, at))
             at, tokens = at[order], tokens[order]
-            cuts = np.searchsorted(at, np.arange(len(of) + 1))
+            cuts = np.searchsorted(at, np.arange(len(classes) + 1))
             out = [
-                (int(of[i]), int(n_of[i]), int(shared[i] - need[i] + 1), tokens[cuts[i] : cuts[i + 1]].tobytes())
+                (int(classes[i]), flush, int(n[i]), int(shared[i] - need[i] + 1), tokens[cuts[i] : cuts[i + 1]].tobytes())
                 for i in np.flatnonzero(open_)
             ]
             for a in range(0, len(out), 1000):
                 columns = list(zip(*out[a : a + 1000]))
                 yield pa.RecordBatch.from_arrays(
-                    [*[pa.array(c, pa.int64()) for c in columns[:3]], pa.array(columns[3], pa.binary())],
-                    ["class", "n", "prefix", "tokens"],
+                    [*[pa.array(c, pa.int64()) for c in columns[:4]], pa.array(columns[4], pa.binary())],
+                    ["class", "flush", "n", "prefix", "tokens"],
                 )
 
     return run
 
 
-MEMBERS = "token long, class long, n long, rest long, cells binary"
+def _once(sets: DataFrame) -> DataFrame:
+    """Of a class that several tasks have sent, one row."""
+    again = sets.groupBy("class").agg(F.min("flush").alias("_first"), F.count("*").alias("_rows")).where("_rows > 1").drop("_rows")
+    kept = sets.join(again, "class", "left").where(F.col("_first").isNull() | (F.col("_first") == F.col("flush")))
+    return kept.select("class", "n", "prefix", "tokens")
+
+
+MEMBERS = "token long, class long, n long, own long, rest long, cells binary"
 
 
 def _members(batches):
@@ -291,10 +288,11 @@ def _members(batches):
                     pa.array(tokens[:k]),
                     pa.array([row["class"]] * k, pa.int64()),
                     pa.array([row["n"]] * k, pa.int64()),
+                    pa.array([row["n"] - len(tokens)] * k, pa.int64()),
                     pa.array(np.arange(len(tokens), len(tokens) - k, -1)),
                     pa.array([cells] * k, pa.binary()),
                 ],
-                ["token", "class", "n", "rest", "cells"],
+                ["token", "class", "n", "own", "rest", "cells"],
             )
 
 
@@ -320,30 +318,29 @@ def _pairs_of(found) -> pa.RecordBatch:
 
 
 def _neighbours(percent: int):
-    """From members in the order (token, n, class): each with the one before it and with the
-    first of its group that its length allows. Holds two members at a time."""
+    """From members in the order (token, part, band, own, class): each with the first HEADS of its
+    group, those with the fewest shingles of their own. Holds these members at a time."""
 
     def run(batches):
-        found, first, before = [], None, None
+        found, heads = [], None
         for batch in batches:
             if not batch.num_rows:
                 continue
             rows = _arrays(batch.to_pylist())
-            if before is not None:
-                rows = {c: np.concatenate([first[c], before[c], x]) for c, x in rows.items()}
-            token, n = rows["token"], rows["n"]
-            head = np.zeros(len(n), np.int64)
-            start = 0
-            for i in range(1, len(n)):
-                if token[i] != token[start] or 100 * n[start] < percent * n[i]:
+            if heads is not None:
+                rows = {c: np.concatenate([heads[c], x]) for c, x in rows.items()}
+            groups = list(zip(*(rows[c].tolist() for c in ("token", "part", "band"))))
+            first, second, start = [], [], 0
+            for i in range(1, len(groups)):
+                if groups[i] != groups[start]:
                     start = i
-                head[i] = start
-            here = np.arange(1, len(n))
-            for other in (here - 1, head[1:]):
-                x, y = ({c: v[i] for c, v in rows.items()} for i in (other, here))
-                good = (x["token"] == y["token"]) & (x["class"] != y["class"]) & _possible(x, y, percent)
-                found.append((x["class"][good], y["class"][good]))
-            first, before = ({c: v[i : i + 1] for c, v in rows.items()} for i in (start, len(n) - 1))
+                for head in range(start, min(start + HEADS, i)):
+                    first.append(head)
+                    second.append(i)
+            x, y = ({c: v[i] for c, v in rows.items()} for i in (first, second))
+            good = (x["class"] != y["class"]) & _possible(x, y, percent)
+            found.append((x["class"][good], y["class"][good]))
+            heads = {c: v[start : start + HEADS] for c, v in rows.items()}
             if sum(len(a) for a, _ in found) > 200_000:
                 yield _pairs_of(found)
                 found = []
@@ -434,7 +431,6 @@ def near_duplicates(docs: DataFrame, words: int = 4, percent: int = 85) -> DataF
     rows = plain(docs, "doc_id", "text")
     described = stored(rows.mapInArrow(_described(words), "doc_id long, n long, class long, token long, rows long"), "described")
     documents = described.where("token IS NULL").select("doc_id", "n", "class")
-    classes = documents.where("class IS NOT NULL").select("class", "n").distinct()
     size = documents.agg(F.count("*").alias("rows"), F.sum("n").alias("tokens")).first()
     often = described.where("token IS NOT NULL").groupBy("token").agg(F.sum("rows").alias("rows"))
     # Few by the bound at FREQUENT: what is frequent in a flush adds up to its sets' sizes at most.
@@ -448,19 +444,18 @@ def near_duplicates(docs: DataFrame, words: int = 4, percent: int = 85) -> DataF
         .sortWithinPartitions("bucket")
         .mapInArrow(_degrees(buckets), SHARED)
     )
-    nothing = F.lit(None).cast("binary")
-    sizes = classes.select(
-        F.pmod("class", F.lit(buckets)).alias("shelf"), nothing.alias("classes"), nothing.alias("tokens"), nothing.alias("degrees"), "class", "n"
-    )
-    sets = stored(
-        shared.unionByName(sizes).repartition(buckets, "shelf").sortWithinPartitions("shelf").mapInArrow(_prefixes(percent), SETS), "sets"
-    )
+    shelved = shared.repartition(buckets, "shelf").sortWithinPartitions("shelf", "flush")
+    sets = _once(stored(shelved.mapInArrow(_prefixes(percent), SETS), "sets"))
     members = stored(sets.mapInArrow(_members, MEMBERS), "members")
 
     # A group of very many members is dealt out; its parts meet through other shingles and in the second turn.
     groups = members.groupBy("token").agg(F.count("*").alias("size")).where("size > 1")
     met = members.join(groups, "token").withColumn("part", F.pmod(F.xxhash64("class", "token"), F.ceil(F.col("size") / (10 * BLOCK))))
-    near = met.repartition("token", "part").sortWithinPartitions("token", "part", "n", "class").select("token", "class", "n", "rest", "cells")
+    # Bands of length, each class also in the one below, so that classes of like length meet.
+    band = F.floor(F.log(F.col("n").cast("double")) / float(np.log(100 / min(percent, 99))))
+    met = met.withColumn("band", F.explode(F.array(band, band - 1)))
+    near = met.repartition("token", "part", "band").sortWithinPartitions("token", "part", "band", "own", "class")
+    near = near.select("token", "part", "band", "class", "n", "rest", "cells")
     links = stored(verify(near.mapInArrow(_neighbours(percent), PAIRS).distinct(), sets, percent), "links")
     roots = stored(components(links), "roots")
 
