@@ -24,19 +24,27 @@ def _finished(spark, stream, name):
     return spark.read.parquet(path)
 
 
+def _closed(spark, sf_dir, make, name):
+    """All windows or sessions of the table, the last ones too."""
+    path, folder = work_folder(spark, name), work_folder(spark, f"{name}-end")
+    stream = make(streaming.with_end(_source(spark, sf_dir), folder))
+    streaming.run_to_end(lambda: streaming.write_stream(stream, path, f"{path}-checkpoint"), spark, folder)
+    return spark.read.parquet(path)
+
+
 def stream_traffic(spark, sf_dir):
-    stream = streaming.stream_traffic(_source(spark, sf_dir), HOUR, DELAY, ["event_type"])
-    return _finished(spark, stream, "traffic")
+    make = lambda events: streaming.stream_traffic(events, HOUR, DELAY, ["event_type"])
+    return _closed(spark, sf_dir, make, "traffic")
 
 
 def stream_sliding(spark, sf_dir):
-    stream = streaming.stream_sliding(_source(spark, sf_dir), HOUR, timedelta(minutes=15), DELAY)
-    return _finished(spark, stream, "sliding")
+    make = lambda events: streaming.stream_sliding(events, HOUR, timedelta(minutes=15), DELAY)
+    return _closed(spark, sf_dir, make, "sliding")
 
 
 def stream_sessions(spark, sf_dir):
-    stream = streaming.stream_sessions(_source(spark, sf_dir), timedelta(minutes=30), DELAY)
-    return _finished(spark, stream, "sessions")
+    make = lambda events: streaming.stream_sessions(events, timedelta(minutes=30), DELAY)
+    return _closed(spark, sf_dir, make, "sessions")
 
 
 def stream_dedupe(spark, sf_dir):
@@ -44,6 +52,27 @@ def stream_dedupe(spark, sf_dir):
     return _finished(spark, stream.withColumn("ts", F.col("ts").cast("timestamp_ntz")), "dedupe")
 
 
+def stream_dedupe_of_repeats(spark, sf_dir):
+    """Every event comes twice."""
+    twice = _source(spark, sf_dir).unionByName(_source(spark, sf_dir))
+    stream = streaming.stream_dedupe(twice, ["event_id"], DELAY)
+    return _finished(spark, stream.withColumn("ts", F.col("ts").cast("timestamp_ntz")), "dedupe")
+
+
+def stream_late_rows(spark, sf_dir):
+    """The events of the second half of the ids come first, so most of the first half is late."""
+    events, folder, path = load_table(spark, sf_dir, "events"), work_folder(spark, "halves"), work_folder(spark, "late")
+    middle = events.agg(F.expr("max(event_id) div 2")).first()[0]
+    run = 0
+    for half in (F.col("event_id") > middle, F.col("event_id") <= middle):
+        events.where(half).write.mode("append").parquet(folder)
+        stream = streaming.stream_dedupe(stream_events(spark, folder), ["event_id"], DELAY)
+        query = streaming.write_stream(stream, path, f"{path}-checkpoint")
+        query.awaitTermination()
+        run += streaming.late_rows(query)
+    return spark.read.parquet(path).agg(F.count("*").alias("kept")).withColumn("late", F.lit(run).cast("long"))
+
+
 def stream_enrich(spark, sf_dir):
     stream = streaming.stream_enrich(
         _source(spark, sf_dir), load_table(spark, sf_dir, "customer")
@@ -58,43 +87,45 @@ def stream_conversions(spark, sf_dir):
     return _finished(spark, stream, "conversions")
 
 
-# The watermark is the latest time seen, in whole milliseconds, less the delay.
-CLOSED = """
-mark AS (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 10 MINUTE AS at FROM events)"""
-
 PLANS = {
     "stream_traffic": (
         stream_traffic,
-        f"""
-        WITH {CLOSED}
+        """
         SELECT date_trunc('hour', ts) AS window_start, event_type, count(*) AS requests
-        FROM events, mark
-        WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR <= mark.at GROUP BY 1, 2""",
+        FROM events GROUP BY 1, 2""",
     ),
     "stream_sliding": (
         stream_sliding,
-        f"""
-        WITH {CLOSED}, starts AS (
+        """
+        WITH starts AS (
           SELECT time_bucket(INTERVAL 15 MINUTE, ts) - back * INTERVAL 15 MINUTE AS window_start
           FROM events, range(4) AS r(back))
-        SELECT window_start, count(*) AS requests FROM starts, mark
-        WHERE window_start + INTERVAL 1 HOUR <= mark.at GROUP BY window_start""",
+        SELECT window_start, count(*) AS requests FROM starts GROUP BY window_start""",
     ),
     "stream_sessions": (
         stream_sessions,
-        f"""
-        WITH {CLOSED}, flagged AS (
+        """
+        WITH flagged AS (
           SELECT user_id, ts,
                  CASE WHEN ts - lag(ts) OVER w > INTERVAL 30 MINUTE THEN 1 ELSE 0 END AS fresh
           FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
         numbered AS (
-          SELECT user_id, ts, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts) AS no FROM flagged),
-        sessions AS (
-          SELECT user_id, min(ts) AS session_start, max(ts) AS session_end, count(*) AS events
-          FROM numbered GROUP BY user_id, no)
-        SELECT sessions.* FROM sessions, mark WHERE session_end + INTERVAL 30 MINUTE <= mark.at""",
+          SELECT user_id, ts, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts) AS no FROM flagged)
+        SELECT user_id, min(ts) AS session_start, max(ts) AS session_end, count(*) AS events
+        FROM numbered GROUP BY user_id, no""",
     ),
     "stream_dedupe": (stream_dedupe, "SELECT DISTINCT ON (event_id) * FROM events ORDER BY event_id, ts"),
+    "stream_dedupe_of_repeats": (stream_dedupe_of_repeats, "SELECT * FROM events"),
+    "stream_late_rows": (
+        stream_late_rows,
+        # The watermark is the latest time seen, in whole milliseconds, less the delay.
+        """
+        WITH halves AS (SELECT *, event_id > (SELECT max(event_id) // 2 FROM events) AS early FROM events),
+        mark AS (
+          SELECT date_trunc('millisecond', max(ts)) - INTERVAL 10 MINUTE AS at FROM halves WHERE early)
+        SELECT count(*) FILTER (WHERE early OR ts >= mark.at) AS kept, count(*) FILTER (WHERE NOT early AND ts < mark.at) AS late
+        FROM halves, mark""",
+    ),
     "stream_enrich": (
         stream_enrich,
         """

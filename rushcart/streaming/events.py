@@ -1,18 +1,23 @@
 """Streaming forms. Streams come from :func:`rushcart.sources.tables.stream_events`.
 
 Results leave in append mode: a window or session appears once, when the watermark
-has passed its end, and its state is dropped then.
+has passed its end, and its state is dropped then. An input that ends is closed with
+:func:`with_end` and :func:`run_to_end`, so that its last windows appear too.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from datetime import timedelta
+from collections.abc import Callable, Sequence
+from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from rushcart.functions.spans import text
+from rushcart.sources.tables import EVENTS, stream_events
+
+#: Time and user of the row that ends an input. Its own window or session never closes.
+END, NOBODY = datetime(2500, 1, 1), -1
 
 
 def stream_traffic(
@@ -39,8 +44,8 @@ def _windowed(stream, delay, window, group):
 
 def stream_sessions(stream: DataFrame, gap: timedelta, delay: timedelta) -> DataFrame:
     return (
-        stream.where(F.col("user_id").isNotNull())
-        .withWatermark("ts", text(delay))
+        stream.withWatermark("ts", text(delay))
+        .where(F.col("user_id").isNotNull())
         .groupBy("user_id", F.session_window("ts", text(gap)).alias("_w"))
         .agg(
             F.min("ts").cast("timestamp_ntz").alias("session_start"),
@@ -96,16 +101,35 @@ def stream_conversions(
 
 
 def late_rows(query: StreamingQuery) -> int:
-    """Rows that the query's kept progress reports as dropped for being late.
+    """Rows that a run dropped for being late, over all of its progress reports.
 
-    Aggregations drop them after partial aggregation: late rows of one group that
-    arrive in one task count as one.
+    Fails where the session may have kept only the last of them; a larger
+    ``spark.sql.streaming.numRecentProgressUpdates`` keeps more. Aggregations drop rows after
+    partial aggregation: late rows of one group that arrive in one task count as one.
     """
-    return sum(
-        operator.numRowsDroppedByWatermark
-        for progress in query.recentProgress
-        for operator in progress.stateOperators
-    )
+    reports = query.recentProgress
+    if len(reports) >= int(SparkSession.active().conf.get("spark.sql.streaming.numRecentProgressUpdates")):
+        raise RuntimeError("progress reports were dropped: raise spark.sql.streaming.numRecentProgressUpdates")
+    return sum(operator.numRowsDroppedByWatermark for progress in reports for operator in progress.stateOperators)
+
+
+def with_end(events: DataFrame, folder: str) -> DataFrame:
+    """A stream of events and, behind it, what :func:`run_to_end` puts into ``folder``, which is made here."""
+    spark = events.sparkSession
+    spark.createDataFrame([], EVENTS).write.mode("append").parquet(folder)
+    return events.unionByName(stream_events(spark, folder))
+
+
+def run_to_end(start: Callable[[], StreamingQuery], spark: SparkSession, folder: str) -> StreamingQuery:
+    """Runs a query until its input is used up, then once more over a last row far ahead of
+    all others, which closes every window and session. ``start`` begins a run that goes on
+    from the query's checkpoint."""
+    start().awaitTermination()
+    last = [(None, END, NOBODY, None, None, None)]
+    spark.createDataFrame(last, EVENTS).coalesce(1).write.mode("append").parquet(folder)
+    query = start()
+    query.awaitTermination()
+    return query
 
 
 def write_stream(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
