@@ -8,7 +8,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from rushcart.functions.money import exact, ratio
+from rushcart.functions.money import coarse, fine, ratio
 from rushcart.functions.quantiles import (
     column_name,
     exact_quantiles,
@@ -16,7 +16,7 @@ from rushcart.functions.quantiles import (
     with_quantiles,
 )
 from rushcart.functions.skew import HOT_ROWS, cut_hot_keys
-from rushcart.functions.spans import window_start
+from rushcart.functions.spans import MICROSECOND, micros, window_start
 from rushcart.sources.folders import stored
 
 PROBS = (0.5, 0.9, 0.95, 0.99)
@@ -55,7 +55,7 @@ def request_summary(
         F.sum("errors").alias("errors"),
         F.min("first_ts").alias("first_ts"),
         F.max("last_ts").alias("last_ts"),
-        ratio(F.sum(exact("x") * F.col("n")), measured).alias("mean_ms"),
+        ratio(coarse(F.sum(fine("x") * F.col("n"))), measured).alias("mean_ms"),
         F.min("x").alias("min_ms"),
         F.max("x").alias("max_ms"),
     )
@@ -124,7 +124,7 @@ def bottlenecks(df: DataFrame, group: Sequence[str]) -> DataFrame:
     The ranking orders one row per group, so group by routes or services, not users.
     """
     spent = df.groupBy(*group).agg(
-        F.count("*").alias("requests"), F.sum(exact("latency_ms")).alias("_spent")
+        F.count("*").alias("requests"), F.sum(fine("latency_ms")).alias("_spent")
     )
     ranked = Window.orderBy(F.desc_nulls_last("_spent"), *group)
     sofar = ranked.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -134,7 +134,7 @@ def bottlenecks(df: DataFrame, group: Sequence[str]) -> DataFrame:
     return spent.select(
         *group,
         "requests",
-        F.col("_spent").cast("double").alias("spent_ms"),
+        coarse(F.col("_spent")).alias("spent_ms"),
         F.row_number().over(ranked).alias("rank"),
         ratio("_spent", total).alias("share"),
         ratio(F.sum("_spent").over(sofar), total).alias("running_share"),
@@ -142,26 +142,46 @@ def bottlenecks(df: DataFrame, group: Sequence[str]) -> DataFrame:
 
 
 def load_vs_latency(df: DataFrame, width: timedelta, bands: int) -> DataFrame:
-    """Latency and errors of windows by how busy they were.
+    """Latency and errors by how busy the time window was.
 
     Windows are put into ``bands`` equal ranges of request counts, 0 to the highest
-    count. Per band: windows, requests, error rate, mean and highest of the
-    windows' p95. Windows without requests have no latency and do not appear.
+    count; those without requests, between the first and the last, count in band 0. Per
+    band: windows, requests, error rate and p95 of its requests, and the mean and highest
+    of its windows' p95.
     """
-    timed = df.withColumn("window_start", window_start("ts", width))
+    timed = df.where(F.col("ts").isNotNull()).withColumn("window_start", window_start("ts", width))
     per_window = stored(
-        request_summary(timed, ["window_start"], [0.95]).select("requests", "errors", "p95"),
+        request_summary(timed, ["window_start"], [0.95]).select("window_start", "requests", "errors", "p95"),
         "windows",
     )
     highest = per_window.select(F.max("requests")).scalar()
-    band = F.floor(F.col("requests") * bands / (highest + 1)).alias("band")
-    return per_window.groupBy(band).agg(
-        F.count("*").alias("windows"),
-        F.sum("requests").alias("requests"),
-        ratio(F.sum("errors"), F.sum("requests")).alias("error_rate"),
-        ratio(F.sum(exact("p95")), F.count("p95")).alias("mean_p95"),
-        F.max("p95").alias("max_p95"),
+    banded = per_window.withColumn("band", F.floor(F.col("requests") * bands / (highest + 1)))
+    span = micros(F.max("window_start")) - micros(F.min("window_start"))
+    empty = per_window.agg(
+        (F.expr("1") + span / (width // MICROSECOND) - F.count("*")).cast("long").alias("windows")
+    ).select(F.lit(0).cast("long").alias("band"), "windows").where("windows > 0")
+    stats = (
+        banded.groupBy("band")
+        .agg(
+            F.count("*").alias("windows"),
+            F.sum("requests").alias("requests"),
+            F.sum("errors").alias("errors"),
+            ratio(coarse(F.sum(fine("p95"))), F.count("p95")).alias("mean_p95"),
+            F.max("p95").alias("max_p95"),
+        )
+        .unionByName(empty, allowMissingColumns=True)
+        .groupBy("band")
+        .agg(
+            F.sum("windows").alias("windows"),
+            F.coalesce(F.sum("requests"), F.lit(0)).alias("requests"),
+            ratio(F.sum("errors"), F.sum("requests")).alias("error_rate"),
+            F.max("mean_p95").alias("mean_p95"),
+            F.max("max_p95").alias("max_p95"),
+        )
     )
+    own = timed.join(banded.select("window_start", "band"), "window_start")
+    counts = value_counts(own, ["band"], "latency_ms", CELL_MS)
+    return with_quantiles(stats, exact_quantiles(counts, ["band"], [0.95]), ["band"], [0.95])
 
 
 def slow_samples(

@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from rushcart.functions.money import ratio
+from rushcart.functions.money import fine, ratio
 from rushcart.functions.spans import micros
 from rushcart.operators.latency import request_summary
 
@@ -68,10 +68,13 @@ def version_compare(samples: DataFrame, baseline: str) -> DataFrame:
 
 
 def version_steps(summary: DataFrame, order: Sequence[str]) -> DataFrame:
-    """What each version gained over the one before it in ``order``."""
+    """What each version gained over the one before it in ``order``.
+
+    Versions that ``order`` does not name have no step and nothing before them.
+    """
     place = F.array_position(F.array(*[F.lit(v) for v in order]), F.col("version"))
-    steps = summary.withColumn("step", place.cast("int")).where(F.col("step") > 0)
-    before = Window.orderBy("step")
+    steps = summary.withColumn("step", F.nullif(place, F.lit(0)).cast("int"))
+    before = Window.partitionBy(F.col("step").isNull(), F.when(F.col("step").isNull(), F.col("version"))).orderBy("step")
     return steps.select(
         "step",
         F.lag("version").over(before).alias("from_version"),
@@ -94,12 +97,12 @@ def version_pivot(
 
 
 def regressions(compare: DataFrame, t: float, min_n: int) -> DataFrame:
-    """Cells whose p95 is more than ``t`` (0.1 = 10 %) above the baseline's.
+    """Cells whose p95 is more than ``t`` (0.1 = 10 %) above the baseline's, one of 0 included.
 
     Cells with fewer than ``min_n`` requests on either side are left out.
     """
     return compare.where(
-        (F.col("p95_ratio") > 1 + t)
+        (F.col("p95") > F.col("base_p95") * (1 + t))
         & (F.col("requests") >= min_n)
         & (F.col("base_requests") >= min_n)
     )
@@ -108,32 +111,34 @@ def regressions(compare: DataFrame, t: float, min_n: int) -> DataFrame:
 def welch(samples: DataFrame, base: str, other: str, group: Sequence[str] = ()) -> DataFrame:
     """Welch's t and degrees of freedom for the difference of mean latencies.
 
-    Sums and sums of squares are exact; latencies count to a hundredth of a
-    millisecond. Null where a side has fewer than two samples or nothing varies.
+    Sums, and sums of squares around each side's smallest value, are exact, so neither the
+    order of rows nor a large mean costs digits. Null where a side has fewer than two samples
+    or nothing varies.
     """
-    x = F.col("latency_ms").cast("decimal(12,2)")
+    own = samples.where(F.col("version").isin(base, other)).select(
+        *group, "version", fine("latency_ms").alias("_x")
+    )
+    sides = own.groupBy(*group, "version").agg(F.min("_x").alias("_low"))
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in (*group, "version")]
+    sides = sides.select(*[F.col(c).alias(f"_{c}") for c in (*group, "version")], "_low")
+    above = own.join(sides, reduce(lambda a, b: a & b, same)).withColumn(
+        "_d", (F.col("_x") - F.col("_low")).cast("decimal(19,0)")
+    )
 
     def side(version, tag):
-        here = F.when(F.col("version") == version, x)
+        here = F.col("version") == version
         return [
-            F.count(here).alias(f"n_{tag}"),
-            F.sum(here).alias(f"s_{tag}"),
-            F.sum(here * here).alias(f"q_{tag}"),
+            F.count(F.when(here, F.col("_x"))).alias(f"n_{tag}"),
+            F.sum(F.when(here, F.col("_x"))).alias(f"s_{tag}"),
+            F.sum(F.when(here, F.col("_d"))).alias(f"r_{tag}"),
+            F.sum(F.when(here, F.col("_d") * F.col("_d"))).alias(f"q_{tag}"),
         ]
 
-    sums = (
-        samples.where(F.col("version").isin(base, other))
-        .groupBy(*group)
-        .agg(*side(base, "base"), *side(other, "other"))
-    )
+    sums = above.groupBy(*group).agg(*side(base, "base"), *side(other, "other"))
     for tag in ("base", "other"):
-        n, s, q = (F.col(f"{c}_{tag}") for c in "nsq")
-        mean = ratio(s, n)
-        # The numerator is exact (decimal) up to its last conversion.
-        spread = ratio(
-            (n * q - s * s).cast("double"), n.cast("double") * (n.cast("double") - 1.0)
-        )
-        sums = sums.withColumn(f"mean_{tag}", mean).withColumn(f"e_{tag}", ratio(spread, n))
+        n, s, r, q = (F.col(f"{c}_{tag}").cast("double") for c in "nsrq")
+        spread = ratio((q - r * r / n) / 1e18, n - 1.0)
+        sums = sums.withColumn(f"mean_{tag}", ratio(s / 1e9, n)).withColumn(f"e_{tag}", ratio(spread, n))
     e1, e2 = F.col("e_base"), F.col("e_other")
     n1, n2 = F.col("n_base"), F.col("n_other")
     t = ratio(F.col("mean_base") - F.col("mean_other"), F.sqrt(e1 + e2))

@@ -97,7 +97,7 @@ def error_runs(spark, sf_dir):
 
 SUMMARY = """
   count(*) AS requests,
-  CAST(sum(CAST(latency_ms AS DECIMAL(18,6))) AS DOUBLE) / count(latency_ms) AS mean_ms,
+  CAST(sum(CAST(floor(latency_ms * 1e9::DOUBLE + 0.5::DOUBLE) AS BIGINT)) AS DOUBLE) / 1e9::DOUBLE / count(latency_ms) AS mean_ms,
   min(latency_ms) AS min_ms, max(latency_ms) AS max_ms,
   quantile_disc(latency_ms, 0.5) AS p50, quantile_disc(latency_ms, 0.9) AS p90,
   quantile_disc(latency_ms, 0.95) AS p95, quantile_disc(latency_ms, 0.99) AS p99"""
@@ -149,9 +149,9 @@ PLANS = {
         bottlenecks,
         f"""
         WITH {SAMPLES}, spent AS (
-          SELECT route, count(*) AS requests, sum(CAST(latency_ms AS DECIMAL(18,6))) AS s
+          SELECT route, count(*) AS requests, sum(CAST(floor(latency_ms * 1e9::DOUBLE + 0.5::DOUBLE) AS BIGINT)) AS s
           FROM samples GROUP BY route)
-        SELECT route, requests, CAST(s AS DOUBLE) AS spent_ms,
+        SELECT route, requests, CAST(s AS DOUBLE) / 1e9::DOUBLE AS spent_ms,
                CAST(row_number() OVER (ORDER BY s DESC, route) AS INTEGER) AS rank,
                CAST(s AS DOUBLE) / CAST(sum(s) OVER () AS DOUBLE) AS share,
                CAST(sum(s) OVER (ORDER BY s DESC, route) AS DOUBLE)
@@ -165,14 +165,21 @@ PLANS = {
           SELECT date_trunc('hour', ts) AS h, count(*) AS requests,
                  count(*) FILTER (is_error) AS errors, quantile_disc(latency_ms, 0.95) AS p95
           FROM samples GROUP BY 1),
+        every AS (
+          SELECT h, coalesce(requests, 0) AS requests, coalesce(errors, 0) AS errors, p95
+          FROM (SELECT unnest(generate_series(min(h), max(h), INTERVAL 1 HOUR)) AS h FROM w) LEFT JOIN w USING (h)),
         banded AS (
-          SELECT *, (requests * 5) // ((SELECT max(requests) FROM w) + 1) AS band FROM w)
-        SELECT CAST(band AS BIGINT) AS band, count(*) AS windows,
+          SELECT *, (requests * 5) // ((SELECT max(requests) FROM w) + 1) AS band FROM every),
+        own AS (
+          SELECT band, quantile_disc(latency_ms, 0.95) AS p95
+          FROM samples JOIN banded ON h = date_trunc('hour', ts) GROUP BY band)
+        SELECT CAST(b.band AS BIGINT) AS band, count(*) AS windows,
                CAST(sum(requests) AS BIGINT) AS requests,
                CAST(sum(errors) AS DOUBLE) / CAST(sum(requests) AS DOUBLE) AS error_rate,
-               CAST(sum(CAST(p95 AS DECIMAL(18,6))) AS DOUBLE) / count(p95) AS mean_p95,
-               max(p95) AS max_p95
-        FROM banded GROUP BY band""",
+               CAST(sum(CAST(floor(b.p95 * 1e9::DOUBLE + 0.5::DOUBLE) AS BIGINT)) AS DOUBLE) / 1e9::DOUBLE
+                 / count(b.p95) AS mean_p95,
+               max(b.p95) AS max_p95, any_value(own.p95) AS p95
+        FROM banded b LEFT JOIN own ON own.band = b.band GROUP BY b.band""",
     ),
     "slow_samples": (
         slow_samples,

@@ -74,19 +74,23 @@ def _welch_sql(group):
     by, comma, clause = (group, ",", f"GROUP BY {group}") if group else ("", "", "")
     return f"""
     WITH {SAMPLES}, x AS (
-      SELECT *, CAST(latency_ms AS DECIMAL(12,2)) AS x FROM samples),
+      SELECT *, CAST(floor(latency_ms * 1e9::DOUBLE + 0.5::DOUBLE) AS HUGEINT) AS x FROM samples
+      WHERE version IN ('V1', 'V4')),
+    d AS (SELECT *, x - min(x) OVER (PARTITION BY {by} {comma} version) AS d FROM x),
     s AS (
       SELECT {by} {comma}
              count(x) FILTER (version = 'V1') AS n1, count(x) FILTER (version = 'V4') AS n2,
-             sum(x) FILTER (version = 'V1') AS s1, sum(x) FILTER (version = 'V4') AS s2,
-             sum(x * x) FILTER (version = 'V1') AS q1, sum(x * x) FILTER (version = 'V4') AS q2
-      FROM x WHERE version IN ('V1', 'V4') {clause}),
+             CAST(sum(x) FILTER (version = 'V1') AS DOUBLE) AS s1,
+             CAST(sum(x) FILTER (version = 'V4') AS DOUBLE) AS s2,
+             CAST(sum(CAST(d AS DECIMAL(38,0))) FILTER (version = 'V1') AS DOUBLE) AS r1,
+             CAST(sum(CAST(d AS DECIMAL(38,0))) FILTER (version = 'V4') AS DOUBLE) AS r2,
+             CAST(sum(CAST(d * d AS DECIMAL(38,0))) FILTER (version = 'V1') AS DOUBLE) AS q1,
+             CAST(sum(CAST(d * d AS DECIMAL(38,0))) FILTER (version = 'V4') AS DOUBLE) AS q2
+      FROM d {clause}),
     m AS (
-      SELECT *, CAST(s1 AS DOUBLE) / n1 AS m1, CAST(s2 AS DOUBLE) / n2 AS m2,
-             CAST(n1 * q1 - s1 * s1 AS DOUBLE)
-               / nullif(CAST(n1 AS DOUBLE) * (n1 - 1.0::DOUBLE), 0) / n1 AS e1,
-             CAST(n2 * q2 - s2 * s2 AS DOUBLE)
-               / nullif(CAST(n2 AS DOUBLE) * (n2 - 1.0::DOUBLE), 0) / n2 AS e2
+      SELECT *, s1 / 1e9::DOUBLE / n1 AS m1, s2 / 1e9::DOUBLE / n2 AS m2,
+             (q1 - r1 * r1 / n1) / 1e18::DOUBLE / nullif(n1 - 1.0::DOUBLE, 0) / n1 AS e1,
+             (q2 - r2 * r2 / n2) / 1e18::DOUBLE / nullif(n2 - 1.0::DOUBLE, 0) / n2 AS e2
       FROM s)
     SELECT {by} {comma} n1 AS n_base, n2 AS n_other, m1 AS mean_base, m2 AS mean_other,
            (m1 - m2) / nullif(sqrt(e1 + e2), 0) AS t,
@@ -132,7 +136,7 @@ PLANS = {
         f"""
         WITH {SAMPLES}, {COMPARED}
         SELECT * FROM compared
-        WHERE p95_ratio > 1.1::DOUBLE AND requests >= 5 AND base_requests >= 5""",
+        WHERE p95 > base_p95 * 1.1::DOUBLE AND requests >= 5 AND base_requests >= 5""",
     ),
     "welch": (welch, _welch_sql("")),
     "welch_by_route": (welch_by_route, _welch_sql("route")),
