@@ -6,13 +6,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from rushcart.functions.money import line_revenue
+from rushcart.functions.money import line_revenue, whole
 
 
 def order_lines(lineitem: DataFrame) -> DataFrame:
     """Order lines as bought. ``lines`` is 1 here and a count after :func:`summed`.
 
-    Revenue is a decimal and adds up exactly; quantities do as far as they are whole.
+    Revenue is a decimal; it and quantities, which are summed as decimals, add up exactly.
     """
     return lineitem.select(
         F.col("l_orderkey").alias("order_id"),
@@ -30,7 +30,11 @@ def summed(lines: DataFrame, *keys: str) -> DataFrame:
     Summing per order before joining the orders makes a huge order one row, and
     its rows reach that join already shuffled by order.
     """
-    return lines.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in ("lines", "quantity", "revenue")])
+    return lines.groupBy(*keys).agg(
+        F.sum("lines").alias("lines"),
+        F.sum(whole("quantity")).alias("quantity"),
+        F.sum("revenue").alias("revenue"),
+    )
 
 
 def with_buyers(
@@ -99,7 +103,7 @@ def _lines():
 
 
 def _units():
-    return F.sum("quantity").alias("units")
+    return F.sum(whole("quantity")).cast("double").alias("units")
 
 
 def _revenue():
@@ -134,12 +138,27 @@ def top_products_per(lines: DataFrame, group: str, k: int, by: str = "revenue")
 
 
 def customer_purchases(lines: DataFrame) -> DataFrame:
-    return lines.groupBy("user").agg(
-        F.min("ordered_at").alias("first_purchase"),
-        F.max("ordered_at").alias("last_purchase"),
-        F.countDistinct("order_id").alias("orders"),
-        F.countDistinct("item").alias("products"),
-        F.sum("revenue").cast("double").alias("spend"),
+    """First and last purchase, orders, distinct products and spend per customer.
+
+    Two distinct counts in one grouping would copy every line twice; here lines become one
+    row per order on one side and one per product on the other, and the two meet per customer.
+    """
+    orders = lines.groupBy("user", "order_id").agg(
+        F.min("ordered_at").alias("_first"),
+        F.max("ordered_at").alias("_last"),
+        F.sum("revenue").alias("_spend"),
+    )
+    bought = orders.groupBy("user").agg(
+        F.min("_first").alias("first_purchase"),
+        F.max("_last").alias("last_purchase"),
+        F.count("order_id").alias("orders"),
+        F.sum("_spend").cast("double").alias("spend"),
+    )
+    products = (
+        lines.select(F.col("user").alias("_user"), "item").distinct().groupBy("_user").agg(F.count("item").alias("products"))
+    )
+    return bought.join(products, F.col("user").eqNullSafe(F.col("_user"))).select(
+        "user", "first_purchase", "last_purchase", "orders", "products", "spend"
     )
 
 
