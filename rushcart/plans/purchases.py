@@ -102,6 +102,18 @@ def products_never_sold(spark, sf_dir):
     return journeys.never(load_table(spark, sf_dir, "part"), sold, ["p_partkey"])
 
 
+def orders_without_line(spark, sf_dir):
+    has_line = load_table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"))
+    return journeys.never(load_table(spark, sf_dir, "orders"), has_line, ["o_orderkey"])
+
+
+def events_of_big_buyers(spark, sf_dir):
+    """Events on days on which the user bought something above 150."""
+    log = events(spark, sf_dir).withColumn("day", F.date_trunc("day", "ts").cast("timestamp_ntz"))
+    big = log.where("event_type = 'purchase' AND value > 150")
+    return journeys.only(log, big, ["user_id", "day"])
+
+
 def buyer_events(spark, sf_dir):
     log = events(spark, sf_dir)
     return journeys.only(log, log.where("event_type = 'purchase'"), ["user_id"])
@@ -222,6 +234,17 @@ PLANS = {
         products_never_sold,
         "SELECT * FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem)",
     ),
+    "orders_without_line": (
+        orders_without_line,
+        "SELECT * FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)",
+    ),
+    "events_of_big_buyers": (
+        events_of_big_buyers,
+        """
+        WITH log AS (SELECT *, CAST(date_trunc('day', ts) AS TIMESTAMP) AS day FROM events)
+        SELECT * FROM log WHERE (user_id, day) IN
+          (SELECT (user_id, day) FROM log WHERE event_type = 'purchase' AND value > 150)""",
+    ),
     "buyer_events": (
         buyer_events,
         """

@@ -1,7 +1,11 @@
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from rushcart.operators import versions
 from rushcart.operators.latency import request_summary
+from rushcart.sources.samples import samples_from_events
+from rushcart.sources.tables import load_table
 from rushcart.plans.common import SAMPLES, samples
 
 ORDER = ["V1", "V2", "V3", "V4"]
@@ -46,6 +50,14 @@ def route_diff(spark, sf_dir):
     return versions.route_diff(samples(spark, sf_dir), "V1", "V2")
 
 
+def user_diff(spark, sf_dir):
+    """Users and hours of the day stand in for finer routes, of which each version has some alone."""
+    log = load_table(spark, sf_dir, "events")
+    version = samples_from_events(log).select("version", "ts", "is_error")
+    finer = log.select("ts", (F.col("user_id") * 24 + F.hour("ts")).alias("route"))
+    return versions.route_diff(version.join(finer, "ts"), "V1", "V2")
+
+
 PER_VERSION = """
 per_version AS (
   SELECT version, count(*) AS requests,
@@ -140,6 +152,18 @@ PLANS = {
     ),
     "welch": (welch, _welch_sql("")),
     "welch_by_route": (welch_by_route, _welch_sql("route")),
+    "user_diff": (
+        user_diff,
+        f"""
+        WITH {SAMPLES}, finer AS (
+          SELECT version, user_id * 24 + hour(events.ts) AS route
+          FROM samples JOIN events ON events.ts = samples.ts),
+        a AS (SELECT DISTINCT route FROM finer WHERE version = 'V1'),
+        b AS (SELECT DISTINCT route FROM finer WHERE version = 'V2')
+        SELECT route, 'both' AS found_in FROM (SELECT * FROM a INTERSECT SELECT * FROM b)
+        UNION ALL SELECT route, 'V1' FROM (SELECT * FROM a EXCEPT SELECT * FROM b)
+        UNION ALL SELECT route, 'V2' FROM (SELECT * FROM b EXCEPT SELECT * FROM a)""",
+    ),
     "route_diff": (
         route_diff,
         f"""

@@ -2,23 +2,47 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Paths given out, until they are removed.
+_given: list[str] = []
+
 
 def work_folder(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder that ``spark.checkpoint.dir`` names.
 
-    Only a local session without that setting gets a temporary folder of the machine.
+    Only a session in one process without that setting gets a temporary folder of the machine.
     """
     shared = spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getCheckpointDir()
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         shared = tempfile.mkdtemp(prefix="rushcart-")
-    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _given.append(path)
+    return path
+
+
+@contextmanager
+def intermediates(spark: SparkSession) -> Iterator[None]:
+    """Removes at its end the intermediate tables that were written inside it.
+
+    Write results before that: frames read these tables until they have been computed.
+    """
+    before = len(_given)
+    try:
+        yield
+    finally:
+        for path in _given[before:]:
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+        del _given[before:]
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

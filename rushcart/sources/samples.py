@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 #: Columns declared as not nullable must be present in a record.
@@ -77,17 +79,19 @@ def samples_from_events(events: DataFrame) -> DataFrame:
     )
 
 
-def write_samples(df: DataFrame, path: str) -> None:
-    """Parquet by version and day, so that either can be read alone.
+def write_samples(df: DataFrame, path: str, run: str | None = None) -> None:
+    """Parquet by version, day and run, so that each can be read alone.
 
-    The rebalance hint splits a large version-day over several files and packs
-    small ones; writing a version-day again replaces only that part.
+    The rebalance hint splits a large version-day over several files and packs small ones.
+    What other runs wrote stays. Writing under a ``run`` again replaces that run's rows of the
+    versions and days written; without a name every call is a run of its own.
     """
     (
         df.withColumn("day", F.to_date("ts"))
+        .withColumn("run", F.lit(run or uuid.uuid4().hex))
         .hint("rebalance", "version", "day")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("version", "day")
+        .partitionBy("version", "day", "run")
         .parquet(path)
     )

@@ -2,7 +2,7 @@ import pytest
 from conftest import tuples
 from pyspark.sql import types as T
 
-from rushcart.sources.folders import stored, work_folder
+from rushcart.sources.folders import intermediates, stored, work_folder
 from rushcart.sources.samples import SAMPLES, read_samples, samples_from_events, write_samples
 
 
@@ -51,14 +51,17 @@ def test_parquet_rows_without_required_values_are_bad(spark, samples, tmp_path):
     assert tuples(bad, "reason") == [("missing latency_ms",)]
 
 
-def test_one_version_or_day_is_read_alone_and_replaced_alone(spark, samples, tmp_path):
+def test_runs_add_up_and_a_named_run_is_replaced_alone(spark, samples, tmp_path):
     path, day = str(tmp_path / "s"), 86_400
     write_samples(samples([("V1", 1, 0, 1.0, False), ("V2", 1, 0, 2.0, False), ("V2", 1, day, 3.0, False)]), path)
-    write_samples(samples([("V2", 1, day, 4.0, False)]), path)
+    write_samples(samples([("V2", 1, day, 4.0, False)]), path, "late")
     back = spark.read.parquet(path)
-    assert tuples(back, "version", "latency_ms") == [("V1", 1.0), ("V2", 2.0), ("V2", 4.0)]
+    assert tuples(back, "version", "latency_ms") == [("V1", 1.0), ("V2", 2.0), ("V2", 3.0), ("V2", 4.0)]
+    write_samples(samples([("V2", 1, day, 5.0, False)]), path, "late")
+    back = spark.read.parquet(path)
+    assert tuples(back, "version", "latency_ms") == [("V1", 1.0), ("V2", 2.0), ("V2", 3.0), ("V2", 5.0)]
     some = back.where("version = 'V2' AND day = DATE'2024-01-02'")
-    assert tuples(some, "latency_ms") == [(4.0,)]
+    assert tuples(some, "latency_ms") == [(3.0,), (5.0,)]
     text = some._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(version" in text
 
@@ -79,9 +82,23 @@ def test_work_goes_to_the_folder_the_session_names(spark):
     assert stored(spark.range(3), "three").inputFiles()[0].startswith(f"file://{shared}")
 
 
-def test_a_cluster_without_that_setting_is_refused():
+def test_intermediates_go_with_their_block(spark, tmp_path):
+    import os
+
+    before = stored(spark.range(2), "kept")
+    with intermediates(spark):
+        inner = stored(spark.range(3), "gone")
+        inner.write.parquet(str(tmp_path / "result"))
+        path = inner.inputFiles()[0].removeprefix("file://")
+        assert os.path.exists(path)
+    assert not os.path.exists(os.path.dirname(path))
+    assert before.count() == 2 and spark.read.parquet(str(tmp_path / "result")).count() == 3
+
+
+@pytest.mark.parametrize("where", ["spark://somewhere:7077", "local-cluster[2,1,1024]"])
+def test_a_cluster_without_that_setting_is_refused(where):
     class Context:
-        master = "spark://somewhere:7077"
+        master = where
 
         def getCheckpointDir(self):
             return None

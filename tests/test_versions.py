@@ -19,7 +19,9 @@ def test_missing_and_zero_baselines_give_null(samples):
         (3, 3.0, 2.0, 1.5),
         (None, 1.0, None, None),
     ]
-    assert tuples(versions.regressions(got, 0.4, 1), "version", "route") == [("V2", 3)]
+    # From 0 to 5 ms is a regression, too, although there is no ratio.
+    assert tuples(versions.regressions(got, 0.4, 1), "version", "route") == [("V2", 1), ("V2", 3)]
+    assert tuples(versions.regressions(got, 0.6, 1), "version", "route") == [("V2", 1)]
     assert versions.regressions(got, 0.4, 2).count() == 0
 
 
@@ -39,12 +41,24 @@ def test_welch_by_hand(samples):
     assert abs(got["dof"] - (e1 + e2) ** 2 / (e1**2 / 2 + e2**2 / 3)) < 1e-9
 
 
+def test_welch_sees_differences_of_microseconds_and_far_from_zero(samples):
+    def t(shift):
+        rows = [("V1", 1, i, shift + v / 1000, False) for i, v in enumerate([1, 2, 3, 2, 1, 3])]
+        rows += [("V2", 1, i, shift + v / 1000, False) for i, v in enumerate([4, 5, 4, 5, 4, 5])]
+        return versions.welch(samples(rows), "V1", "V2").first()["t"]
+
+    e1, e2 = 0.8 / 6, 0.3 / 6
+    assert abs(t(0.0) - (2 - 4.5) / (e1 + e2) ** 0.5) < 1e-9
+    assert abs(t(90_000.0) - t(0.0)) < 1e-6
+
+
 def test_steps_follow_the_declared_order(samples):
     rows = [("V2", 1, 0, 8.0, False), ("V1", 1, 0, 4.0, False), ("V9", 1, 0, 4.0, False)]
     got = versions.version_steps(versions.version_summary(samples(rows)), ["V2", "V1"])
     assert tuples(got, "step", "from_version", "to_version", "p95_ratio") == [
         (1, None, "V2", None),
         (2, "V2", "V1", 0.5),
+        (None, None, "V9", None),
     ]
 
 
