@@ -1,10 +1,10 @@
 """Ordered work on keys of which a few may hold a large part of all rows.
 
 A window partitioned by such a key would put all of its rows into one task.
-Here a key above ``rows`` rows is cut into slices of its own time span, windows
-run inside a slice, and what crosses a slice border is carried over on a small
-table with one row per slice. Other keys stay whole, and where no key is that
-large the plan is a plain window.
+Here a key above ``rows`` rows is cut into slices of about that many, windows run
+inside a slice, and what crosses a slice border is carried over on a small table
+with one row per slice. Other keys stay whole, and where no key is that large the
+plan is a plain window.
 """
 
 from __future__ import annotations
@@ -19,9 +19,9 @@ from rushcart.sources.folders import stored
 #: Keys with more rows than this are cut into slices of about this many rows.
 HOT_ROWS = 1_000_000
 
-#: Only this many keys, the largest ones, are cut. It bounds the broadcast table;
-#: a key beyond it stays in one task and the result does not change.
-HOT_KEYS = 100_000
+#: Slices that one look at the times of a key or slice gives at most.
+FAN = 64
+_STEP = 2 * FAN
 
 
 def cut_hot_keys(
@@ -31,31 +31,49 @@ def cut_hot_keys(
 
     Also tells whether there is any hot key, which takes one pass that counts rows
     per key. Rows of one key with equal ``ts`` share a piece; pieces rise with ``ts``.
+    Borders are quantiles of the key's times, so a burst is cut as finely as it is dense;
+    slices that came out above twice ``rows`` are cut again, down to a single time.
     """
-    at = micros(ts)
     hot = stored(
-        df.groupBy(key)
-        .agg(F.count("*").alias("_n"), F.min(at).alias("_lo"), F.max(at).alias("_hi"))
-        .where(F.col("_n") > rows)
-        .orderBy(F.desc("_n"), key)
-        .limit(HOT_KEYS)
-        .select(
-            key,
-            "_lo",
-            (F.floor((F.col("_hi") - F.col("_lo")) / F.ceil(F.col("_n") / rows)) + 1).alias("_width"),
-        ),
+        df.groupBy(key).agg(F.count("*").alias("_n")).where(F.col("_n") > rows).select(key, F.lit(0).cast("long").alias("piece")),
         "hot-keys",
     )
     if hot.isEmpty():
         return df.withColumn("piece", F.lit(None).cast("long")), False
-    cut = (
-        df.join(F.broadcast(hot), key, "left")
-        .withColumn("piece", F.floor((at - F.col("_lo")) / F.col("_width")))
-        .drop("_lo", "_width")
-    )
+    at = micros(ts)
+    cut = df.join(hot, key, "left")
+    for _ in range(8):
+        over = stored(_borders(cut.where(F.col("piece").isNotNull()), key, at, rows), "borders")
+        if over.isEmpty():
+            break
+        passed = F.size(F.filter("_borders", lambda b: b <= at))
+        cut = cut.join(over, [key, "piece"], "left").withColumn(
+            "piece", F.col("piece") * _STEP + F.coalesce(F.when(F.col("_borders").isNotNull(), passed), F.lit(0))
+        ).drop("_borders")
     return cut, True
 
 
+def _borders(cut: DataFrame, key: str, at: Column, rows: int) -> DataFrame:
+    """Times at which slices that are still too large are cut, the slices around a frequent
+    time ending right after it."""
+    shares = F.array(*[F.lit(i / FAN) for i in range(1, FAN)])
+    slices = cut.groupBy(key, "piece").agg(
+        F.count("*").alias("_n"),
+        F.min(at).alias("_low"),
+        F.max(at).alias("_high"),
+        F.kll_sketch_agg_bigint(at, F.lit(800)).alias("_sketch"),
+    )
+    every = F.greatest(F.lit(1), F.floor(FAN * F.lit(rows) / F.col("_n")))
+    at_shares = F.filter(F.kll_sketch_get_quantile_bigint("_sketch", shares), lambda _, i: (i + 1) % F.col("_every") == 0)
+    middle = F.array(F.expr("_low + (_high - _low) div 2 + 1"))
+    found = F.array_union(at_shares, F.array_union(F.transform(at_shares, lambda b: b + 1), middle))
+    return (
+        slices.where((F.col("_n") > 2 * rows) & (F.col("_low") < F.col("_high")))
+        .withColumn("_every", every)
+        .select(key, "piece", F.filter(found, lambda b: (b > F.col("_low")) & (b <= F.col("_high"))).alias("_borders"))
+    )
+
+
 def nearest(
     df: DataFrame,
     key: str,
