@@ -56,7 +56,7 @@ def test_equals_all_strings(docs, seed):
 
 
 def test_small_buckets_flushes_and_spread_anchors_change_nothing(docs, monkeypatch):
-    for name, value in (("FLUSH_ANCHORS", 40), ("FLUSH_BYTES", 3000), ("PER_BUCKET", 30), ("BUCKET_BYTES", 4000), ("COMPARED_BYTES", 500), ("COMPARED_WINDOWS", 50), ("LONG", 300)):
+    for name, value in (("FLUSH_ANCHORS", 40), ("FLUSH_BYTES", 3000), ("PER_TASK", 30), ("TASK_BYTES", 4000), ("COMPARED_BYTES", 500), ("COMPARED_WINDOWS", 50), ("LONG", 300)):
         monkeypatch.setattr(suffixes, name, value)
     rows = corpus(3)
     df = docs(rows).repartition(5)
