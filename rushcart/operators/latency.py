@@ -10,9 +10,9 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from rushcart.functions.money import coarse, fine, ratio
 from rushcart.functions.quantiles import (
+    ORDERED,
     column_name,
     exact_quantiles,
-    value_counts,
     with_quantiles,
 )
 from rushcart.functions.skew import HOT_ROWS, cut_hot_keys
@@ -21,9 +21,6 @@ from rushcart.sources.folders import stored
 
 PROBS = (0.5, 0.9, 0.95, 0.99)
 
-#: Width in milliseconds of the cells that locate a quantile. It changes the work only.
-CELL_MS = 1.0
-
 
 def error_rate(df: DataFrame, group: Sequence[str]) -> DataFrame:
     return (
@@ -34,39 +31,39 @@ def error_rate(df: DataFrame, group: Sequence[str]) -> DataFrame:
 
 
 def request_summary(
-    df: DataFrame, group: Sequence[str], probs: Sequence[float] = PROBS, *, cell: float = CELL_MS
+    df: DataFrame, group: Sequence[str], probs: Sequence[float] = PROBS, *, ordered: int = ORDERED
 ) -> DataFrame:
-    """Counts, errors, time span, mean and quantiles in one pass over the samples.
+    """Counts, errors, time span, mean and quantiles: a pass for the sums and one for the quantiles.
 
-    Quantiles are exact. Requests without a latency count as requests only.
+    Quantiles are exact; groups with more than ``ordered`` samples take two passes more for
+    every factor of about fifty. Requests without a latency count as requests only.
     """
-    counts = value_counts(
-        df,
-        group,
-        "latency_ms",
-        cell,
-        F.count_if("is_error").alias("errors"),
-        F.min("ts").alias("first_ts"),
-        F.max("ts").alias("last_ts"),
+    x = F.col("latency_ms")
+    stats = stored(
+        df.groupBy(*group).agg(
+            F.count("*").alias("requests"),
+            F.count_if("is_error").alias("errors"),
+            F.min("ts").alias("first_ts"),
+            F.max("ts").alias("last_ts"),
+            ratio(coarse(F.sum(fine(x))), F.count(x)).alias("mean_ms"),
+            F.min(x).alias("min_ms"),
+            F.max(x).alias("max_ms"),
+            F.count(x).alias("_measured"),
+        ),
+        "stats",
     )
-    measured = F.sum(F.when(F.col("x").isNotNull(), F.col("n")))
-    stats = counts.groupBy(*group).agg(
-        F.sum("n").alias("requests"),
-        F.sum("errors").alias("errors"),
-        F.min("first_ts").alias("first_ts"),
-        F.max("last_ts").alias("last_ts"),
-        ratio(coarse(F.sum(fine("x") * F.col("n"))), measured).alias("mean_ms"),
-        F.min("x").alias("min_ms"),
-        F.max("x").alias("max_ms"),
+    sizes = stats.select(
+        *group, F.col("_measured").alias("total"), F.col("min_ms").alias("low"), F.col("max_ms").alias("high")
     )
-    return with_quantiles(stats, exact_quantiles(counts, group, probs), group, probs)
+    found = exact_quantiles(df, group, "latency_ms", probs, sizes, ordered=ordered)
+    return with_quantiles(stats.drop("_measured"), found, group, probs)
 
 
 def latency_summary(
-    df: DataFrame, group: Sequence[str], probs: Sequence[float] = PROBS, *, cell: float = CELL_MS
+    df: DataFrame, group: Sequence[str], probs: Sequence[float] = PROBS, *, ordered: int = ORDERED
 ) -> DataFrame:
     names = [column_name(p) for p in probs]
-    return request_summary(df, group, probs, cell=cell).select(
+    return request_summary(df, group, probs, ordered=ordered).select(
         *group, "requests", "mean_ms", "min_ms", "max_ms", *names
     )
 
@@ -180,17 +177,16 @@ def load_vs_latency(df: DataFrame, width: timedelta, bands: int) -> DataFrame:
         )
     )
     own = timed.join(banded.select("window_start", "band"), "window_start")
-    counts = value_counts(own, ["band"], "latency_ms", CELL_MS)
-    return with_quantiles(stats, exact_quantiles(counts, ["band"], [0.95]), ["band"], [0.95])
+    own = own.select("band", "latency_ms")
+    return with_quantiles(stats, exact_quantiles(own, ["band"], "latency_ms", [0.95]), ["band"], [0.95])
 
 
 def slow_samples(
-    df: DataFrame, group: Sequence[str], q: float, *, cell: float = CELL_MS
+    df: DataFrame, group: Sequence[str], q: float, *, ordered: int = ORDERED
 ) -> DataFrame:
     """Samples above the ``q`` quantile of their group."""
-    counts = value_counts(df, group, "latency_ms", cell)
     limits = stored(
-        exact_quantiles(counts, group, [q]).select(
+        exact_quantiles(df, group, "latency_ms", [q], ordered=ordered).select(
             *[F.col(c).alias(f"_{c}") for c in group], F.col("x").alias("threshold_ms")
         ),
         "limits",

@@ -3,6 +3,7 @@ import random
 from datetime import timedelta
 
 import pytest
+from pyspark.sql import functions as F
 from conftest import at, plan, tuples
 
 from rushcart.operators import latency
@@ -23,18 +24,46 @@ def disc(values, q):
     return values[max(1, math.ceil(round(q * len(values), 9))) - 1]
 
 
-@pytest.mark.parametrize("cell", [0.001, 1.0, 1e9])
-def test_quantiles_follow_their_definition(samples, cell):
+@pytest.mark.parametrize("ordered", [1, 20, 10**9])
+def test_quantiles_follow_their_definition(samples, ordered):
     rows, probs = load(1), (0.001, 0.5, 0.95, 1.0)
     want = []
     for key in {(r[0], r[1]) for r in rows}:
         here = [r for r in rows if (r[0], r[1]) == key]
         known = [r[3] for r in here if r[3] is not None]
         want.append((*key, len(here), *[disc(known, q) for q in probs]))
-    got = latency.latency_summary(samples(rows), ["version", "route"], probs, cell=cell)
+    got = latency.latency_summary(samples(rows), ["version", "route"], probs, ordered=ordered)
     assert tuples(got, "version", "route", "requests", "p0_1", "p50", "p95", "p100") == sorted(want, key=repr)
 
 
+def test_brackets_hold_few_values_of_any_distribution(spark, monkeypatch):
+    from rushcart.functions import quantiles
+
+    widths = []
+    narrowed = quantiles._narrowed
+
+    def watched(*args):
+        out = narrowed(*args)
+        widths.append(sorted(r["size"] for r in out.collect()))
+        return out
+
+    monkeypatch.setattr(quantiles, "_narrowed", watched)
+    rows = spark.range(300_000).select(
+        (F.col("id") % 3).alias("g"),
+        F.when(F.col("id") % 3 == 0, F.rand(1)).when(F.col("id") % 3 == 1, F.exp(F.randn(2) * 20)).otherwise((F.rand(3) * 5).cast("int")).alias("x"),
+    )
+    rows.write.parquet(path := spark.conf.get("spark.checkpoint.dir") + "/quantile-rows")
+    rows = spark.read.parquet(path)
+    probs = [0.0, 0.001, 0.5, 0.95, 0.9999, 1.0]
+    got = {(r.g, r.q): r.x for r in quantiles.exact_quantiles(rows, ["g"], "x", probs, ordered=500).collect()}
+    per = {}
+    for r in rows.collect():
+        per.setdefault(r.g, []).append(r.x)
+    for g, values in per.items():
+        assert {q: got[g, quantiles.column_name(q)] for q in probs} == {q: disc(values, q) for q in probs}
+    assert len(widths) >= 2 and widths[0][0] < 10_000
+
+
 def test_summary_without_latencies_and_without_rows(samples):
     got = latency.latency_summary(samples([("V1", 1, 0, None, False)]), ["route"], [0.5])
     assert tuples(got, "requests", "mean_ms", "p50") == [(1, None, None)]
