@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from rushcart.operators import latency
 from rushcart.plans.common import SAMPLES, samples
 from rushcart.sources.folders import work_folder
-from rushcart.sources.samples import read_samples, samples_from_events, write_samples
+from rushcart.sources.samples import read_points, read_samples, samples_from_events, write_samples
 from rushcart.sources.tables import load_table
 
 CELL = ["version", "route"]
@@ -30,7 +30,8 @@ def samples_read_from(fmt):
 
     def run(spark, sf_dir):
         path = work_folder(spark, f"samples-{fmt}")
-        writer = samples_from_events(load_table(spark, sf_dir, "events")).write
+        rows = samples_from_events(load_table(spark, sf_dir, "events"))
+        writer = rows.select(*reversed(rows.columns), F.lit("x").alias("extra")).write
         writer = writer.option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
         writer.format(fmt).option("header", True).save(path)
         good, _ = read_samples(spark, path, fmt)
@@ -39,6 +40,19 @@ def samples_read_from(fmt):
     return run
 
 
+def samples_read_from_points(spark, sf_dir):
+    """The good rows of samples that were written as a load tool writes them."""
+    path = work_folder(spark, "points")
+    rows = samples(spark, sf_dir)
+    tags = F.struct("version", F.col("route").cast("string").alias("name"), F.when(F.col("is_error"), "500").otherwise("200").alias("status"))
+    time = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    data = F.struct(time.alias("time"), F.col("latency_ms").alias("value"), tags.alias("tags"))
+    point = rows.select(F.lit("http_req_duration").alias("metric"), F.lit("Point").alias("type"), data.alias("data"))
+    point.unionByName(point.withColumn("metric", F.lit("vus"))).write.json(path)
+    good, _ = read_points(spark, path)
+    return good.withColumn("route", F.col("route").cast("long"))
+
+
 def error_rate(spark, sf_dir):
     return latency.error_rate(samples(spark, sf_dir), CELL)
 
@@ -113,6 +127,7 @@ PLANS = {
         f"WITH {SAMPLES} SELECT *, CAST(date_trunc('day', ts) AS TIMESTAMP) AS day FROM samples",
     ),
     "samples_read_from_json": (samples_read_from("json"), SAMPLE_ROWS),
+    "samples_read_from_points": (samples_read_from_points, SAMPLE_ROWS),
     "samples_read_from_csv": (samples_read_from("csv"), SAMPLE_ROWS),
     "error_rate": (
         error_rate,

@@ -48,8 +48,9 @@ def _parsed_lines(spark: SparkSession, path: str, fmt: str, schema: T.StructType
     """JSON or CSV records, one per line, every column of each parsed exactly once.
 
     Spark's own readers parse only the columns a query uses, so whether a record
-    counts as malformed would depend on the query. CSV columns are in the schema's
-    order; lines that hold the column names are headers.
+    counts as malformed would depend on the query. CSV columns stand as the header line
+    says, which must be the same in all files, or in the schema's order where there is none;
+    columns that the schema does not name are left out.
     """
     full = T.StructType([*schema, T.StructField(_RAW, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _RAW}
@@ -57,13 +58,67 @@ def _parsed_lines(spark: SparkSession, path: str, fmt: str, schema: T.StructType
     if fmt == "json":
         record = F.from_json("value", full, options)
     elif fmt == "csv":
-        text = text.where(F.col("value") != ",".join(schema.names))
-        record = F.from_csv("value", full.toDDL(), options)
+        header = spark.read.option("header", True).csv(path).columns
+        if set(schema.names) <= set(header):
+            known = {f.name: f for f in schema}
+            order = [known.get(c, T.StructField(c, T.StringType())) for c in header]
+            text = text.where(F.col("value") != ",".join(header))
+        else:
+            order = list(schema)
+        record = F.from_csv("value", T.StructType([*order, full[_RAW]]).toDDL(), options)
+        return text.select(F.inline(F.array(record))).select(*full.names)
     else:
         raise ValueError(f"unknown format {fmt!r}")
     return text.select(F.inline(F.array(record)))
 
 
+#: Line JSON of the load tool: one point of one metric per line.
+POINTS = T.StructType(
+    [
+        T.StructField("metric", T.StringType()),
+        T.StructField("type", T.StringType()),
+        T.StructField(
+            "data",
+            T.StructType(
+                [
+                    T.StructField("time", T.StringType()),
+                    T.StructField("value", T.DoubleType()),
+                    T.StructField("tags", T.MapType(T.StringType(), T.StringType())),
+                ]
+            ),
+        ),
+    ]
+)
+
+
+def read_points(
+    spark: SparkSession, path: str, metric: str = "http_req_duration", route: str = "name", version: str = "version"
+) -> tuple[DataFrame, DataFrame]:
+    """Samples from a load tool's line JSON, and the lines that are none.
+
+    Points of ``metric`` become samples: ``version`` and ``route`` are tags, times are taken
+    to UTC, and a request failed if its tag ``expected_response`` is false or, without that tag,
+    its ``status`` is 400 or above or 0. Lines of other metrics or types are neither good nor bad.
+    """
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _RAW}
+    full = T.StructType([*POINTS, T.StructField(_RAW, T.StringType())])
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    points = lines.select("value", F.inline(F.array(F.from_json("value", full, options))))
+    tag = lambda name: F.try_element_at("data.tags", F.lit(name))
+    status = tag("status").try_cast("int")
+    rows = points.where(F.col(_RAW).isNotNull() | ((F.col("type") == "Point") & (F.col("metric") == metric))).select(
+        tag(version).alias("version"),
+        tag(route).alias("route"),
+        F.to_utc_timestamp(F.col("data.time").try_cast("timestamp"), "UTC").cast("timestamp_ntz").alias("ts"),
+        F.col("data.value").alias("latency_ms"),
+        F.coalesce(tag("expected_response") == "false", (status >= 400) | (status == 0)).alias("is_error"),
+        F.col(_RAW),
+    )
+    missing = [F.when(F.col(c).isNull(), F.lit(f"missing {c}")) for c in ("version", "route", "ts", "latency_ms")]
+    rows = rows.withColumn("reason", F.coalesce(F.when(F.col(_RAW).isNotNull(), F.lit("malformed")), *missing))
+    return rows.where(F.col("reason").isNull()).drop("reason", _RAW), rows.where(F.col("reason").isNotNull())
+
+
 def samples_from_events(events: DataFrame) -> DataFrame:
     """A stand-in for load-test output, derived from the event log.
 

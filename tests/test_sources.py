@@ -1,9 +1,9 @@
 import pytest
 from conftest import tuples
-from pyspark.sql import types as T
+from pyspark.sql import functions as F, types as T
 
 from rushcart.sources.folders import intermediates, stored, work_folder
-from rushcart.sources.samples import SAMPLES, read_samples, samples_from_events, write_samples
+from rushcart.sources.samples import SAMPLES, read_points, read_samples, samples_from_events, write_samples
 
 
 def test_bad_json_goes_to_the_second_frame(spark, tmp_path):
@@ -43,6 +43,40 @@ def test_bad_csv_goes_to_the_second_frame(spark, tmp_path):
     assert good.select("version").count() == 1 and bad.select("reason").count() == 4
 
 
+def test_csv_columns_stand_as_the_header_says(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("host,latency_ms,route,version,is_error,ts\nh,1.5,7,V1,true,2024-01-01T00:00:00\nh,x,7,V1,true,2024-01-01T00:00:00\n")
+    good, bad = read_samples(spark, str(tmp_path), "csv")
+    assert tuples(good, "version", "route", "latency_ms", "is_error") == [("V1", 7, 1.5, True)]
+    assert bad.count() == 1
+    (tmp_path / "b").mkdir()
+    (tmp_path / "b" / "a.csv").write_text("V1,7,2024-01-01T00:00:00,1.5,true\n")
+    good, bad = read_samples(spark, str(tmp_path / "b"), "csv")
+    assert tuples(good, "version", "route", "latency_ms") == [("V1", 7, 1.5)] and bad.count() == 0
+
+
+def test_points_of_the_load_tool_become_samples(spark, tmp_path):
+    point = '{"metric":"http_req_duration","type":"Point","data":{"time":"2024-01-01T09:00:00.25+09:00","value":12.5,"tags":{"name":"/buy","version":"V2","status":"%s"%s}}}'
+    (tmp_path / "a.json").write_text(
+        "\n".join(
+            [
+                '{"type":"Metric","data":{"name":"http_req_duration","type":"trend"},"metric":"http_req_duration"}',
+                point % (200, ""), point % (503, ""), point % (0, ""), point % (404, ',"expected_response":"true"'),
+                point.replace("http_req_duration", "http_reqs") % (200, ""),
+                point.replace('"version":"V2",', "") % (200, ""),
+                (point % (200, ""))[:60],
+            ]
+        )
+    )
+    good, bad = read_points(spark, str(tmp_path))
+    assert tuples(good, "version", "route", F.col("ts").cast("string"), "latency_ms", "is_error") == [
+        ("V2", "/buy", "2024-01-01 00:00:00.25", 12.5, False),
+        ("V2", "/buy", "2024-01-01 00:00:00.25", 12.5, False),
+        ("V2", "/buy", "2024-01-01 00:00:00.25", 12.5, True),
+        ("V2", "/buy", "2024-01-01 00:00:00.25", 12.5, True),
+    ]
+    assert sorted(r["reason"] for r in bad.collect()) == ["malformed", "missing version"]
+
+
 def test_parquet_rows_without_required_values_are_bad(spark, samples, tmp_path):
     path = str(tmp_path / "s")
     samples([("V1", 1, 0, 1.0, None), ("V1", 1, 0, None, True)]).write.parquet(path)
