@@ -15,6 +15,7 @@ from rushcart.functions.quantiles import (
     exact_quantiles,
     with_quantiles,
 )
+from rushcart.functions.ranks import ranked
 from rushcart.functions.skew import HOT_ROWS, cut_hot_keys
 from rushcart.functions.spans import MICROSECOND, micros, window_start
 from rushcart.sources.folders import stored
@@ -116,25 +117,20 @@ def latency_histogram(
 
 
 def bottlenecks(df: DataFrame, group: Sequence[str]) -> DataFrame:
-    """Groups ranked by the time spent in them, with their share and the running share.
-
-    The ranking orders one row per group, so group by routes or services, not users.
-    """
+    """Groups ranked by the time spent in them, with their share and the running share."""
     spent = df.groupBy(*group).agg(
         F.count("*").alias("requests"), F.sum(fine("latency_ms")).alias("_spent")
     )
-    ranked = Window.orderBy(F.desc_nulls_last("_spent"), *group)
-    sofar = ranked.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    total = F.sum("_spent").over(
-        ranked.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    )
-    return spent.select(
+    order = [F.desc_nulls_last("_spent"), *[F.asc(c) for c in group]]
+    rows = ranked(spent, order, "_spent")
+    total = rows.agg(F.sum("_spent")).scalar()
+    return rows.select(
         *group,
         "requests",
         coarse(F.col("_spent")).alias("spent_ms"),
-        F.row_number().over(ranked).alias("rank"),
+        "rank",
         ratio("_spent", total).alias("share"),
-        ratio(F.sum("_spent").over(sofar), total).alias("running_share"),
+        ratio("running", total).alias("running_share"),
     )
 
 

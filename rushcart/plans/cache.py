@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from rushcart.operators import cache
 from rushcart.plans.common import events
+from rushcart.sources.tables import load_table
 
 TTLS = [timedelta(minutes=1), timedelta(minutes=30), timedelta(hours=6), timedelta(days=1)]
 
@@ -18,6 +19,24 @@ def hot_users_approx(spark, sf_dir):
     return cache.hot_keys_approx(events(spark, sf_dir), "user_id", 20)
 
 
+def hot_products_approx_of_all(spark, sf_dir):
+    """Sketches that track more keys than there are: every product with its exact number of lines."""
+    lines = load_table(spark, sf_dir, "lineitem")
+    return cache.hot_keys_approx(lines, "l_partkey", 100_000, tracked=100_000)
+
+
+def load_spread_hashed_in_all(spark, sf_dir):
+    """What all servers got, and whether the fullest one got its imbalance times the mean."""
+    spread = load_spread_hashed(spark, sf_dir)
+    fullest = F.max("requests") / F.avg("requests") - F.max("imbalance")
+    return spread.agg(
+        F.count("*").alias("servers"),
+        F.sum("requests").alias("requests"),
+        F.countDistinct("bucket").alias("buckets"),
+        (F.abs(fullest) < 1e-9).alias("as_said"),
+    )
+
+
 def coverage_curve(spark, sf_dir):
     return cache.coverage_curve(events(spark, sf_dir), "user_id")
 
@@ -69,6 +88,13 @@ PLANS = {
         FROM events GROUP BY user_id ORDER BY uses DESC, user_id LIMIT 20""",
     ),
     "hot_users_approx": (hot_users_approx, None),
+    "hot_products_approx_of_all": (
+        hot_products_approx_of_all,
+        """
+        SELECT l_partkey, count(*) AS uses,
+               CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM lineitem) AS share
+        FROM lineitem GROUP BY l_partkey""",
+    ),
     "coverage_curve": (
         coverage_curve,
         """
@@ -114,4 +140,10 @@ PLANS = {
         FROM b""",
     ),
     "load_spread_hashed": (load_spread_hashed, None),
+    "load_spread_hashed_in_all": (
+        load_spread_hashed_in_all,
+        """
+        SELECT CAST(8 AS BIGINT) AS servers, count(user_id) AS requests, CAST(8 AS BIGINT) AS buckets,
+               true AS as_said FROM events""",
+    ),
 }

@@ -64,6 +64,19 @@ def test_brackets_hold_few_values_of_any_distribution(spark, monkeypatch):
     assert len(widths) >= 2 and widths[0][0] < 10_000
 
 
+def test_ranks_go_on_from_range_to_range(spark):
+    from rushcart.functions.ranks import ranked
+
+    rows = spark.range(1_000).select(F.col("id").alias("g"), F.when(F.col("id") % 50 != 0, (F.col("id") * 7 % 13).cast("decimal(20,0)")).alias("s"))
+    order = [F.desc_nulls_last("s"), F.asc("g")]
+    got = {r.g: (r["rank"], r.running) for r in ranked(rows, order, "s", rows=90).collect()}
+    expected = sorted(rows.collect(), key=lambda r: (r.s is None, -(r.s or 0), r.g))
+    total = 0
+    for n, r in enumerate(expected, 1):
+        total += r.s or 0
+        assert got[r.g] == (n, total)
+
+
 def test_summary_without_latencies_and_without_rows(samples):
     got = latency.latency_summary(samples([("V1", 1, 0, None, False)]), ["route"], [0.5])
     assert tuples(got, "requests", "mean_ms", "p50") == [(1, None, None)]
