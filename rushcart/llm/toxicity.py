@@ -155,15 +155,18 @@ def _fit(toxic: np.ndarray, buckets: list[np.ndarray], ratio: np.ndarray, bias:
     # One order of rows, whatever order the tasks ended in.
     order = sorted(range(len(toxic)), key=lambda i: (toxic[i], buckets[i].tobytes()))
     toxic, buckets = toxic[order], [buckets[i] for i in order]
-    row = np.repeat(np.arange(len(toxic)), [len(b) for b in buckets])
-    used, at = np.unique(np.concatenate(buckets), return_inverse=True)
+    row = np.repeat(np.arange(len(toxic), dtype=np.int32), [len(b) for b in buckets])
+    used = np.flatnonzero(ratio)
+    place = np.zeros(len(ratio), np.int32)
+    place[used] = np.arange(len(used))
+    at = place[np.concatenate(buckets)]
     scale = ratio[used]
-    value = scale[at]
+    value = scale.astype(np.float32)[at]
     v, mean, square = np.full(len(used), 0.05), np.zeros(len(used) + 1), np.zeros(len(used) + 1)
     for step in range(1, rounds + 1):
-        total = bias + np.bincount(row, v[at] * value, minlength=len(toxic))
+        total = bias + np.bincount(row, v.astype(np.float32)[at] * value, minlength=len(toxic))
         off = 1 / (1 + np.exp(-np.clip(total, -30, 30))) - toxic
-        slope = np.bincount(at, off[row] * value, minlength=len(used)) / len(toxic) + 2e-5 * v
+        slope = np.bincount(at, off.astype(np.float32)[row] * value, minlength=len(used)) / len(toxic) + 2e-5 * v
         slope = np.append(slope, off.mean())
         mean = 0.9 * mean + 0.1 * slope
         square = 0.99 * square + 0.01 * slope**2
