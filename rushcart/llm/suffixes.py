@@ -33,12 +33,18 @@ GRAM = 24
 _BASE = 0xD1342543DE82EF95
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _LOW = np.uint64((1 << 40) - 1)
-#: Anchors that one task sorts, about, and bytes of segments.
-PER_BUCKET = 1_500_000
-BUCKET_BYTES = 16 << 20
+_WORDS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
+#: Anchors that one task gets, about, and bytes of segments. Each task has several buckets, which evens out tasks.
+PER_TASK = 1_500_000
+TASK_BYTES = 8 << 20
+BUCKETS = 4
 #: Anchors, and bytes of segments, that leave a task together.
 FLUSH_ANCHORS = 400_000
 FLUSH_BYTES = 6 << 20
+#: Bytes of segments that are compared at a time, and windows; an anchor's are never parted.
+COMPARED_BYTES, COMPARED_WINDOWS = 2 << 20, 300_000
+#: A longer row's windows are looked through in parts.
+LONG = 1 << 20
 #: Anchors in so many flushes are spread over buckets, the SPLIT_MOST most frequent at most; the others stay
 #: together, which changes no result.
 SPLIT_FROM, SPLIT_MOST = 20_000, 500_000
@@ -47,17 +53,20 @@ FILTER_BITS = 23
 
 
 class Hashes:
-    """Prefix polynomial hashes of a buffer."""
+    """Prefix polynomial hashes of strings that stand end to end, of the lengths given. Exponents
+    count from the beginning of a string, so no table is longer than the longest one."""
 
-    def __init__(self, data: np.ndarray):
+    def __init__(self, data: np.ndarray, lengths: np.ndarray):
         self.data = data
-        size = 1 << max(12, int(len(data) + 1).bit_length())
+        size = 1 << max(8, int(lengths.max(initial=0) + 1).bit_length())
         self.inverse = powers(_INVERSE, size)
+        self.place = np.arange(len(data), dtype=np.int32) - np.repeat(np.cumsum(lengths) - lengths, lengths).astype(np.int32)
         self.sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(_BASE, size)[: len(data)], out=self.sums[1:])
+        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(_BASE, size)[self.place], out=self.sums[1:])
 
     def of(self, at: np.ndarray, length) -> np.ndarray:
-        return (self.sums[at + length] - self.sums[at]) * self.inverse[at]
+        """Of the parts of a string that begin ``at``."""
+        return (self.sums[at + length] - self.sums[at]) * self.inverse[self.place[at]]
 
     def extension(self, a: np.ndarray, b: np.ndarray, most: np.ndarray) -> np.ndarray:
         """How many bytes the strings at ``a`` and ``b`` share from their beginning, ``most`` at most."""
@@ -163,11 +172,20 @@ def later_equals(hashes, group, start, length, doc, place) -> np.ndarray:
 def anchors(data: np.ndarray, starts: np.ndarray) -> dict[str, np.ndarray]:
     """The anchors of all windows: row, first and last window start, place and hash of the anchor."""
     n, span = len(data), LENGTH - GRAM + 1
+    if len(starts) == 2 and n > LONG:  # one long row: its windows in parts; an anchor at a cut has two segments then
+        parts = []
+        for a in range(0, n - LENGTH + 1, LONG):
+            cut = data[a : a + LONG + LENGTH - 1]
+            found = anchors(cut, np.array([0, len(cut)]))
+            parts.append({c: v + a if c in ("first", "last", "at") else v for c, v in found.items()})
+        return {c: np.concatenate([p[c] for p in parts]) for c in parts[0]}
     names = ("row", "first", "last", "at", "hash")
     if n < LENGTH:
         return {c: np.zeros(0, np.uint64 if c == "hash" else np.int64) for c in names}
-    hashes = Hashes(data)
-    gram = stir(hashes.of(np.arange(n - GRAM + 1), GRAM))
+    # A gram's hash, from the three 8-byte words that it consists of.
+    words = np.ndarray((n - 7,), np.uint64, np.ascontiguousarray(data), strides=(1,)).copy()
+    gram = stir(words[:-16] * _WORDS[0] + words[8:-8] * _WORDS[1] + words[16:] * _WORDS[2])
+    del words
     blocks = np.full(-(-len(gram) // span) * span, np.uint64(2**64 - 1))
     blocks[: len(gram)] = gram
     blocks = blocks.reshape(-1, span)
@@ -175,19 +193,23 @@ def anchors(data: np.ndarray, starts: np.ndarray) -> dict[str, np.ndarray]:
     since = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
     count = n - LENGTH + 1
     least = np.minimum(since[:count], upto[span - 1 : span - 1 + count])
-    row = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
-    whole = np.arange(count) + LENGTH <= starts[1:][row[:count]]
     fresh = np.ones(count, bool)  # the smallest hash is another one, or the leftmost place of it has just been left
-    fresh[1:] = (least[1:] != least[:-1]) | (gram[: count - 1] == least[:-1]) | (row[1:count] != row[: count - 1])
-    fresh &= whole
+    np.not_equal(least[1:], least[:-1], out=fresh[1:])
+    fresh[1:] |= gram[: count - 1] == least[:-1]
+    fresh[starts[:-1][starts[:-1] < count]] = True
     first = np.flatnonzero(fresh)
+    row = np.searchsorted(starts, first, side="right") - 1
     ends = np.append(first, count)[1:]
-    last = np.minimum(ends, np.maximum(starts[1:][row[first]] - LENGTH + 1, first + 1)) - 1
-    at = np.empty(len(first), np.int64)
-    for a in range(0, len(first), 50_000):
-        s = first[a : a + 50_000]
-        at[a : a + 50_000] = s + (gram[s[:, None] + np.arange(span)] == least[s][:, None]).argmax(axis=1)
-    return {"row": row[first], "first": first, "last": last, "at": at, "hash": least[first]}
+    keep = first + LENGTH <= starts[row + 1]
+    first, row, ends = first[keep], row[keep], ends[keep]
+    last = np.minimum(ends, starts[row + 1] - LENGTH + 1) - 1
+    smallest = least[first]
+    at = first + span - 1  # a smallest hash that has just come in, else it is searched for
+    old = np.flatnonzero((gram[at] != smallest) | (first == starts[row]) | (least[np.maximum(first - 1, 0)] == smallest))
+    for a in range(0, len(old), 20_000):
+        i = old[a : a + 20_000]
+        at[i] = first[i] + (gram[first[i][:, None] + np.arange(span)] == smallest[i][:, None]).argmax(axis=1)
+    return {"row": row, "first": first, "last": last, "at": at, "hash": smallest}
 
 
 def _bucket(hashed: np.ndarray, buckets: int) -> np.ndarray:
@@ -203,7 +225,8 @@ def _packed(key: np.ndarray, **columns: np.ndarray) -> pa.RecordBatch:
     order = np.argsort(key, kind="stable")
     key = key[order]
     cuts = _cuts(key)
-    packed = [pa.array([c[order][a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary()) for c in columns.values()]
+    sorted_ = [c[order] for c in columns.values()]
+    packed = [pa.array([c[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary()) for c in sorted_]
     return pa.RecordBatch.from_arrays([pa.array(key[cuts[:-1]], pa.int64()), *packed], ["key", *columns])
 
 
@@ -211,12 +234,13 @@ def _groups(batches):
     """Rows of a partition that is sorted by ``key``, key by key."""
     now, rows = None, []
     for batch in batches:
-        for row in batch.to_pylist():
-            if rows and row["key"] != now:
-                yield now, rows
-                rows = []
-            now = row["key"]
-            rows.append(row)
+        for a in range(0, batch.num_rows, 32):  # rows are large
+            for row in batch.slice(a, 32).to_pylist():
+                if rows and row["key"] != now:
+                    yield now, rows
+                    rows = []
+                now = row["key"]
+                rows.append(row)
     if rows:
         yield now, rows
 
@@ -357,7 +381,7 @@ def _segments(buckets: int, often: np.ndarray, named_by: int):
         shift = np.cumsum([0, *(len(h["data"]) for h in held)])
         found = {c: np.concatenate([h[c] for h in held]) for c in held[0] if c not in ("data", "begin")}
         begin = np.concatenate([h["begin"] + s for h, s in zip(held, shift)])
-        hashes = Hashes(data)
+        hashes = Hashes(data, found["length"])
         _, group = np.unique(
             stir(found["hash"] ^ stir((found["offset"] << 20 | found["length"]).astype(np.uint64))), return_inverse=True
         )
@@ -420,7 +444,9 @@ def _segments(buckets: int, often: np.ndarray, named_by: int):
                     length = np.where(apart, LENGTH, length[which])
                     offset = np.where(apart, 0, offset[which])
                     row, hashed = row[which], hashed[which]
-                    hashed[apart] = stir(Hashes(part).of(first[apart], LENGTH))
+                    alone, _ = _strings(part, first[apart], length[apart])
+                    whole = Hashes(alone, length[apart])
+                    hashed[apart] = stir(whole.of(np.arange(len(length[apart])) * LENGTH, LENGTH))
                 strings, where = _strings(part, first, length)
                 held.append(
                     {
@@ -458,41 +484,57 @@ def _removed(shelves: int):
                 continue
             more = _joined(rows, low=np.uint32, high=np.uint8, bytes=np.uint8)
             rows.clear()
-            hashed = more["low"].astype(np.uint64) | more["high"].astype(np.uint64) << np.uint64(32)
-            hashes, begin = Hashes(more["bytes"]), np.cumsum(length) - length
-            _, anchor = np.unique(hashed, return_inverse=True)
-            gone = later_equals(hashes, (anchor << 20) | offset << 10 | length, begin, length, doc, start)
-            if gone.any():
-                yield out(doc[gone], version[gone], start[gone], windows[gone])
-            # Of segments that are equal in part: all windows that share a hash with another of their anchor and offset.
-            stay = np.flatnonzero(~gone)
-            several = np.bincount(anchor[stay], minlength=int(anchor.max()) + 1 if len(anchor) else 0)[anchor[stay]] > 1
-            stay = stay[several]
-            by = stay[np.argsort(anchor[stay], kind="stable")]
-            cuts = _cuts(anchor[by])
-            a = 0
-            while a < len(cuts) - 1:  # whole anchors, about a million windows at a time
-                upto = np.cumsum(windows[by[cuts[a] :]])
-                limit = cuts[a] + int(np.searchsorted(upto, 1_000_000))
-                b = max(a + 1, int(np.searchsorted(cuts, limit, side="right")) - 1)
-                own = by[cuts[a] : cuts[b]]
-                which = np.repeat(own, windows[own])
-                step = np.arange(len(which)) - np.repeat(np.cumsum(windows[own]) - windows[own], windows[own])
-                at = begin[which] + step
-                group = anchor[which] << 10 | (offset[which] - step + 512)
-                whole = stir(hashes.of(at, LENGTH) ^ stir(group.astype(np.uint64)))
-                _, inverse, count = np.unique(whole, return_inverse=True, return_counts=True)
-                pick = np.flatnonzero(count[inverse] > 1)
-                which, step, at, group = which[pick], step[pick], at[pick], group[pick]
-                again = later_equals(hashes, group, at, np.full(len(at), LENGTH), doc[which], start[which] + step)
-                if again.any():
-                    which, step = which[again], step[again]
-                    yield out(doc[which], version[which], start[which] + step, np.ones(len(which)))
-                a = b
+            anchor = more["low"].astype(np.uint64) | more["high"].astype(np.uint64) << np.uint64(32)
+            begin = np.cumsum(length) - length
+            for own in _whole(anchor, length, COMPARED_BYTES):
+                strings, at = _strings(more["bytes"], begin[own], length[own])
+                hashes = Hashes(strings, length[own])
+                part = (anchor[own], offset[own], length[own], doc[own], start[own], at)
+                gone, which, step = _earlier_exists(hashes, *part)
+                if gone.any():
+                    yield out(doc[own][gone], version[own][gone], start[own][gone], windows[own][gone])
+                if len(which):
+                    yield out(doc[own][which], version[own][which], start[own][which] + step, np.ones(len(which)))
 
     return run
 
 
+def _whole(key: np.ndarray, size: np.ndarray, most: int):
+    """Rows in the order of their key, all rows of a key together, of about ``most`` in size or one key."""
+    order = np.argsort(key, kind="stable")
+    cuts = np.array(_cuts(key[order]))
+    upto = np.append(0, np.cumsum(size[order]))[cuts]
+    a = 0
+    while a < len(cuts) - 1:
+        b = max(a + 1, int(np.searchsorted(upto, upto[a] + most, side="right")) - 1)
+        yield order[cuts[a] : cuts[b]]
+        a = b
+
+
+def _earlier_exists(hashes, anchor, offset, length, doc, start, at):
+    """Which segments equal an earlier one as a whole; and of the others the windows (segment, step) that do."""
+    _, number = np.unique(anchor, return_inverse=True)
+    gone = later_equals(hashes, (number << 20) | offset << 10 | length, at, length, doc, start)
+    # Of segments that are equal in part: all windows that share a hash with another of their anchor and offset.
+    stay = np.flatnonzero(~gone)
+    stay = stay[np.bincount(number[stay], minlength=len(number))[number[stay]] > 1]
+    windows = length - LENGTH + 1
+    found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+    for own in _whole(number[stay], windows[stay], COMPARED_WINDOWS):
+        own = stay[own]
+        which = np.repeat(own, windows[own])
+        step = np.arange(len(which)) - np.repeat(np.cumsum(windows[own]) - windows[own], windows[own])
+        group = number[which] << 10 | (offset[which] - step + 512)
+        whole = stir(hashes.of(at[which] + step, LENGTH) ^ stir(group.astype(np.uint64)))
+        _, inverse, count = np.unique(whole, return_inverse=True, return_counts=True)
+        pick = np.flatnonzero(count[inverse] > 1)
+        which, step, group = which[pick], step[pick], group[pick]
+        again = later_equals(hashes, group, at[which] + step, np.full(len(pick), LENGTH), doc[which], start[which] + step)
+        found.append((which[again], step[again]))
+    which, step = (np.concatenate(x) for x in zip(*found))
+    return gone, which, step
+
+
 def _ranges_per_document(batches):
     """From shelves, one row per document with the runs of starts, joined where they touch."""
     for _, rows in _groups(batches):
@@ -568,25 +610,31 @@ def removed_ranges(docs: DataFrame, split_from: int = SPLIT_FROM) -> DataFrame:
     """
     rows = _rows(docs)
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = partitions(docs, size // 40, PER_BUCKET)
+    tasks = partitions(docs, size // 40, PER_TASK)
+    buckets = tasks * BUCKETS
     places = stored(
-        rows.select("doc", "version", "text").mapInArrow(_sent(buckets), SENT)
-        .repartition(buckets, "key").sortWithinPartitions("key").mapInArrow(_repeated(buckets, split_from), PLACES)
-        .repartition(buckets, "key").sortWithinPartitions("key").mapInArrow(_per_document, "doc long, version long, places binary"),
+        _dealt(rows.select("doc", "version", "text").mapInArrow(_sent(buckets), SENT), tasks)
+        .transform(lambda df: _dealt(df.mapInArrow(_repeated(buckets, split_from), PLACES), tasks))
+        .mapInArrow(_per_document, "doc long, version long, places binary"),
         "places",
-    )
+    )
     often = places.where("places IS NULL").orderBy(F.desc("version"), "doc").limit(SPLIT_MOST).select("doc").collect()
     often, named_by = np.array([r.doc for r in often], np.int64), buckets
     places = places.where("places IS NOT NULL")
     repeated = places.agg(F.sum(F.octet_length("places"))).first()[0] or 0
-    buckets = partitions(docs, repeated // 8 * 140, BUCKET_BYTES)
+    tasks = partitions(docs, repeated // 8 * 140, TASK_BYTES)
+    buckets = tasks * BUCKETS
     candidates = _with(_maybe(rows.select("doc", "version", "text"), _filter(places), True), places, "inner")
+    segments = candidates.select("doc", "version", "text", "places").mapInArrow(_segments(buckets, often, named_by), SEGMENTS)
     return stored(
-        candidates.select("doc", "version", "text", "places").mapInArrow(_segments(buckets, often, named_by), SEGMENTS)
-        .repartition(buckets, "key").sortWithinPartitions("key").mapInArrow(_removed(buckets), RANGES)
-        .repartition(buckets, "key").sortWithinPartitions("key").mapInArrow(_ranges_per_document, "doc long, version long, ranges binary"),
+        _dealt(_dealt(segments, tasks).mapInArrow(_removed(buckets), RANGES), tasks)
+        .mapInArrow(_ranges_per_document, "doc long, version long, ranges binary"),
         "ranges",
-    )
+    )
+
+
+def _dealt(packed: DataFrame, tasks: int) -> DataFrame:
+    return packed.repartition(tasks, "key").sortWithinPartitions("key")
 
 
 def _applied(batches):
