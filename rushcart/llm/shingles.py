@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 import numpy as np
 
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -12,12 +10,16 @@ _INVERSE = pow(_BASE, -1, 1 << 64)
 _PLACES = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB)
 
 
-@lru_cache(4)
+#: The longest table of powers so far, by base. (A cached function would not travel with its code.)
+_tables: dict[int, np.ndarray] = {}
+
+
 def powers(base: int, length: int) -> np.ndarray:
     """base**0, base**1, ... modulo 2**64."""
-    out = np.ones(1, np.uint64)
+    out = _tables.get(base, np.ones(1, np.uint64))
     while len(out) < length:
         out = np.concatenate([out, out * np.uint64(pow(base, len(out), 1 << 64))])
+    _tables[base] = out
     return out[:length]
 
 
