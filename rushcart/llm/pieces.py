@@ -11,10 +11,11 @@ is again a keyed hash, of the document and the place.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import heapq
 import re
-from bisect import bisect_right
+from contextlib import contextmanager
 from itertools import islice
 
 import numpy as np
@@ -32,15 +33,27 @@ OWN_MARK = f"!{MARK}"
 #: Longer chunks are worked off one by one and not kept.
 KEPT_CHARS = 32
 #: Segmentations that a task keeps at most.
-KEPT_CHUNKS = 400_000
+KEPT_CHUNKS = 600_000
 #: Chunks that are looked up together.
-BLOCK = 100_000
+BLOCK = 300_000
 _NONE = np.int32(2**31 - 1)
 #: In a row of pieces: beyond its end, and from where on characters that are no piece stand, downwards.
 _PAST, _UNKNOWN = -3, -10
 _MIX = (1 << 64) - 1
 
 
+class _Powers(list):
+    """Multipliers of a chunk's characters, by place; long chunks make the list longer."""
+
+    def __getitem__(self, j):
+        while len(self) <= j:
+            self.append(list.__getitem__(self, -1) * 0x9FB21C651E98DF25 & _MIX)
+        return list.__getitem__(self, j)
+
+
+_POWERS = _Powers([1])
+
+
 def _stir(x):
     """Mixes 64 bits; of a Python int or of a numpy array alike."""
     whole = _MIX if isinstance(x, int) else np.uint64(_MIX)
@@ -70,7 +83,7 @@ class Pieces:
         self.rank = np.full(len(names), _NONE, np.int32)
         self.rank[by_score] = np.arange(len(by_score))
         self.ranked = np.array(by_score, np.int32)
-        self.names = names
+        self.single = np.array([self.ids.get(chr(c), _UNKNOWN - c) for c in range(1 << 14)], np.int32)
         self._index_pairs()
         self.limit = min(int(dropout * 2**64), _MIX)
         self.seed, self.variants = seed, variants if dropout else 1
@@ -119,13 +132,11 @@ class Pieces:
 
     def _forget(self) -> None:
         mark = np.array([self.bytes[b] for b in MARK.encode()], np.int32).tobytes()
-        self.kept = [{OWN_MARK: mark} for _ in range(self.variants)]
+        self.kept: list[dict[str, bytes]] = [{OWN_MARK: mark} for _ in range(self.variants)]
 
     def _key(self, chunk: str, variant: int) -> int:
-        key = _stir(((self.seed * 0x9E3779B97F4A7C15 & _MIX) + variant) & _MIX)
-        for char in chunk:
-            key = (key ^ ord(char)) * 0x100000001B3 & _MIX
-        return key
+        total = sum((ord(char) + 1) * _POWERS[j] for j, char in enumerate(chunk))
+        return _stir((_stir(((self.seed * 0x9E3779B97F4A7C15 & _MIX) + variant) & _MIX) + total) & _MIX)
 
     def chunk(self, chunk: str, variant: int) -> list[int]:
         """Ids of one chunk, merged off an agenda; what ends as no piece goes as bytes."""
@@ -157,82 +168,101 @@ class Pieces:
             at = ends[at]
         return ids
 
-    def _offers(self, pieces, ends, keys, at) -> np.ndarray:
-        """Rank of merging pieces ``at`` and ``at + 1`` of every row, _NONE where there is no such merge or it is skipped."""
-        row, last = np.arange(len(at)), pieces.shape[1] - 1
-        real = (at >= 0) & (at < last)
-        a = np.where(real, at, 0)
-        made = np.where(real, self._made(pieces[row, a], pieces[row, np.minimum(a + 1, last)]), np.int32(-1))
+    def _offer(self, agenda, pieces, after, keys, row, a, b) -> None:
+        """Puts the rank of merging the pieces that begin at ``a`` and ``b`` of the given rows on
+        the agenda, _NONE where there is no such merge or it is skipped."""
+        made = self._made(pieces[row, a], pieces[row, b])
+        ranks = np.full(len(row), _NONE)
+        can = np.flatnonzero(made >= 0)
+        ranks[can] = self.rank[made[can]]
         if self.limit:
-            start = np.where(a > 0, ends[row, a - 1], 0).astype(np.uint64)
-            middle, end = ends[row, a].astype(np.uint64), ends[row, np.minimum(a + 1, last)].astype(np.uint64)
-            drawn = _stir(keys ^ _stir(start << np.uint64(42) | middle << np.uint64(21) | end))
-            made = np.where(drawn < np.uint64(self.limit), np.int32(-1), made)
-        return np.where(made >= 0, self.rank[made], _NONE)
+            row_, a_, b_ = row[can], a[can], b[can]
+            place = a_.astype(np.uint64) << np.uint64(42) | b_.astype(np.uint64) << np.uint64(21) | after[row_, b_].astype(np.uint64)
+            ranks[can[_stir(keys[row_] ^ _stir(place)) < np.uint64(self.limit)]] = _NONE
+        agenda[row, a] = ranks
 
     def chunks(self, chunks: list[str], variants: list[int]) -> list[bytes]:
-        """The same for many chunks at once: in every round each row takes the best merge of its agenda."""
+        """The same for many chunks at once: in every round each row takes the best merge of its agenda.
+
+        A row holds its pieces where they begin, and for each the beginnings before and after.
+        """
         sizes = np.array([len(c) for c in chunks])
         size = int(sizes.max())
         joined = np.frombuffer("".join(chunks).encode("utf-32-le", "surrogatepass"), np.uint32)
-        columns = np.arange(size)
-        inside = columns < sizes[:, None]
-        distinct, at = np.unique(joined, return_inverse=True)
+        inside = np.arange(size) < sizes[:, None]
         pieces = np.full(inside.shape, _PAST, np.int32)
-        pieces[inside] = np.array([self.ids.get(chr(c), _UNKNOWN - c) for c in distinct.tolist()], np.int32)[at]
-        chars = np.zeros(inside.shape, np.uint32)
-        chars[inside] = joined
+        single = self.single[np.minimum(joined, len(self.single) - 1)]
+        rare = np.flatnonzero(joined >= len(self.single))
+        single[rare] = [self.ids.get(chr(c), _UNKNOWN - c) for c in joined[rare].tolist()]
+        pieces[inside] = single
+        places = np.array([_POWERS[j] for j in range(size)], np.uint64)
+        weighed = np.zeros(inside.shape, np.uint64)
+        weighed[inside] = joined.astype(np.uint64) + np.uint64(1)
         keys = _stir(np.uint64(self.seed * 0x9E3779B97F4A7C15 & _MIX) + np.array(variants, np.uint64))
-        for j in range(size):
-            keys = np.where(inside[:, j], (keys ^ chars[:, j]) * np.uint64(0x100000001B3), keys)
-        unknown = (pieces <= _UNKNOWN).any(axis=1)
-        ends = np.where(inside, columns + 1, sizes[:, None]).astype(np.int32)
-        out: list[bytes] = [b""] * len(chunks)
-        rows = np.arange(len(chunks))
+        keys = _stir(keys + (weighed * places).sum(axis=1))
+        unknown = np.flatnonzero((pieces <= _UNKNOWN).any(axis=1))
+        after = np.broadcast_to(np.arange(1, size + 1, dtype=np.int32), inside.shape).copy()
+        before = np.broadcast_to(np.arange(-1, size - 1, dtype=np.int32), inside.shape).copy()
         agenda = np.full(pieces.shape, _NONE)
-        for j in range(size - 1):
-            agenda[:, j] = self._offers(pieces, ends, keys, np.full(len(rows), j))
-        while len(rows):
+        row, at = np.nonzero(inside[:, 1:])
+        self._offer(agenda, pieces, after, keys, row, at, at + 1)
+        rows = np.arange(len(chunks))  # all that goes on is kept together in the arrays below
+        out: list[bytes] = [b""] * len(chunks)
+        state = [rows, pieces, after, before, keys, agenda, sizes]
+        while len(state[0]):
+            rows, pieces, after, before, keys, agenda, ends = state
             best = agenda.argmin(axis=1)
             lane = np.arange(len(rows))
-            going = agenda[lane, best] != _NONE
-            if not going.all():
-                done = pieces[~going]
-                cut = np.cumsum(4 * (done != _PAST).sum(axis=1))
-                flat = done[done != _PAST].tobytes()
-                for i, a, b in zip(rows[~going].tolist(), [0, *cut.tolist()], cut.tolist()):
+            rank = agenda[lane, best]
+            lane = np.flatnonzero(rank != _NONE)
+            if len(lane) < 0.7 * len(rows) or not len(lane):
+                over = rank == _NONE
+                done = pieces[over]
+                real = done != _PAST
+                flat, cut = done[real].tobytes(), np.cumsum(4 * real.sum(axis=1)).tolist()
+                for i, a, b in zip(rows[over].tolist(), [0, *cut], cut):
                     out[i] = flat[a:b]
-            rows, pieces, ends, keys, agenda, best = (x[going] for x in (rows, pieces, ends, keys, agenda, best))
-            lane = np.arange(len(rows))
-            pieces[lane, best] = self.ranked[agenda[lane, best]]
-            ends[lane, best] = ends[lane, np.minimum(best + 1, size - 1)]
-            later = columns > best[:, None]
-            for x, fill in ((pieces, _PAST), (ends, size), (agenda, _NONE)):
-                np.copyto(x[:, :-1], x[:, 1:].copy(), where=later[:, :-1])
-                x[:, -1] = fill
-            agenda[lane, best] = self._offers(pieces, ends, keys, best)
-            to_left = best > 0
-            agenda[lane[to_left], best[to_left] - 1] = self._offers(
-                pieces[to_left], ends[to_left], keys[to_left], best[to_left] - 1
-            )
-        for i in np.flatnonzero(unknown):
+                state = [x[~over] for x in state]
+                continue
+            a = best[lane]
+            b = after[lane, a]
+            c, d = after[lane, b], before[lane, a]
+            pieces[lane, a], pieces[lane, b] = self.ranked[rank[lane]], _PAST
+            after[lane, a] = c
+            agenda[lane, a] = agenda[lane, b] = _NONE
+            right, left = np.flatnonzero(c < ends[lane]), np.flatnonzero(d >= 0)
+            before[lane[right], c[right]] = a[right]
+            self._offer(
+                agenda, pieces, after, keys,
+                np.concatenate([lane[right], lane[left]]),
+                np.concatenate([a[right], d[left]]),
+                np.concatenate([c[right], a[left]]),
+            )
+        for i in unknown.tolist():
             ids = []
             for x in np.frombuffer(out[i], np.int32).tolist():
                 ids += [x] if x >= 0 else [self.bytes[b] for b in chr(_UNKNOWN - x).encode("utf-8", "surrogatepass")]
             out[i] = np.array(ids, np.int32).tobytes()
         return out
 
-    def _learn(self, missing: set[tuple[int, str]]) -> None:
-        """Segments chunks that are not kept yet."""
-        by_size = sorted(missing, key=lambda x: len(x[1]))
-        at = 0
-        while at < len(by_size):  # rows of like length together
-            width = len(by_size[at][1])
-            end = bisect_right(by_size, max(width + width // 3, 4), key=lambda x: len(x[1]))
-            variants, chunks = zip(*by_size[at:end])
-            for v, c, ids in zip(variants, chunks, self.chunks(chunks, variants)):
-                self.kept[v][c] = ids
-            at = end
+    def _learn(self, pairs: list[tuple[int, str]]) -> list[bytes]:
+        """Ids of (variant, chunk) pairs that are not kept yet, rows of like length together."""
+        sizes = np.fromiter((len(c) for _, c in pairs), np.int64, len(pairs))
+        order = np.argsort(sizes, kind="stable")
+        sizes = sizes[order]
+        kept = int(np.searchsorted(sizes, KEPT_CHARS, side="right"))
+        out: list[bytes] = [b""] * len(pairs)
+        for i in order[kept:].tolist():
+            out[i] = np.array(self.chunk(pairs[i][1], pairs[i][0]), np.int32).tobytes()
+        a = 0
+        while a < kept:
+            b = min(int(np.searchsorted(sizes, max(4, sizes[a] * 4 // 3), side="right")), kept)
+            own = order[a:b].tolist()
+            variants, chunks = zip(*[pairs[i] for i in own])
+            for i, v, c, ids in zip(own, variants, chunks, self.chunks(chunks, variants)):
+                out[i] = self.kept[v][c] = ids
+            a = b
+        return out
 
     def _places(self, document: int, first: int, count: int) -> list[int]:
         """Variants at ``count`` places of a document, from its place ``first``."""
@@ -248,8 +278,8 @@ class Pieces:
         block: list[tuple[int, list[int], list[str]]] = []
         waiting = 0
         for row, text in enumerate(rows):
-            first, found = 0, _marked(text)
-            while chunks := list(islice(found, BLOCK)):
+            first = 0
+            for chunks in _blocks(text):
                 block.append((row, self._places(documents[row], first, len(chunks)), chunks))
                 first, waiting = first + len(chunks), waiting + len(chunks)
                 if waiting >= BLOCK:
@@ -261,20 +291,16 @@ class Pieces:
     def _flush(self, block, out) -> None:
         if sum(map(len, self.kept)) > KEPT_CHUNKS:
             self._forget()
-        missing = {
-            (v, c) for _, places, chunks in block for v, c in zip(places, chunks) if c not in self.kept[v] and len(c) <= KEPT_CHARS
-        }
-        self._learn(missing)
-        for row, places, chunks in block:
-            kept = self.kept
-            out[row].append(
-                b"".join(
-                    [
-                        kept[v][c] if c in kept[v] else np.array(self.chunk(c, v), np.int32).tobytes()
-                        for v, c in zip(places, chunks)
-                    ]
-                )
-            )
+        get, found = [k.get for k in self.kept], []
+        missing: dict[tuple[int, str], int] = {}  # pairs that are not kept, numbered
+        for _, places, chunks in block:
+            ids = [get[v](c) for v, c in zip(places, chunks)]
+            found.append((ids, [(i, missing.setdefault((places[i], chunks[i]), len(missing))) for i, x in enumerate(ids) if x is None]))
+        learned = self._learn(list(missing))
+        for (ids, open_), (row, _, _) in zip(found, block):
+            for i, number in open_:
+                ids[i] = learned[number]
+            out[row].append(b"".join(ids))
 
     def encode(self, text: str, document: int = 0) -> list[int]:
         return self.encode_all([text], [document])[0].tolist()
@@ -298,6 +324,28 @@ def _marked(text: str):
             yield found.group()
 
 
+def _blocks(text: str):
+    """The same in lists of BLOCK at most."""
+    if text and len(text) < BLOCK and MARK not in text:
+        yield CHUNK.findall(MARK + text.replace(" ", MARK))
+        return
+    chunks = _marked(text)
+    while block := list(islice(chunks, BLOCK)):
+        yield block
+
+
+@contextmanager
+def _without_collector():
+    """Encoding makes no reference cycles, and Python's collector would walk all that is kept again and again."""
+    was = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was:
+            gc.enable()
+
+
 def encode_pieces(docs: DataFrame, path: str = MODEL, dropout: float = 0.1, seed: int = 0, variants: int = 8) -> DataFrame:
     """Per row: (doc_id, ids). Null text counts as empty and has no ids; repeated rows are encoded alike.
 
@@ -310,9 +358,10 @@ def encode_pieces(docs: DataFrame, path: str = MODEL, dropout: float = 0.1, seed
         for batch in batches:
             rows = texts(batch.column("text"))
             keys = batch.column("doc_id").to_pylist()
-            for a in range(0, len(rows), 500):
-                ids = model.encode_all(rows[a : a + 500], [k or 0 for k in keys[a : a + 500]])
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, 500), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
+            for a in range(0, len(rows), 1000):
+                with _without_collector():
+                    ids = model.encode_all(rows[a : a + 1000], [k or 0 for k in keys[a : a + 1000]])
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, 1000), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
 
     return plain(docs, "doc_id", "text").mapInArrow(run, "doc_id long, ids array<int>")
 
@@ -339,11 +388,12 @@ def piece_digests(docs: DataFrame, path: str = MODEL, dropout: float = 0.1, seed
         model = Pieces(path, dropout, seed, variants)
         for batch in batches:
             rows, keys = texts(batch.column("text")), batch.column("doc_id").to_pylist()
-            for a in range(0, len(rows), 500):
-                ids = model.encode_all(rows[a : a + 500], [k or 0 for k in keys[a : a + 500]])
+            for a in range(0, len(rows), 1000):
+                with _without_collector():
+                    ids = model.encode_all(rows[a : a + 1000], [k or 0 for k in keys[a : a + 1000]])
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column("doc_id").slice(a, 500),
+                        batch.column("doc_id").slice(a, 1000),
                         pa.array([len(x) for x in ids], pa.int64()),
                         pa.array([hashlib.sha256(x.tobytes()).hexdigest() for x in ids], pa.string()),
                         pa.array([hashlib.sha256(model.decoded(x.tolist())).hexdigest() for x in ids], pa.string()),
