@@ -31,9 +31,9 @@ from rushcart.llm.shingles import shingle_sets
 from rushcart.sources.folders import stored
 
 #: Shingles that one task sorts, about.
-PER_BUCKET = 2_000_000
+PER_BUCKET = 1_000_000
 #: Bytes of text whose shingles leave a task together.
-FLUSH_BYTES = 8 << 20
+FLUSH_BYTES = 4 << 20
 FLUSH_CLASSES = 1 << 16
 #: Classes that a task remembers so as not to send a copy's shingles again.
 REMEMBERED = 200_000
@@ -183,12 +183,13 @@ def _runs(batches, key: str):
     """Rows of a sorted partition, key by key."""
     now, rows = None, []
     for batch in batches:
-        for row in batch.to_pylist():
-            if rows and row[key] != now:
-                yield now, rows
-                rows = []
-            now = row[key]
-            rows.append(row)
+        for a in range(0, batch.num_rows, 64):  # rows may be large
+            for row in batch.slice(a, 64).to_pylist():
+                if rows and row[key] != now:
+                    yield now, rows
+                    rows = []
+                now = row[key]
+                rows.append(row)
     if rows:
         yield now, rows
 
