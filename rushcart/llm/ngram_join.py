@@ -23,6 +23,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from rushcart.llm.columns import partitions, pieces, plain, utf8
@@ -130,13 +131,16 @@ def _rows_of(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
 
 def _sent(words: int, buckets: int, often: np.ndarray):
     """Shingles of classes that the task has not sent yet, packed by bucket. They name their
-    class by its place in the flush. Frequent ones need no counting and skip the buckets."""
+    class by its place in the flush. Frequent ones need no counting and skip the buckets.
 
-    def packed(classes, sets):
+    A flush's name holds its task and number: tasks with the same rows send the same classes.
+    """
+
+    def packed(number, classes, sets):
         sizes = np.array([len(x) for x in sets], np.int64)
         at = np.repeat(np.arange(len(sets), dtype=np.uint16), sizes)
         tokens = np.concatenate(sets)
-        flush = _class_of(np.array(classes, np.int64))
+        flush = _class_of(np.array([*number, *classes], np.int64))
         bucket = _bucket(tokens, buckets)
         frequent = np.zeros(len(tokens), bool)
         if len(often):
@@ -157,6 +161,7 @@ def _sent(words: int, buckets: int, often: np.ndarray):
 
     def run(batches):
         known, classes, sets, size = set(), [], [], 0
+        task, sent = TaskContext.get().partitionId(), 0
         for _, found in _sets(batches, words):
             for x in found:
                 if not len(x) or (one := _class_of(x)) in known:
@@ -168,10 +173,10 @@ def _sent(words: int, buckets: int, often: np.ndarray):
                 sets.append(x)
                 size += 8 * len(x)
                 if size >= FLUSH_BYTES or len(sets) == FLUSH_CLASSES:
-                    yield packed(classes, sets)
-                    classes, sets, size = [], [], 0
+                    yield packed((task, sent), classes, sets)
+                    classes, sets, size, sent = [], [], 0, sent + 1
         if sets:
-            yield packed(classes, sets)
+            yield packed((task, sent), classes, sets)
 
     return run
 

@@ -84,6 +84,20 @@ def test_frequent_shingles_skip_the_buckets(docs, monkeypatch):
     assert rows_of(near_duplicates(docs(rows).repartition(6)), *COLUMNS) == wanted(rows)
 
 
+def test_equal_partitions_count_no_shingle_twice(spark, docs):
+    """Tasks that send the same classes in the same order; two of the texts have a Jaccard similarity of about 0.5."""
+    common = prose(40, 1, 5000)
+    texts = [f"{common} {prose(17, 2, 5000)}", f"{common} {prose(17, 3, 5000)}", prose(50, 4, 5000)]
+    parts = [[(10 * k + i, t) for i, t in enumerate(texts)] for k in range(3)]
+    a, b = shingles(texts[0], 4), shingles(texts[1], 4)
+    assert 0.45 < len(a & b) / len(a | b) < 0.55
+    rows = [r for part in parts for r in part]
+    df = docs(rows)
+    df = spark.createDataFrame(spark.sparkContext.parallelize(df.collect(), 3), df.schema)
+    assert [len(x) for x in df.rdd.glom().collect()] == [3, 3, 3]
+    assert rows_of(near_duplicates(df), *COLUMNS) == wanted(rows)
+
+
 def test_odd_rows(docs):
     rows = [(i, t) for i, t in enumerate(ODD)] + [(20, "a b c d e"), (20, "a b c d e"), (21, "A  B c\nd e"), (None, "a b c d e"), (None, None), (22, "lone words")]
     assert rows_of(near_duplicates(docs(rows)), *COLUMNS) == wanted(rows)
