@@ -216,6 +216,11 @@ def _bucket(hashed: np.ndarray, buckets: int) -> np.ndarray:
     return ((hashed >> np.uint64(40)) * np.uint64(buckets) >> np.uint64(24)).astype(np.int64)
 
 
+def _shelf(doc: np.ndarray, version: np.ndarray, shelves: int) -> np.ndarray:
+    """Of a document. Copies of a text have one version; their ids spread them over all shelves."""
+    return (stir(doc.view(np.uint64) ^ stir(version.view(np.uint64))) % np.uint64(shelves)).astype(np.int64)
+
+
 def _cuts(values: np.ndarray) -> list[int]:
     return [0, *(np.flatnonzero(values[1:] != values[:-1]) + 1).tolist(), len(values)] if len(values) else [0]
 
@@ -263,7 +268,7 @@ def _sent(buckets: int):
         known = count[inverse] > 1
         rest = known.copy()
         rest[first] = False
-        key = np.where(rest, -1 - np.abs(version % buckets), key)
+        key = np.where(rest, -1 - _shelf(doc, version, buckets), key)
         # Of a repeated anchor the place that is sent carries a mark in its highest byte.
         low = hashed & _LOW
         return _packed(
@@ -299,10 +304,6 @@ PLACES = "key long, doc binary, version binary, at binary"
 OFTEN = -1
 
 
-def _shelf(version: np.ndarray, shelves: int) -> np.ndarray:
-    return np.abs(version % shelves)
-
-
 def _name(bucket, hashed: np.ndarray) -> np.ndarray:
     return (np.uint64(1 << 40) * np.asarray(bucket, np.uint64) | hashed & _LOW).view(np.int64)
 
@@ -329,7 +330,7 @@ def _repeated(shelves: int, split_from: int):
                 keep |= (found["at"] & 1).astype(bool)
             if keep.any():
                 doc, version, at = (found[c][keep] for c in ("doc", "version", "at"))
-                yield _packed(_shelf(version, shelves), doc=doc, version=version, at=at >> 1)
+                yield _packed(_shelf(doc, version, shelves), doc=doc, version=version, at=at >> 1)
 
     return run
 
@@ -390,7 +391,7 @@ def _segments(buckets: int, often: np.ndarray, named_by: int):
             n = int(gone.sum())
             empty = {c: np.zeros(n, np.uint8) for c in ("low", "high")}
             removed = _packed(
-                -1 - _shelf(found["version"][gone], buckets), **empty,
+                -1 - _shelf(found["doc"][gone], found["version"][gone], buckets), **empty,
                 offset=found["offset"][gone].astype(np.uint8), length=found["length"][gone].astype(np.uint8),
                 doc=found["doc"][gone], version=found["version"][gone], start=found["start"][gone],
                 bytes=np.zeros(n, np.uint8),
@@ -471,7 +472,7 @@ def _removed(shelves: int):
     """Runs of starts of windows that stand earlier, packed by the shelf of their document."""
 
     def out(doc, version, at, count):
-        return _packed(_shelf(version, shelves), doc=doc, version=version, at=at, count=count.astype(np.uint8))
+        return _packed(_shelf(doc, version, shelves), doc=doc, version=version, at=at, count=count.astype(np.uint8))
 
     def run(batches):
         for key, rows in _groups(batches):

@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from rushcart.llm import suffixes
@@ -72,6 +73,37 @@ def test_odd_rows(docs):
     assert rows_of(remove_repeats(docs([(1, None)])), *COLUMNS) == wanted([(1, None)])
 
 
+def test_copies_of_one_text_spread_over_the_shelves():
+    """None of the three shuffles gathers them under one key, and none parts a document."""
+    text, n, shelves = prose(80, 1), 400, 16
+    columns = {"doc": np.arange(n), "version": np.full(n, 12345), "text": [text] * n}
+
+    def by_key(batches):
+        rows = sorted((r for b in batches for r in b.to_pylist()), key=lambda r: r["key"])
+        return [pa.RecordBatch.from_pylist(rows, schema=next(iter(batches)).schema)], rows
+
+    def spread(rows):
+        shelf = {}
+        for r in rows:
+            for doc in np.frombuffer(r["doc"], np.int64).tolist():
+                shelf.setdefault(doc, set()).add(r["key"])
+        assert all(len(x) == 1 for x in shelf.values())
+        counts = np.unique([min(x) for x in shelf.values()], return_counts=True)[1]
+        assert len(counts) == shelves and counts.max() < 3 * n / shelves
+
+    sent, rows = by_key(list(suffixes._sent(shelves)([pa.RecordBatch.from_pydict(columns)])))
+    spread([r for r in rows if r["key"] < 0])
+    places, rows = by_key(list(suffixes._repeated(shelves, 10**9)(sent)))
+    spread(rows)
+    found = list(suffixes._per_document(places))
+    columns["places"] = dict(zip((x for b in found for x in b.column("doc").to_pylist()), (x for b in found for x in b.column("places").to_pylist())))
+    columns["places"] = [columns["places"][i] for i in range(n)]
+    segments, rows = by_key(list(suffixes._segments(shelves, np.zeros(0, np.int64), shelves)([pa.RecordBatch.from_pydict(columns)])))
+    spread([r for r in rows if r["key"] < 0])
+    _, rows = by_key(list(suffixes._removed(shelves)(segments)))
+    spread(rows)
+
+
 def test_equal_windows_have_equal_anchors():
     rng = random.Random(3)
     text = bytes(rng.choice(b"ab c") for _ in range(400))
