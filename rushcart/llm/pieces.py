@@ -5,8 +5,9 @@ dropout, each candidate merge that comes up is skipped for good with a chance th
 keyed hash decides, so one seed always gives one segmentation. Text is cut before
 every run of word marks: no piece of the vocabulary reaches across such a border
 (checked when the model is loaded), so pieces of a chunk do not depend on its
-neighbours. A chunk comes in ``variants`` segmentations; which one stands at a place
-is again a keyed hash, of the document and the place.
+neighbours. The hash is keyed by the document and the place in it, too, so every
+occurrence of a chunk is decided for itself; what has been worked off is used again
+only for occurrences that skip the very same merges.
 """
 
 from __future__ import annotations
@@ -32,10 +33,12 @@ CHUNK = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 OWN_MARK = f"!{MARK}"
 #: Longer chunks are worked off one by one and not kept.
 KEPT_CHARS = 32
-#: Segmentations that a task keeps at most.
+#: Segmentations that a task keeps, about.
 KEPT_CHUNKS = 300_000
 #: Chunks that are looked up together.
 BLOCK = 150_000
+#: A chunk with more possible merges is not kept: its skips would not fit into 63 bits.
+KEPT_MERGES = 63
 _NONE = np.int32(2**31 - 1)
 #: In a row of pieces: beyond its end, and from where on characters that are no piece stand, downwards.
 _PAST, _UNKNOWN = -3, -10
@@ -65,7 +68,7 @@ def _stir(x):
 class Pieces:
     """A merge-type SentencePiece vocabulary with byte pieces."""
 
-    def __init__(self, path: str = MODEL, dropout: float = 0.0, seed: int = 0, variants: int = 8):
+    def __init__(self, path: str = MODEL, dropout: float = 0.0, seed: int = 0):
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -86,7 +89,7 @@ class Pieces:
         self.single = np.array([self.ids.get(chr(c), _UNKNOWN - c) for c in range(1 << 14)], np.int32)
         self._index_pairs()
         self.limit = min(int(dropout * 2**64), _MIX)
-        self.seed, self.variants = seed, variants if dropout else 1
+        self.seed, self.variants = seed, 1 << 64 if dropout else 1
         self._forget()
 
     def _index_pairs(self) -> None:
@@ -132,7 +135,47 @@ class Pieces:
 
     def _forget(self) -> None:
         mark = np.array([self.bytes[b] for b in MARK.encode()], np.int32).tobytes()
-        self.kept: list[dict[str, bytes]] = [{OWN_MARK: mark} for _ in range(self.variants)]
+        self.kept: dict[tuple[str, int], bytes] = {(OWN_MARK, 0): mark}  # by chunk and the merges that are skipped
+        self.merges: dict[str, tuple[int, np.ndarray] | None] = {OWN_MARK: (0, np.zeros(0, np.uint64))}
+
+    def _merges(self, chunk: str) -> tuple[int, np.ndarray] | None:
+        """A chunk's part of the key, and all merges that may come up in it; none for one that is not kept."""
+        size = len(chunk)
+        if size > KEPT_CHARS:
+            return None
+        places, made = [], {(at, at + 1) for at in range(size)}
+        for length in range(2, size + 1) if self.limit else ():
+            for a in range(size - length + 1):
+                end = a + length
+                if chunk[a:end] in self.ids:
+                    found = [a << 42 | b << 21 | end for b in range(a + 1, end) if (a, b) in made and (b, end) in made]
+                    if found:
+                        made.add((a, end))
+                        places += found
+        if len(places) > KEPT_MERGES:
+            return None
+        return sum((ord(char) + 1) * _POWERS[j] for j, char in enumerate(chunk)) & _MIX, _stir(np.array(places, np.uint64))
+
+    def _skips(self, merges: list[tuple[int, np.ndarray] | None], which: np.ndarray, variants: np.ndarray) -> list[int]:
+        """Of each occurrence, the merges that are skipped in it, as bits; -1 where it is not kept."""
+        out = np.zeros(len(which), np.int64)
+        if not self.limit:
+            out[np.array([m is None for m in merges])[which]] = -1
+            return out.tolist()
+        total = np.array([m[0] if m else 0 for m in merges], np.uint64)
+        count = np.array([len(m[1]) if m else 0 for m in merges])
+        flat = np.concatenate([m[1] for m in merges if m] or [np.zeros(0, np.uint64)])
+        begin = (np.cumsum(count) - count)[which]
+        keys = _stir(_stir(np.uint64(self.seed * 0x9E3779B97F4A7C15 & _MIX) + variants) + total[which])
+        size = count[which]
+        some = np.flatnonzero(size)
+        if len(some):
+            first = np.cumsum(size) - size
+            bit = np.arange(int(size.sum())) - np.repeat(first, size)
+            hashed = _stir(np.repeat(keys, size) ^ flat[bit + np.repeat(begin, size)])
+            out[some] = np.add.reduceat((hashed < np.uint64(self.limit)).astype(np.int64) << bit, first[some])
+        out[np.array([m is None for m in merges])[which]] = -1
+        return out.tolist()
 
     def _key(self, chunk: str, variant: int) -> int:
         total = sum((ord(char) + 1) * _POWERS[j] for j, char in enumerate(chunk))
@@ -246,7 +289,7 @@ class Pieces:
         return out
 
     def _learn(self, pairs: list[tuple[int, str]]) -> list[bytes]:
-        """Ids of (variant, chunk) pairs that are not kept yet, rows of like length together."""
+        """Ids of (variant, chunk) pairs, rows of like length together."""
         sizes = np.fromiter((len(c) for _, c in pairs), np.int64, len(pairs))
         order = np.argsort(sizes, kind="stable")
         sizes = sizes[order]
@@ -259,23 +302,22 @@ class Pieces:
             b = min(int(np.searchsorted(sizes, max(4, sizes[a] * 4 // 3), side="right")), kept)
             own = order[a:b].tolist()
             variants, chunks = zip(*[pairs[i] for i in own])
-            for i, v, c, ids in zip(own, variants, chunks, self.chunks(chunks, variants)):
-                out[i] = self.kept[v][c] = ids
+            for i, ids in zip(own, self.chunks(chunks, variants)):
+                out[i] = ids
             a = b
         return out
 
-    def _places(self, document: int, first: int, count: int) -> list[int]:
-        """Variants at ``count`` places of a document, from its place ``first``."""
+    def _places(self, document: int, first: int, count: int) -> np.ndarray:
+        """What keys the skips at ``count`` places of a document, from its place ``first``."""
         if self.variants == 1:
-            return [0] * count
+            return np.zeros(count, np.uint64)
         begin = _stir((document * 0x2545F4914F6CDD1D + self.seed) & _MIX)
-        drawn = _stir(np.arange(first, first + count, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(begin))
-        return ((drawn >> np.uint64(32)) % np.uint64(self.variants)).tolist()
+        return _stir(np.arange(first, first + count, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(begin))
 
     def encode_all(self, rows: list[str], documents: list[int]) -> list[np.ndarray]:
         """Ids of whole texts. A word mark that a text itself holds goes as bytes, so nothing is lost."""
         out: list[list[bytes]] = [[] for _ in rows]
-        block: list[tuple[int, list[int], list[str]]] = []
+        block: list[tuple[int, np.ndarray, list[str]]] = []
         waiting = 0
         for row, text in enumerate(rows):
             first = 0
@@ -289,14 +331,37 @@ class Pieces:
         return [np.frombuffer(b"".join(parts), np.int32) for parts in out]
 
     def _flush(self, block, out) -> None:
-        if sum(map(len, self.kept)) > KEPT_CHUNKS:
+        if not block:
+            return
+        if len(self.kept) > KEPT_CHUNKS or len(self.merges) > KEPT_CHUNKS:
             self._forget()
-        get, found = [k.get for k in self.kept], []
-        missing: dict[tuple[int, str], int] = {}  # pairs that are not kept, numbered
+        numbers: dict[str, int] = {}
+        which = np.array([numbers.setdefault(c, len(numbers)) for _, _, chunks in block for c in chunks], np.int64)
+        merges = []
+        for c in numbers:
+            if c not in self.merges:
+                self.merges[c] = self._merges(c)
+            merges.append(self.merges[c])
+        variants = np.concatenate([places for _, places, _ in block])
+        skips, get, at = self._skips(merges, which, variants), self.kept.get, 0
+        missing: dict[tuple[str, int], int] = {}  # what is not kept, numbered
+        first: list[tuple[int, str]] = []
+        found = []
         for _, places, chunks in block:
-            ids = [get[v](c) for v, c in zip(places, chunks)]
-            found.append((ids, [(i, missing.setdefault((places[i], chunks[i]), len(missing))) for i, x in enumerate(ids) if x is None]))
-        learned = self._learn(list(missing))
+            keys = list(zip(chunks, skips[at : at + len(chunks)]))
+            ids, open_ = [get(k) for k in keys], []
+            for i, x in enumerate(ids):
+                if x is None:
+                    key = keys[i] if keys[i][1] >= 0 else (chunks[i], -1 - int(places[i]))
+                    if (number := missing.setdefault(key, len(missing))) == len(first):
+                        first.append((int(places[i]), chunks[i]))
+                    open_.append((i, number))
+            found.append((ids, open_))
+            at += len(chunks)
+        learned = self._learn(first)
+        for key, ids in zip(missing, learned):
+            if key[1] >= 0:
+                self.kept[key] = ids
         for (ids, open_), (row, _, _) in zip(found, block):
             for i, number in open_:
                 ids[i] = learned[number]
@@ -346,7 +411,7 @@ def _without_collector():
             gc.enable()
 
 
-def encode_pieces(docs: DataFrame, path: str = MODEL, dropout: float = 0.1, seed: int = 0, variants: int = 8) -> DataFrame:
+def encode_pieces(docs: DataFrame, path: str = MODEL, dropout: float = 0.1, seed: int = 0) -> DataFrame:
     """Per row: (doc_id, ids). Null text counts as empty and has no ids; repeated rows are encoded alike.
 
     Only ``doc_id`` and ``text`` are read. The model file must be readable at ``path`` on
@@ -354,7 +419,7 @@ def encode_pieces(docs: DataFrame, path: str = MODEL, dropout: float = 0.1, seed
     """
 
     def run(batches):
-        model = Pieces(path, dropout, seed, variants)
+        model = Pieces(path, dropout, seed)
         for batch in batches:
             rows = texts(batch.column("text"))
             keys = batch.column("doc_id").to_pylist()
@@ -378,14 +443,14 @@ def decode_pieces(encoded: DataFrame, path: str = MODEL) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, text string")
 
 
-def piece_digests(docs: DataFrame, path: str = MODEL, dropout: float = 0.1, seed: int = 0, variants: int = 8) -> DataFrame:
+def piece_digests(docs: DataFrame, path: str = MODEL, dropout: float = 0.1, seed: int = 0) -> DataFrame:
     """Per row: (doc_id, n_pieces, ids_sha256, text_sha256), the last read back from the ids.
 
     ``ids_sha256`` hashes the ids as 32-bit little-endian numbers. Rows as in :func:`encode_pieces`.
     """
 
     def run(batches):
-        model = Pieces(path, dropout, seed, variants)
+        model = Pieces(path, dropout, seed)
         for batch in batches:
             rows, keys = texts(batch.column("text")), batch.column("doc_id").to_pylist()
             for a in range(0, len(rows), 500):

@@ -57,6 +57,16 @@ def test_blocks_and_forgetting_change_nothing(monkeypatch):
     assert Pieces(dropout=0.1).encode(text, 3) == whole
 
 
+def test_every_occurrence_is_decided_for_itself():
+    """More segmentations than eight, each what the agenda says at its place."""
+    model = Pieces(dropout=0.3, seed=4)
+    for word in ("international", "internationalcooperationagreement" * 3):
+        text = " ".join([word] * 400)
+        parts = [model.chunk("▁" + word, int(v)) for v in model._places(11, 0, 400)]
+        assert model.encode(text, 11) == [i for part in parts for i in part]
+        assert len(set(map(tuple, parts))) > 30
+
+
 def test_tables(docs):
     rows = [(i, t) for i, t in enumerate(ODD)] + [(None, "null id"), (3, "twice"), (3, "twice")]
     encoded = encode_pieces(docs(rows))
