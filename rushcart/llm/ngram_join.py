@@ -24,7 +24,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from rushcart.llm.columns import partitions, pieces, plain, utf8
 from rushcart.llm.components import components
@@ -425,15 +425,8 @@ def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.repartition("a", "part").sortWithinPartitions("a", "part", F.asc_nulls_first("b")).mapInArrow(_verified(percent), PAIRS)
 
 
-def near_duplicates(docs: DataFrame, words: int = 4, percent: int = 85) -> DataFrame:
-    """Per row: (doc_id, n_shingles, component_id).
-
-    Two documents link when their sets of ``words``-word shingles have a Jaccard similarity
-    of at least ``percent`` hundredths. ``component_id`` is the smallest doc_id that links
-    reach, its own included; a null id is never the smallest. Null, empty and blank texts
-    have no shingles and link with nothing; fewer words are one shingle. Repeated rows are
-    rows of one class. Only ``doc_id`` and ``text`` are read.
-    """
+def _grouped(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """Per row: (doc_id, n, class, root), the root being one class of its component."""
     rows = plain(docs, "doc_id", "text")
     described = stored(rows.mapInArrow(_described(words), "doc_id long, n long, class long, token long, rows long"), "described")
     documents = described.where("token IS NULL").select("doc_id", "n", "class")
@@ -475,14 +468,47 @@ def near_duplicates(docs: DataFrame, words: int = 4, percent: int = 85) -> DataF
     more = stored(verify(left, sets, percent), "links")
     roots = stored(components(links.unionByName(more)), "roots")
 
-    grouped = documents.join(roots, F.col("class") == F.col("node"), "left").select("doc_id", "n", F.coalesce("root", "class").alias("root"))
+    return documents.join(roots, F.col("class") == F.col("node"), "left").select("doc_id", "n", "class", F.coalesce("root", "class").alias("root"))
+
+
+def near_duplicates(docs: DataFrame, words: int = 4, percent: int = 85) -> DataFrame:
+    """Per row: (doc_id, n_shingles, component_id).
+
+    Two documents link when their sets of ``words``-word shingles have a Jaccard similarity
+    of at least ``percent`` hundredths. ``component_id`` is the smallest doc_id that links
+    reach, its own included; a null id is never the smallest. Null, empty and blank texts
+    have no shingles and link with nothing; fewer words are one shingle. Repeated rows are
+    rows of one class. Only ``doc_id`` and ``text`` are read.
+    """
+    grouped = _grouped(docs, words, percent)
     smallest = grouped.where("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("component_id"))
     linked = grouped.join(smallest, "root", "left")
     return linked.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
+def _classed(words: int):
+    """Rows with the class of their text."""
+
+    def run(batches):
+        for batch in batches:
+            data, starts = utf8(batch.column("text"))
+            classes = []
+            for a, b in pieces(starts):
+                sets = shingle_sets(data[starts[a] : starts[b]], starts[a : b + 1] - starts[a], words)
+                classes += [_class_of(x) if len(x) else None for x in sets]
+            yield batch.append_column("_class", pa.array(classes, pa.int64()))
+
+    return run
+
+
 def first_of_groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """The rows whose id is their component's, with all columns; a null id stays."""
-    kept = near_duplicates(docs, words, percent).where(F.col("doc_id") == F.col("component_id"))
-    named = docs.join(kept.select("doc_id").distinct(), "doc_id", "left_semi")
-    return named.unionByName(docs.where("doc_id IS NULL")).select(*docs.columns)
+    """One row of each component, with all columns: that of the smallest id, a null id being the
+    largest, then of the smallest class, then of the smallest text. Texts without shingles all stay."""
+    blank = ~F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    number, missing = F.coalesce("doc_id", F.lit(0).cast("long")).alias("_id"), F.col("doc_id").isNull().alias("_null")
+    grouped = _grouped(docs, words, percent).where("root IS NOT NULL").select("root", missing, number, F.col("class").alias("_class"))
+    best = grouped.groupBy("root").agg(F.min(F.struct("_null", "_id", "_class")).alias("_best")).select("_best.*")
+    schema = T.StructType([*docs.schema.fields, T.StructField("_class", T.LongType())])
+    named = docs.where(~blank).mapInArrow(_classed(words), schema).select("*", missing, number).join(best, ["_null", "_id", "_class"], "left_semi")
+    one = named.groupBy("_null", "_id", "_class").agg(F.min_by(F.struct(*docs.columns), "text").alias("_row")).select("_row.*")
+    return one.unionByName(docs.where(blank)).select(*docs.columns)

@@ -114,6 +114,17 @@ def test_one_row_of_each_group_stays(docs):
     assert kept.where("doc_id IS NULL").count() == 1
 
 
+def test_one_row_stays_where_ids_repeat_or_are_null(docs):
+    """Of each component; the id 7 stands in three of them, twice with one text, and null ids in two."""
+    a, b, c, d = (prose(60, i, 5000) for i in (11, 12, 13, 14))
+    rows = [(7, a), (7, a), (8, a + " more"), (7, b), (5, b + " more"), (7, c), (7, c + " more"), (None, d), (None, d + " more"), (None, c), (None, " "), (4, None)]
+    kept = [tuple(r) for r in first_of_groups(docs(rows)).select("doc_id", "text").collect()]
+    of = lambda text: [(i, t) for i, t in kept if (t or "").startswith(text)]
+    assert of(a) == [(7, a)] and of(b) == [(5, b + " more")]
+    assert [i for i, _ in of(c)] == [7] and [i for i, _ in of(d)] == [None]
+    assert sorted(kept, key=repr) == sorted([*of(a), *of(b), *of(c), *of(d), (None, " "), (4, None)], key=repr)
+
+
 @pytest.mark.parametrize("per_task", [3, 1000])
 def test_components_of_long_paths_stars_and_loops(spark, monkeypatch, per_task):
     monkeypatch.setattr(components_module, "PER_TASK", per_task)
