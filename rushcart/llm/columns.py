@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -47,3 +49,15 @@ def plain(docs: DataFrame, *names: str) -> DataFrame:
 def partitions(df: DataFrame, rows: int, per_task: int) -> int:
     """Enough tasks for ``rows`` rows at ``per_task`` each, at least what the session sets."""
     return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // per_task))
+
+
+@contextmanager
+def without_collector():
+    """For work that makes no reference cycles: Python's collector would walk all that is kept again and again."""
+    was = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was:
+            gc.enable()

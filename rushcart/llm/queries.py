@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from rushcart.llm.byte_bpe import byte_digests
 from rushcart.llm.chat import format_conversations, read_back
 from rushcart.llm.exact import exact_dedup
 from rushcart.llm.graph_search import nearest_neighbours
@@ -67,6 +68,10 @@ def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_digests(_documents(spark, sf_dir))
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_digests(_documents(spark, sf_dir))
+
+
 EXACT_SQL = """
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
@@ -85,4 +90,5 @@ QUERIES = {
     "op8_chat": (op8_chat, None),
     "op9_ngram_join": (op9_ngram_join, None),
     "op10_pieces": (op10_pieces, None),
+    "op11_byte_bpe": (op11_byte_bpe, None),
 }
