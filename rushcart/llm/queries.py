@@ -8,8 +8,10 @@ from rushcart.llm.byte_bpe import byte_digests
 from rushcart.llm.chat import format_conversations, read_back
 from rushcart.llm.exact import exact_dedup
 from rushcart.llm.graph_search import nearest_neighbours
+from rushcart.llm.merkle import verified
 from rushcart.llm.mixing import mix
 from rushcart.llm.ngram_join import near_duplicates
+from rushcart.llm.phrases import collocations
 from rushcart.llm.pieces import piece_digests
 from rushcart.llm.pii import find_pii, train as train_pii
 from rushcart.llm.sharding import shard
@@ -72,12 +74,58 @@ def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_digests(_documents(spark, sf_dir))
 
 
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(_documents(spark, sf_dir))
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return verified(_documents(spark, sf_dir))
+
+
 EXACT_SQL = """
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
 FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
+PHRASES_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                   '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), words AS (
+  SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), x -> x <> '') AS ws FROM pieces
+), sizes AS (
+  SELECT lang, CAST(sum(len(ws)) AS BIGINT) AS n FROM words GROUP BY lang
+), places AS (
+  SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM words
+), grams AS (
+  SELECT lang, k, ws[i:i + k - 1] AS p, count(*) AS f
+  FROM places, (VALUES (1), (2), (3)) AS lengths(k) WHERE i + k - 1 <= len(ws) GROUP BY ALL
+), candidates AS (
+  SELECT lang, k, p, f AS a FROM grams WHERE k > 1 AND f >= 10
+), cuts AS (
+  SELECT c.lang, c.k, c.p, c.a, j, x.f AS l, y.f AS r,
+         (CAST(1000000 AS HUGEINT) * c.a * c.a) // (CAST(x.f AS HUGEINT) * y.f) AS score
+  FROM candidates c JOIN (VALUES (1), (2)) AS at(j) ON j < c.k
+  JOIN grams x ON x.lang = c.lang AND x.p = c.p[1:j]
+  JOIN grams y ON y.lang = c.lang AND y.p = c.p[j + 1:c.k]
+), best AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, j) = 1
+), covered AS (
+  SELECT lang, part, max(a) AS over
+  FROM (SELECT lang, a, unnest([p[1:2], p[2:3]]) AS part FROM candidates WHERE k = 3) GROUP BY lang, part
+), kept AS (
+  SELECT b.lang, array_to_string(b.p, ' ') AS phrase, b.a, b.l, b.r, CAST(b.score AS BIGINT) AS score
+  FROM best b LEFT JOIN covered c ON c.lang = b.lang AND c.part = b.p
+  WHERE c.over IS NULL OR 100 * c.over < 50 * b.a
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM kept JOIN sizes USING (lang)
+QUALIFY row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) <= 2000
+"""
+
 #: Name to (query, SQL or None).
 QUERIES = {
     "op1_pii": (op1_pii, None),
@@ -91,4 +139,6 @@ QUERIES = {
     "op9_ngram_join": (op9_ngram_join, None),
     "op10_pieces": (op10_pieces, None),
     "op11_byte_bpe": (op11_byte_bpe, None),
+    "op12_phrases": (op12_phrases, PHRASES_SQL),
+    "op13_merkle": (op13_merkle, None),
 }
