@@ -23,11 +23,11 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rushcart.functions.ranks import ranked
-from rushcart.llm.columns import partitions, utf8
+from rushcart.llm.columns import partitions, pieces, utf8
 from rushcart.sources.folders import stored
 
 #: Bytes of text in a block, about. A longer text is a block of its own.
-BLOCK_BYTES = 1 << 24
+BLOCK_BYTES = 1 << 23
 #: Rows of counts that one task groups, about.
 PER_TASK = 1_000_000
 #: A block's part of the relation: ascending places, the number of the phrase at each, and the
@@ -71,13 +71,14 @@ def _words(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray
     border[starts] = True
     first[1:] &= ~inside[:-1] | border[1:-1]
     last[:-1] &= ~inside[1:] | border[1:-1]
-    begin = np.flatnonzero(first)
-    sizes = np.flatnonzero(last) + 1 - begin
+    begin, end = np.flatnonzero(first).astype(np.int32), np.flatnonzero(last).astype(np.int32) + 1
     # words of a piece follow each other; where a piece (or text) ends in between, a place stays empty
-    pieces = np.cumsum(ends_piece[data] | border[:-1], dtype=np.int64)[begin]
-    places = np.arange(len(begin), dtype=np.int32) + np.cumsum(np.diff(pieces, prepend=pieces[:1]) > 0, dtype=np.int32)
+    cuts = np.flatnonzero(ends_piece[data] | border[:-1]).astype(np.int32)
+    piece = np.searchsorted(cuts, begin, side="right")
+    places = np.arange(len(begin), dtype=np.int32) + np.cumsum(np.diff(piece, prepend=piece[:1]) > 0, dtype=np.int32)
+    del first, last, border, cuts, piece
     offsets = np.zeros(len(begin) + 1, np.int64)
-    np.cumsum(sizes, out=offsets[1:])
+    np.cumsum(end - begin, out=offsets[1:])
     flat = data[inside]
     column = pa.Array.from_buffers(pa.large_binary(), len(begin), [None, pa.py_buffer(offsets), pa.py_buffer(flat)])
     coded = column.dictionary_encode()
@@ -89,15 +90,21 @@ def _blocks(batches, most: int) -> Iterator[tuple[str, pa.Array]]:
     waiting: dict[str, list[pa.Array]] = {}
     sizes: dict[str, int] = {}
     for batch in batches:
-        langs, column = batch.column("lang"), batch.column("text").cast(pa.large_string())
+        langs, column = batch.column("lang"), batch.column("text")
         for lang in pc.unique(langs).to_pylist():
             own = column.filter(pc.equal(langs, lang))
-            waiting.setdefault(lang, []).append(own)
-            sizes[lang] = sizes.get(lang, 0) + own.nbytes
-        while sizes and sum(sizes.values()) >= most:
+            _, starts = utf8(own)
+            for first, end in pieces(starts, most):
+                size = int(starts[end] - starts[first])
+                if sizes.get(lang, 0) + size > most and lang in waiting:
+                    del sizes[lang]
+                    yield lang, pa.concat_arrays(waiting.pop(lang))
+                waiting.setdefault(lang, []).append(own.slice(first, end - first))
+                sizes[lang] = sizes.get(lang, 0) + size
+        while sum(sizes.values()) > 2 * most:
             lang = max(sizes, key=sizes.get)
-            yield lang, pa.concat_arrays(waiting.pop(lang))
             del sizes[lang]
+            yield lang, pa.concat_arrays(waiting.pop(lang))
     for lang, own in waiting.items():
         yield lang, pa.concat_arrays(own)
 

@@ -95,7 +95,7 @@ WITH pieces AS (
                                    '[.,;:!?\x0A-\x0D]')) AS piece
   FROM documents
 ), words AS (
-  SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), x -> x <> '') AS ws FROM pieces
+  SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM pieces
 ), sizes AS (
   SELECT lang, CAST(sum(len(ws)) AS BIGINT) AS n FROM words GROUP BY lang
 ), places AS (
@@ -108,18 +108,18 @@ WITH pieces AS (
 ), cuts AS (
   SELECT c.lang, c.k, c.p, c.a, j, x.f AS l, y.f AS r,
          (CAST(1000000 AS HUGEINT) * c.a * c.a) // (CAST(x.f AS HUGEINT) * y.f) AS score
-  FROM candidates c JOIN (VALUES (1), (2)) AS at(j) ON j < c.k
+  FROM candidates c JOIN (VALUES (1), (2)) AS cut(j) ON cut.j < c.k
   JOIN grams x ON x.lang = c.lang AND x.p = c.p[1:j]
   JOIN grams y ON y.lang = c.lang AND y.p = c.p[j + 1:c.k]
 ), best AS (
   SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, j) = 1
 ), covered AS (
-  SELECT lang, part, max(a) AS over
+  SELECT lang, part, max(a) AS most
   FROM (SELECT lang, a, unnest([p[1:2], p[2:3]]) AS part FROM candidates WHERE k = 3) GROUP BY lang, part
 ), kept AS (
   SELECT b.lang, array_to_string(b.p, ' ') AS phrase, b.a, b.l, b.r, CAST(b.score AS BIGINT) AS score
   FROM best b LEFT JOIN covered c ON c.lang = b.lang AND c.part = b.p
-  WHERE c.over IS NULL OR 100 * c.over < 50 * b.a
+  WHERE c.most IS NULL OR 100 * c.most < 50 * b.a
 )
 SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
 FROM kept JOIN sizes USING (lang)
