@@ -4,7 +4,8 @@ Every distinct vector is a node of one shard's graph. A graph is built in batche
 beam searches from the middle propose neighbours, relaxed pruning keeps a candidate only
 if no kept neighbour is nearer to it by the factor ``alpha``, and edges are given back.
 Queries go through the graph of every shard, in blocks. Largest inner products become
-smallest distances by one more component that brings all vectors to one length.
+smallest distances by one more component that brings all vectors to one length. So that
+this component does not drown the others, only vectors of like length share a shard.
 """
 
 from __future__ import annotations
@@ -13,7 +14,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from rushcart.llm.columns import partitions
 from rushcart.sources.folders import stored
 
 #: Vectors of a shard, about; the task that builds it holds them all.
@@ -34,7 +34,7 @@ class Graph:
         self.vectors = vectors
         lengths = (vectors.astype(np.float64) ** 2).sum(axis=1)
         rest = np.sqrt(np.maximum(lengths.max() - lengths, 0)) if len(vectors) else lengths
-        self.points = np.concatenate([vectors, rest[:, None]], axis=1).astype(np.float32)
+        self.points = np.concatenate([vectors, rest[:, None]], axis=1, dtype=np.float64)
         self.lengths = (self.points**2).sum(axis=1)
         middle = self.points.mean(axis=0) if len(vectors) else 0
         self.start = int(((self.points - middle) ** 2).sum(axis=1).argmin()) if len(vectors) else 0
@@ -143,14 +143,14 @@ class Graph:
 
     def search(self, queries: np.ndarray, width: int) -> np.ndarray:
         """Nodes found for each query, nearest first, -1 for none."""
-        still = np.concatenate([queries, np.zeros((len(queries), 1))], axis=1).astype(np.float32)
+        still = np.concatenate([queries, np.zeros((len(queries), 1))], axis=1, dtype=np.float64)
         found = [self.beam(still[a : a + BATCH], width)[0] for a in range(0, len(still), BATCH)]
         return np.concatenate(found) if found else np.zeros((0, width), np.int64)
 
 
 def usable(vectors: DataFrame) -> DataFrame:
     """(vec_id, embedding) of the vectors that take part, every pair once."""
-    x = F.col("embedding").cast("array<float>")
+    x = F.col("embedding").cast("array<double>")
     whole = F.coalesce(F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))), F.lit(False))
     nonzero = F.coalesce(F.exists(x, lambda v: v != 0), F.lit(False))
     return vectors.where(whole & nonzero & F.col("vec_id").isNotNull()).select("vec_id", x.alias("embedding")).distinct()
@@ -160,7 +160,7 @@ def _graphs(seed: int):
     """From nodes in the order of their shard, one row per node with its edges."""
 
     def built(rows):
-        vectors = np.array([r["embedding"] for r in rows], np.float32)
+        vectors = np.array([r["embedding"] for r in rows], np.float64)
         graph = Graph(vectors)
         graph.build(seed + rows[0]["shard"])
         return pa.RecordBatch.from_pylist(
@@ -182,12 +182,12 @@ def _graphs(seed: int):
     return run
 
 
-INDEX = "shard long, node long, embedding array<float>, ids array<long>, edges array<long>"
+INDEX = "shard long, node long, embedding array<double>, ids array<long>, edges array<long>"
 _INDEX = pa.schema(
     [
         ("shard", pa.int64()),
         ("node", pa.int64()),
-        ("embedding", pa.list_(pa.float32())),
+        ("embedding", pa.list_(pa.float64())),
         ("ids", pa.list_(pa.int64())),
         ("edges", pa.list_(pa.int64())),
     ]
@@ -199,15 +199,22 @@ def build_index(vectors: DataFrame, k: int = 20, shard_rows: int = SHARD_ROWS, s
 
     Of the ids of equal vectors the ``k + 1`` smallest are kept. They all are equally near to
     anything and ties go to the smaller id, so no other one can be among the ``k`` nearest.
-    Only vectors of one length share a shard.
+    The vectors of a shard have one number of components and lengths that differ by less than a
+    factor of four; a hash deals those alike into shards of about ``shard_rows``.
     """
     turn = F.row_number().over(Window.partitionBy("embedding").orderBy("vec_id"))
     few = usable(vectors).withColumn("turn", turn).where(F.col("turn") <= k + 1)
-    nodes = stored(few.groupBy("embedding").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")), "nodes")
-    shards = max(1, -(-nodes.count() // shard_rows))
-    # The length in the shard's number keeps vectors of different length apart.
-    shard = F.pmod(F.xxhash64("embedding"), F.lit(shards)) + F.size("embedding").cast("long") * shards
-    dealt = nodes.withColumn("shard", shard).repartition(partitions(nodes, shards, 1), "shard")
+    square = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
+    alike = F.struct(F.size("embedding").alias("dims"), F.coalesce(F.floor(F.log2(square) / 4), F.lit(-9999)).alias("length"))
+    nodes = few.groupBy("embedding").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")).withColumn("alike", alike)
+    nodes = stored(nodes, "nodes")
+    # a row for each number of components and factor of four, of which doubles have 1,050
+    kinds = nodes.groupBy("alike").agg(F.ceil(F.count("*") / shard_rows).alias("shards"))
+    upto = Window.orderBy("alike").rowsBetween(Window.unboundedPreceding, -1)
+    kinds = stored(kinds.select("alike", "shards", F.coalesce(F.sum("shards").over(upto), F.lit(0)).alias("first")), "kinds")
+    shards = kinds.agg(F.sum("shards")).first()[0] or 1
+    dealt = nodes.join(kinds, "alike").withColumn("shard", F.col("first") + F.pmod(F.xxhash64("embedding"), F.col("shards")))
+    dealt = dealt.repartitionById(shards, F.col("shard").cast("int"))
     ordered = dealt.sortWithinPartitions("shard", F.element_at("ids", 1)).select("shard", "embedding", "ids")
     return stored(ordered.mapInArrow(_graphs(seed), INDEX), "index")
 
@@ -221,7 +228,7 @@ def _answers(k: int, width: int):
         def flush():
             nonlocal graph, ids
             if graph is None and nodes:
-                vectors = np.array([r["embedding"] for r in nodes], np.float32)
+                vectors = np.array([r["embedding"] for r in nodes], np.float64)
                 edges = np.full((len(nodes), DEGREE), -1, np.int64)
                 for i, r in enumerate(nodes):
                     edges[i, : len(r["edges"])] = r["edges"]
@@ -230,11 +237,11 @@ def _answers(k: int, width: int):
             if graph is None or not queries:
                 queries.clear()
                 return None
-            asked = np.array([q["embedding"] for q in queries], np.float32)
+            asked = np.array([q["embedding"] for q in queries], np.float64)
             out = []
-            for query, vector, found in zip(queries, asked.astype(np.float64), graph.search(asked, max(width, k))):
+            for query, vector, found in zip(queries, asked, graph.search(asked, max(width, k))):
                 found = found[found >= 0]
-                score = (graph.vectors[found].astype(np.float64) * vector).sum(axis=1)
+                score = (graph.vectors[found] * vector).sum(axis=1)
                 best = sorted(
                     (-s, i) for s, n in zip(score.tolist(), found.tolist()) for i in ids[n] if i != query["vec_id"]
                 )[:k]
@@ -289,7 +296,8 @@ def nearest(index: DataFrame, queries: DataFrame, k: int = 20, width: int = SEAR
         "shard", "block", F.lit(0).alias("kind"), "embedding", "ids", "edges", none("long").alias("vec_id"), none("long").alias("key"), "node"
     )
     met = spread.unionByName(dealt)
-    ordered = met.repartition(partitions(index, shards.count() * blocks, 1), "shard", "block").sortWithinPartitions("shard", "block", "kind", "node")
+    tasks = shards.count() * blocks
+    ordered = met.repartitionById(max(tasks, 1), (F.col("shard") * blocks + F.col("block")).cast("int")).sortWithinPartitions("shard", "block", "kind", "node")
     found = ordered.mapInArrow(_answers(k, width), ANSWERS)
     turn = F.row_number().over(Window.partitionBy("query_id", "embedding_key").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", turn).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

@@ -45,6 +45,22 @@ def test_recall_over_shards_and_blocks(vectors):
     assert hits / 750 >= 0.95
 
 
+@pytest.mark.parametrize("longest", ["one long vector", "lengths over a million", "gaussian"])
+def test_recall_does_not_depend_on_lengths(vectors, longest):
+    rng = np.random.default_rng(5)
+    points = rng.normal(size=(1500, 16))
+    if longest != "gaussian":
+        points /= np.linalg.norm(points, axis=1)[:, None]
+    if longest == "one long vector":
+        points[7] *= 10_000
+    elif longest == "lengths over a million":
+        points *= 10 ** rng.uniform(-3, 3, (1500, 1))
+    rows = list(enumerate(points))
+    got = answers(nearest_neighbours(vectors(rows), every=30, k=20))
+    hits = sum(len({i for i, _ in found} & {i for i, _ in brute(rows, rows[q], 20)}) for q, found in got.items())
+    assert hits / (50 * 20) >= 0.95
+
+
 def test_equal_vectors_tie_to_the_smaller_id(vectors):
     rng = np.random.default_rng(2)
     same = rng.normal(size=8)
