@@ -10,50 +10,71 @@ written sorted by place, block by block. One round
 - keeps the occurrences of frequent phrases (a semi-join on block and phrase) and writes them.
 
 A phrase that occurs often enough has only parts that do, so nothing that is wanted is lost,
-and counts of whatever is left are those of the whole table.
+and counts of whatever is left are those of the whole table. For the grouping, a hash deals
+phrases into parts; what a block has for a part travels as one row of packed columns, sorted
+by phrase, and the answer names the block's phrases that are frequent.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from rushcart.functions.ranks import ranked
 from rushcart.llm.columns import partitions, pieces, utf8
+from rushcart.llm.shingles import stir
 from rushcart.sources.folders import stored
 
 #: Bytes of text in a block, about. A longer text is a block of its own.
 BLOCK_BYTES = 1 << 23
-#: Rows of counts that one task groups, about.
-PER_TASK = 1_000_000
+#: Occurrences for each part of the phrases, about. A task groups a part.
+PER_TASK = 2_000_000
 #: A block's part of the relation: ascending places, the number of the phrase at each, and the
 #: words of each phrase, as packed numbers, and how many occurrences there are.
 RELATION = pa.schema([("block", pa.int64()), ("places", pa.binary()), ("phrases", pa.binary()), ("words", pa.binary()), ("n", pa.int64())])
+RELATION_SQL = "block long, places binary, phrases binary, words binary, n long"
+#: What a block asks about a part: phrases (or words of a lang), their numbers in the block, and how often each occurs there.
+ASKED = pa.schema([("part", pa.int32()), ("block", pa.int64()), ("lang", pa.string()), ("keys", pa.binary()), ("numbers", pa.binary()), ("counts", pa.binary())])
+ASKED_SQL = "part int, block long, lang string, keys binary, numbers binary, counts binary"
+#: Answers, the numbers of a block's frequent phrases (and ids of its words); and totals, without a block: frequent phrases and their counts.
+FOUND = pa.schema([("block", pa.int64()), ("lang", pa.string()), ("keys", pa.binary()), ("numbers", pa.binary()), ("counts", pa.binary())])
+FOUND_SQL = "block long, lang string, keys binary, numbers binary, counts binary"
 NO_LANG = "und"
 
 
-def _packed(x: np.ndarray) -> bytes:
-    """32-bit numbers, compressed behind their count."""
-    raw = np.ascontiguousarray(x, np.int32).tobytes()
+def _zipped(raw: bytes) -> bytes:
     return len(raw).to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True)
 
 
-def _unpacked(x: bytes) -> np.ndarray:
-    return np.frombuffer(pa.decompress(x[8:], int.from_bytes(x[:8], "little"), "zstd", asbytes=True), np.int32)
+def _unzipped(x: bytes) -> bytes:
+    return pa.decompress(x[8:], int.from_bytes(x[:8], "little"), "zstd", asbytes=True)
 
 
-def _gaps(places: np.ndarray) -> bytes:
-    return _packed(np.diff(places, prepend=np.int32(0)))
+def _packed(x: np.ndarray, kind: type = np.int32) -> bytes:
+    return _zipped(np.ascontiguousarray(x, kind).tobytes())
 
 
-def _places(gaps: bytes) -> np.ndarray:
+def _unpacked(x: bytes, kind: type = np.int32) -> np.ndarray:
+    return np.frombuffer(_unzipped(x), kind)
+
+
+def _gaps(ascending: np.ndarray) -> bytes:
+    return _packed(np.diff(ascending, prepend=np.int32(0)))
+
+
+def _ascending(gaps: bytes) -> np.ndarray:
     return np.cumsum(_unpacked(gaps), dtype=np.int32)
 
 
+def _rows(schema: pa.Schema, *rows: tuple) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
+
+
 def _words(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     """Of texts end to end: the places of their words, each word's number, and the distinct words.
 
@@ -112,41 +133,73 @@ def _blocks(batches, most: int) -> Iterator[tuple[str, pa.Array]]:
 def _split(most: int):
     def run(batches):
         for lang, column in _blocks(batches, most):
-            data, starts = utf8(column)
-            places, numbers, words = _words(data, starts)
-            counts = np.bincount(numbers, minlength=len(words)).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([lang]),
-                    pa.array([_gaps(places)], pa.binary()),
-                    pa.array([_packed(numbers)], pa.binary()),
-                    pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words.cast(pa.string())),
-                    pa.array([counts], pa.list_(pa.int32())),
-                    pa.array([len(numbers)], pa.int64()),
-                ],
-                ["lang", "places", "phrases", "spelled", "counts", "n"],
-            )
+            places, numbers, words = _words(*utf8(column))
+            counts = np.bincount(numbers, minlength=len(words))
+            spelled = _zipped(b"\n".join(words.to_pylist()))  # no word holds a line feed
+            yield _rows(_SPLIT, (lang, _gaps(places), _packed(numbers), spelled, _packed(counts), len(numbers)))
 
     return run
 
 
-def _kept(relation: pa.Table, frequent: pa.Table, fan: int) -> Iterator[pa.RecordBatch]:
-    """The occurrences of a block whose phrases are in ``frequent`` (number and words)."""
-    for i in range(relation.num_rows):
-        gaps, phrases, block = (relation.column(c)[i].as_py() for c in ("places", "phrases", "block"))
-        numbers = frequent.column("phrase").to_numpy()
-        words = np.stack([frequent.column(f"w{j}").to_numpy() for j in range(fan)], axis=1)
-        which = _unpacked(phrases)
-        renumbered = np.full(max(int(which.max(initial=-1)), int(numbers.max(initial=-1))) + 1, -1, np.int32)
-        renumbered[numbers] = np.arange(len(numbers), dtype=np.int32)
-        which = renumbered[which]
-        alive = which >= 0
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([block], pa.int64())]
-            + [pa.array([x], pa.binary()) for x in (_gaps(_places(gaps)[alive]), _packed(which[alive]), _packed(words))]
-            + [pa.array([int(alive.sum())], pa.int64())],
-            schema=RELATION,
-        )
+_SPLIT = pa.schema([("lang", pa.string()), ("places", pa.binary()), ("phrases", pa.binary()), ("spelled", pa.binary()), ("counts", pa.binary()), ("n", pa.int64())])
+
+
+def _each(batches) -> Iterator[dict]:
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield batch.slice(i, 1).to_pylist()[0]
+
+
+def _cut(part: np.ndarray, order: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Parts, and the rows of each in the given order."""
+    parts, first = np.unique(part[order], return_index=True)
+    yield from zip(parts.tolist(), np.split(order, first[1:]))
+
+
+def _asked_words(parts: int):
+    def run(batches):
+        for row in _each(batches):
+            words, counts = _unzipped(row["spelled"]).split(b"\n") if row["n"] else [], _unpacked(row["counts"])
+            salt = crc32(row["lang"].encode())
+            part = np.array([crc32(w, salt) % parts for w in words], np.int32)
+            for p, own in _cut(part, np.argsort(part, kind="stable")):
+                keys = _zipped(b"\n".join([words[i] for i in own.tolist()]))
+                yield _rows(ASKED, (p, row["block"], row["lang"], keys, _gaps(own), _packed(counts[own])))
+
+    return run
+
+
+def _found_words(least: int, parts: int):
+    """Counts the words of a part and gives the frequent ones ids, small ones to those that occur most."""
+
+    def run(batches):
+        rows, part, totals = [], 0, Counter()
+        for row in _each(batches):
+            part, lang = row["part"], row["lang"]
+            words = _unzipped(row["keys"]).split(b"\n")
+            for word, n in zip(words, _unpacked(row["counts"]).tolist()):
+                totals[lang, word] += n
+            rows.append((row["block"], lang, row["keys"], row["numbers"]))
+        frequent = sorted((-n, lang, word) for (lang, word), n in totals.items() if n >= least)
+        if len(frequent) * parts > 2**31 - 1:
+            raise OverflowError("more frequent words than 31 bits can number")
+        ids = {(lang, word): i * parts + part for i, (_, lang, word) in enumerate(frequent)}
+        for block, lang, keys, numbers in rows:
+            own = np.array([ids.get((lang, word), -1) for word in _unzipped(keys).split(b"\n")], np.int32)
+            yield _rows(FOUND, (block, None, _packed(own[own >= 0]), _gaps(_ascending(numbers)[own >= 0]), None))
+        for lang in sorted({lang for _, lang, _ in frequent}):
+            own = [(word, ids[lang, word], -n) for n, at, word in frequent if at == lang]
+            words, numbers, counts = zip(*own)
+            yield _rows(FOUND, (None, lang, _zipped(b"\n".join(words)), _packed(numbers), _packed(counts, np.int64)))
+
+    return run
+
+
+def _word_table(batches):
+    for row in _each(batches):
+        words = _unzipped(row["keys"]).decode().split("\n")
+        columns = [pa.array([row["lang"]] * len(words)), pa.array(words), pa.array(_unpacked(row["counts"], np.int64)), pa.array(_unpacked(row["numbers"]))]
+        yield pa.RecordBatch.from_arrays(columns, ["lang", "word", "f", "id"])
 
 
 def _extended(places: np.ndarray, phrases: np.ndarray, words: np.ndarray):
@@ -163,61 +216,111 @@ def _extended(places: np.ndarray, phrases: np.ndarray, words: np.ndarray):
 
 
 def _relation(row: dict, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    return _places(row["places"]), _unpacked(row["phrases"]), _unpacked(row["words"]).reshape(-1, length)
+    return _ascending(row["places"]), _unpacked(row["phrases"]), _unpacked(row["words"]).reshape(-1, length)
+
+
+def _keys(words: np.ndarray) -> bytes:
+    """Phrases in order, column by column: the first word of each as a gap."""
+    columns = words.T.copy()
+    columns[0] = np.diff(columns[0], prepend=np.int32(0))
+    return _packed(columns)
+
+
+def _words_of(keys: bytes, length: int) -> np.ndarray:
+    columns = _unpacked(keys).reshape(length, -1).copy()
+    np.cumsum(columns[0], dtype=np.int32, out=columns[0])
+    return columns.T
 
 
-def _counted(relation: DataFrame, length: int) -> DataFrame:
-    """(block, phrase, w0, w1, ..., n): the phrases of ``length`` + 1 words in each block."""
+def _asked(length: int, parts: int):
+    """What each block asks about its phrases of ``length`` words, found in the relation one shorter."""
 
     def run(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                _, _, longer, counts = _extended(*_relation(row, length))
-                for a in range(0, len(counts), 50_000):
-                    part = longer[a : a + 50_000]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(part), row["block"])), pa.array(np.arange(a, a + len(part), dtype=np.int32))]
-                        + [pa.array(np.ascontiguousarray(part[:, j])) for j in range(length + 1)]
-                        + [pa.array(counts[a : a + 50_000])],
-                        ["block", "phrase", *[f"w{j}" for j in range(length + 1)], "n"],
-                    )
-
-    columns = ", ".join(f"w{j} int" for j in range(length + 1))
-    return relation.mapInArrow(run, f"block long, phrase int, {columns}, n int")
-
-
-def _longer(relation: DataFrame, length: int) -> DataFrame:
-    """The relation of the next length, before any phrase is left out; its phrases are numbered as
-    in :func:`_counted`."""
+        for row in _each(batches):
+            _, _, longer, counts = _extended(*_relation(row, length - 1))
+            mixed = np.zeros(len(longer), np.uint64)
+            for j in range(length):
+                mixed = stir(mixed * np.uint64(0x9E3779B97F4A7C15) + longer[:, j].astype(np.uint64))
+            part = (mixed % np.uint64(parts)).astype(np.int32)
+            for p, own in _cut(part, np.lexsort((*longer.T[::-1], part))):
+                yield _rows(ASKED, (p, row["block"], None, _keys(longer[own]), _packed(own), _packed(counts[own])))
+
+    return run
+
+
+def _found(length: int, least: int, answers: bool):
+    """Counts the phrases of a part over all blocks."""
 
     def run(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                places, numbers, _, _ = _extended(*_relation(row, length))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([row["block"]], pa.int64()), pa.array([_gaps(places)], pa.binary()), pa.array([_packed(numbers)], pa.binary())],
-                    ["block", "places", "phrases"],
-                )
+        blocks, keys, numbers, counts = [], [], [], []
+        for row in _each(batches):
+            blocks.append(row["block"])
+            keys.append(_words_of(row["keys"], length))
+            numbers.append(_unpacked(row["numbers"]))
+            counts.append(_unpacked(row["counts"]))
+        if not blocks:
+            return
+        edges = np.cumsum([0, *map(len, keys)])
+        words = np.concatenate(keys)
+        order = np.lexsort(words.T[::-1])
+        words = words[order]
+        fresh = np.ones(len(words), bool)
+        fresh[1:] = (words[1:] != words[:-1]).any(axis=1)
+        first = np.flatnonzero(fresh)
+        totals = np.add.reduceat(np.concatenate(counts)[order].astype(np.int64), first)
+        frequent = totals >= least
+        if answers:
+            wanted = np.empty(len(words), bool)
+            wanted[order] = frequent[np.cumsum(fresh) - 1]
+            for block, own, a, b in zip(blocks, numbers, edges, edges[1:]):
+                yield _rows(FOUND, (block, None, None, _packed(own[wanted[a:b]]), None))
+        if frequent.any():
+            yield _rows(FOUND, (None, None, _keys(words[first[frequent]]), None, _packed(totals[frequent], np.int64)))
 
-    return relation.mapInArrow(run, "block long, places binary, phrases binary")
+    return run
 
 
-def _frequent(counts: DataFrame, least: int, rows: int, *key: str) -> DataFrame:
-    """The rows of phrases that occur ``least`` times over all blocks, with that number as ``f``.
+def _phrase_table(length: int):
+    def run(batches):
+        for row in _each(batches):
+            words = _words_of(row["keys"], length)
+            columns = [pa.array(np.ascontiguousarray(words[:, j])) for j in range(length)] + [pa.array(_unpacked(row["counts"], np.int64))]
+            yield pa.RecordBatch.from_arrays(columns, [*[f"w{j}" for j in range(length)], "f"])
+
+    return run
 
-    A phrase has a row for each block at most, so none has a large part of all rows.
-    """
-    total = F.sum("n").over(Window.partitionBy(*key))
-    dealt = counts.repartition(partitions(counts, rows, PER_TASK), *key)
-    return stored(dealt.withColumn("f", total).where(F.col("f") >= least).drop("n"), "frequent")
 
+def _grouped(asked: DataFrame, parts: int, found, name: str) -> tuple[DataFrame, DataFrame]:
+    """Answers to the blocks, and totals. A phrase is asked for once by each block at most, so
+    none has a large part of all rows."""
+    rows = stored(asked.repartitionById(parts, "part").mapInArrow(found, FOUND_SQL), name)
+    return rows.where("block IS NOT NULL"), rows.where("block IS NULL")
+
+
+def _semi_joined(relation: DataFrame, answers: DataFrame, length: int) -> DataFrame:
+    """The occurrences of phrases of ``length`` words that the answers name, from the relation one shorter."""
 
-def _semi_joined(relation: DataFrame, frequent: DataFrame, length: int) -> DataFrame:
     def run(key, left: pa.Table, right: pa.Table) -> pa.Table:
-        return pa.Table.from_batches(_kept(left, right, length), schema=RELATION)
+        row, named = left.to_pylist()[0], right.to_pylist()
+        numbers = np.concatenate([np.zeros(0, np.int32), *[_ascending(x["numbers"]) if length == 1 else _unpacked(x["numbers"]) for x in named]])
+        if length == 1:
+            places, which = _ascending(row["places"]), _unpacked(row["phrases"])
+            words = np.concatenate([np.zeros(0, np.int32), *[_unpacked(x["keys"]) for x in named]])[:, None]
+        else:
+            places, which, longer, _ = _extended(*_relation(row, length - 1))
+            words = longer[numbers]
+        renumbered = np.full(max(int(which.max(initial=-1)), int(numbers.max(initial=-1))) + 1, -1, np.int32)
+        renumbered[numbers] = np.arange(len(numbers), dtype=np.int32)
+        which = renumbered[which]
+        alive = which >= 0
+        made = (row["block"], _gaps(places[alive]), _packed(which[alive]), _packed(words), int(alive.sum()))
+        return pa.Table.from_batches([_rows(RELATION, made)])
 
-    wanted = frequent.select("block", "phrase", *[f"w{j}" for j in range(length)])
-    return stored(relation.groupBy("block").cogroup(wanted.groupBy("block")).applyInArrow(run, "block long, places binary, phrases binary, words binary, n long"), "relation")
+    return stored(relation.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, RELATION_SQL), "relation")
+
+
+def _parts(rows: DataFrame) -> int:
+    return partitions(rows, rows.agg(F.sum("n")).first()[0] or 0, PER_TASK)
 
 
 def _named(length: int, first: int = 0) -> list[Column]:
@@ -228,25 +331,24 @@ def _phrase_counts(docs: DataFrame, longest: int, least: int) -> tuple[DataFrame
     """Words of each lang (lang, n); frequent words (lang, word, f, id); and for every length
     the frequent phrases (w0, w1, ..., f) by the words' ids."""
     texts = docs.select(F.coalesce("lang", F.lit(NO_LANG)).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
-    split = texts.mapInArrow(_split(BLOCK_BYTES), "lang string, places binary, phrases binary, spelled array<string>, counts array<int>, n long")
+    split = texts.mapInArrow(_split(BLOCK_BYTES), "lang string, places binary, phrases binary, spelled binary, counts binary, n long")
     blocks = stored(split.withColumn("block", F.monotonically_increasing_id()), "words")
     sizes = blocks.groupBy("lang").agg(F.sum("n").alias("n"))
-    rows = blocks.agg(F.sum(F.size("spelled"))).first()[0] or 0
-    spelled = blocks.select("lang", "block", "counts", F.posexplode("spelled").alias("phrase", "word"))
-    counts = spelled.select("lang", "word", "block", "phrase", F.get("counts", F.col("phrase")).alias("n"))
-    frequent = _frequent(counts, least, rows, "lang", "word")
-    words = frequent.groupBy("lang", "word").agg(F.max("f").alias("f"))
-    words = stored(ranked(words, [F.desc("f"), F.col("lang"), F.col("word")], "f").select("lang", "word", "f", F.col("rank").alias("id")), "frequent-words")
-    of_blocks = frequent.join(words.select("lang", "word", F.col("id").alias("w0")), ["lang", "word"]).select("block", "phrase", "w0")
-    relation = _semi_joined(blocks.select("block", "places", "phrases"), of_blocks, 1)
+    parts = _parts(blocks)
+    asked = blocks.select("block", "lang", "spelled", "counts", "n").mapInArrow(_asked_words(parts), ASKED_SQL)
+    answers, totals = _grouped(asked, parts, _found_words(least, parts), "frequent-words")
+    words = stored(totals.mapInArrow(_word_table, "lang string, word string, f long, id int"), "word-table")
+    relation = _semi_joined(blocks.select("block", "places", "phrases"), answers.select("block", "keys", "numbers"), 1)
     found = [words.select(F.col("id").alias("w0"), "f")]
     for length in range(2, longest + 1):
-        key = [f"w{j}" for j in range(length)]
-        rows = relation.agg(F.sum("n")).first()[0] or 0
-        frequent = _frequent(_counted(relation, length - 1), least, rows, *key)
-        found.append(stored(frequent.groupBy(*key).agg(F.max("f").alias("f")), "phrases"))
-        if length < longest:
-            relation = _semi_joined(_longer(relation, length - 1), frequent, length)
+        parts = _parts(relation)
+        last = length == longest
+        asked = relation.mapInArrow(_asked(length, parts), ASKED_SQL)
+        answers, totals = _grouped(asked, parts, _found(length, least, not last), "frequent-phrases")
+        columns = ", ".join(f"w{j} int" for j in range(length))
+        found.append(stored(totals.mapInArrow(_phrase_table(length), f"{columns}, f long"), "phrases"))
+        if not last:
+            relation = _semi_joined(relation, answers.select("block", "numbers"), length)
     return sizes, words, found
 
 
