@@ -47,7 +47,7 @@ def exact_quantiles(
 ) -> DataFrame:
     """Long form (``group``, ``q``, ``x``): the smallest value whose share reaches ``q``.
 
-    ``sizes`` are :func:`totals`, if they are known already.
+    ``sizes`` are :func:`totals`, if they are known already, from a written table.
     """
     keys = [f"_{c}" for c in group] + ["_all"]
     named = [F.col(c).alias(f"_{c}") for c in group] + [F.lit(1).alias("_all")]
@@ -61,19 +61,16 @@ def exact_quantiles(
             for p in probs
         ]
     )
-    state = stored(
-        (sizes if sizes is not None else totals(df, group, value))
-        .where(F.col("total") > 0)
-        .select(
-            *named,
-            F.inline(ranks),
-            F.col("low").cast("double").alias("low"),
-            F.col("high").cast("double").alias("high"),
-            F.lit(0).cast("long").alias("below"),
-            F.col("total").alias("size"),
-            F.lit(2).alias("margin"),
-        ),
-        "brackets",
+    if sizes is None:
+        sizes = stored(totals(df, group, value), "totals")
+    state = sizes.where(F.col("total") > 0).select(
+        *named,
+        F.inline(ranks),
+        F.col("low").cast("double").alias("low"),
+        F.col("high").cast("double").alias("high"),
+        F.lit(0).cast("long").alias("below"),
+        F.col("total").alias("size"),
+        F.lit(2).alias("margin"),
     )
     # A margin beyond the grid says that few distinct values make up the bracket, which are counted anyway.
     too_large = (F.col("size") > ordered) & (F.col("low") < F.col("high")) & (F.col("margin") <= GRID)

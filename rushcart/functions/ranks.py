@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -33,3 +34,29 @@ def ranked(df: DataFrame, order: Sequence[Column], total: str, *, rows: int = RA
     whole = dealt.join(starts, "_range").withColumn("rank", (F.col("_first") + F.row_number().over(inside)).cast("int"))
     sums = F.when(F.col("_before").isNull(), running).otherwise(F.coalesce(running, F.lit(0)) + F.col("_before"))
     return whole.withColumn("running", sums).drop("_range", "_first", "_before")
+
+
+def numbered(df: DataFrame, group: Sequence[str], order: Sequence[Column], *, rows: int = RANGE_ROWS) -> DataFrame:
+    """Adds ``at``, the row's number from 0 within its group, and ``size``, the rows of the group.
+
+    Rows are dealt to ranges of the groups and their order, so that many tasks number a group of any
+    size; a table with a row per range and group carries the numbers on. Rows that are equal
+    in that order are told apart by their place in the written table.
+    """
+    kept = stored(df.withColumn("_tie", F.monotonically_increasing_id()), "unnumbered")
+    ranges = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-kept.count() // rows))
+    total = [*order, F.col("_tie")]
+    dealt = stored(kept.repartitionByRange(ranges, *group, *total).withColumn("_range", F.spark_partition_id()), "ranges")
+    here = dealt.groupBy("_range", *group).agg(F.count("*").alias("_rows"))
+    whole = Window.partitionBy(*group)
+    before = whole.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = here.select(
+        *[F.col(c).alias(f"_{c}") for c in ("_range", *group)],
+        F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_first"),
+        F.sum("_rows").over(whole).alias("size"),
+    )
+    starts = stored(starts, "starts")
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in ("_range", *group)]
+    inside = Window.partitionBy("_range", *group).orderBy(*total)
+    found = dealt.join(starts, reduce(lambda a, b: a & b, same)).withColumn("at", F.col("_first") + F.row_number().over(inside) - 1)
+    return found.drop("_tie", "_range", "_first", *[f"_{c}" for c in ("_range", *group)])

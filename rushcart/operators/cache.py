@@ -7,12 +7,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import timedelta
+from math import gcd
 
 from pyspark.sql import DataFrame, Window, functions as F
 
 from rushcart.functions.money import ratio
 from rushcart.functions.skew import HOT_ROWS, cut_hot_keys, nearest
 from rushcart.functions.spans import MICROSECOND, micros, window_start
+from rushcart.sources.folders import stored
+
+#: Hash slots whose accesses are counted before keys are.
+SLOTS = 1 << 16
+#: Logarithm of a distinct-count sketch's size.
+LG = 12
 
 
 def _uses(df: DataFrame, key: str) -> DataFrame:
@@ -27,6 +34,31 @@ def hot_keys(df: DataFrame, key: str, k: int) -> DataFrame:
     return top.withColumn("share", ratio("uses", total))
 
 
+def hot_keys_counted(df: DataFrame, key: str, k: int, *, slots: int = SLOTS) -> DataFrame:
+    """The same rows as :func:`hot_keys`, counting exactly only keys that may be among them.
+
+    A first pass counts accesses per hash slot, which no key of the slot can exceed. The keys of the
+    fullest slots are counted; the k-th of them, if it exceeds every other slot, proves that
+    no key is missing. If not, it is still a lower limit, and one more pass over the slots that
+    reach it settles the rest.
+    """
+    slot = F.pmod(F.xxhash64(key), F.lit(slots))
+    used = df.where(F.col(key).isNotNull()).select(key, slot.alias("_slot"))
+    sizes = stored(used.groupBy("_slot").agg(F.count("*").alias("_n")), "slots")  # a row per slot at most
+    total = sizes.select(F.sum("_n")).scalar()
+    fullest = sizes.orderBy(F.desc("_n"), "_slot")
+    chosen = fullest.limit(4 * k)
+    while True:
+        inside = used.join(F.broadcast(chosen.select("_slot")), "_slot", "left_semi")
+        top = stored(_uses(inside, key).orderBy(F.desc("uses"), key).limit(k), "top")
+        found, least = top.agg(F.count("*"), F.min("uses")).first()
+        others = sizes.join(chosen.select("_slot"), "_slot", "left_anti")
+        bound = others.agg(F.max("_n")).first()[0]
+        if bound is None or (found == k and bound < least):
+            return top.withColumn("share", ratio("uses", total))
+        chosen = stored(sizes.where(F.col("_n") >= (least if found == k else 0)), "chosen")
+
+
 def hot_keys_approx(df: DataFrame, key: str, k: int, tracked: int = 10_000) -> DataFrame:
     """The same from sketches that track at most ``tracked`` keys.
 
@@ -107,6 +139,51 @@ def working_set(df: DataFrame, key: str, width: timedelta, approx: bool = False)
     return df.groupBy(window_start("ts", width).alias("window_start")).agg(count.alias("keys"))
 
 
+def key_sketches(df: DataFrame, key: str, width: timedelta, group: Sequence[str] = (), lg: int = LG) -> DataFrame:
+    """A distinct-count sketch per window and group: small, mergeable, can be stored.
+
+    The standard error of a sketch, and of any merger of them, is about 1.04 / sqrt(2^``lg``).
+    """
+    start = window_start("ts", width).alias("window_start")
+    return df.where(F.col(key).isNotNull()).groupBy(start, *group).agg(F.hll_sketch_agg(key, lg).alias("sketch"))
+
+
+def working_set_sliding(
+    df: DataFrame, key: str, width: timedelta, slide: timedelta, group: Sequence[str] = (), lg: int = LG
+) -> DataFrame:
+    """About how many distinct keys each sliding window sees.
+
+    Rows meet sketches of panes, the common divisor of width and slide; a pane's sketch is
+    merged into every window that covers it, so no row is copied.
+    """
+    pane = gcd(width // MICROSECOND, slide // MICROSECOND) * MICROSECOND
+    panes = key_sketches(df, key, pane, group, lg).withColumnRenamed("window_start", "ts")
+    start = window_start("ts", width, slide).alias("window_start")
+    return panes.groupBy(start, *group).agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("keys"))
+
+
+def shared_keys(df: DataFrame, key: str, by: str, a: object, b: object, lg: int = LG) -> DataFrame:
+    """About how many distinct keys two values of ``by`` (versions) use: ``either``, ``both``, ``only_a``, ``only_b``.
+
+    From one theta sketch per value; ``low_both`` and ``high_both`` are three standard errors around ``both``.
+    """
+    sketches = df.where(F.col(key).isNotNull() & F.col(by).isin(a, b)).groupBy(by).agg(F.theta_sketch_agg(key, lg).alias("_s"))
+    none = F.theta_sketch_agg(F.lit(None).cast("long"), F.lit(lg))
+    x, y = (F.coalesce(F.max(F.when(F.col(by) == v, F.col("_s"))), none) for v in (a, b))
+    sides = sketches.agg(x.alias("_x"), y.alias("_y"))
+    estimate = F.theta_sketch_estimate
+    either, both = estimate(F.theta_union("_x", "_y", lg)), estimate(F.theta_intersection("_x", "_y"))
+    # what two sketches share is known as well as a sample of the whole at the rate 2^lg / either
+    error = 3 * F.sqrt(F.col("both") * F.greatest(F.lit(0.0), F.col("either") / F.lit(float(1 << lg)) - 0.5))
+    return (
+        sides.select(
+            either.alias("either"), both.alias("both"),
+            estimate(F.theta_difference("_x", "_y")).alias("only_a"), estimate(F.theta_difference("_y", "_x")).alias("only_b"),
+        )
+        .withColumns({"low_both": F.col("both") - error, "high_both": F.col("both") + error})
+    )
+
+
 def load_spread(df: DataFrame, key: str, n: int, *, hashed: bool = False) -> DataFrame:
     """Requests per server if keys are dealt to ``n`` of them by remainder (or hash).
 

@@ -8,7 +8,7 @@ from datetime import timedelta
 from pyspark.sql import DataFrame, Window, functions as F
 
 from rushcart.functions.skew import HOT_ROWS, cut_hot_keys, nearest
-from rushcart.functions.spans import text
+from rushcart.functions.spans import MICROSECOND, micros, text
 from rushcart.sources.folders import stored
 
 ORDER = ("ts", "event_id")
@@ -99,6 +99,34 @@ def last_touch(
     )
 
 
+def conversions(views: DataFrame, buys: DataFrame, within: timedelta) -> DataFrame:
+    """Views followed by a purchase of the same user more than 0 and at most ``within`` later.
+
+    A purchase belongs to one span of that length, a view to its own and the next one, where
+    each pair meets once. So rows meet by user and span, and a user with very many events is
+    dealt out by time. Works on tables and, with watermarks on ``ts``, on streams.
+    """
+    length = within // MICROSECOND
+    span = ((micros("ts") - F.pmod(micros("ts"), F.lit(length))) / F.lit(length)).cast("long")
+    v = views.select(
+        "user_id",
+        F.col("event_id").alias("view_id"),
+        F.col("ts").alias("viewed_at"),
+        F.explode(F.array(span, span + 1)).alias("_span"),
+    )
+    b = buys.select(
+        F.col("user_id").alias("_buyer"),
+        F.col("event_id").alias("purchase_id"),
+        F.col("ts").alias("bought_at"),
+        span.alias("_bought"),
+    )
+    meets = (F.col("user_id") == F.col("_buyer")) & (F.col("_span") == F.col("_bought"))
+    in_time = (F.col("bought_at") > F.col("viewed_at")) & (
+        F.col("bought_at") <= F.col("viewed_at") + F.lit(within)
+    )
+    return v.join(b, meets & in_time).drop("_buyer", "_span", "_bought")
+
+
 def sessionize(events: DataFrame, gap: timedelta) -> DataFrame:
     """Sessions per user; a session ends where more than ``gap`` passes without an event.
 

@@ -39,6 +39,11 @@ def request_summary(
     Quantiles are exact; groups with more than ``ordered`` samples take two passes more for
     every factor of about fifty. Requests without a latency count as requests only.
     """
+    return _measured_summary(df, group, probs, ordered).drop("measured")
+
+
+def _measured_summary(df: DataFrame, group: Sequence[str], probs: Sequence[float], ordered: int) -> DataFrame:
+    """The same with ``measured``, the number of latencies."""
     x = F.col("latency_ms")
     stats = stored(
         df.groupBy(*group).agg(
@@ -49,15 +54,15 @@ def request_summary(
             ratio(coarse(F.sum(fine(x))), F.count(x)).alias("mean_ms"),
             F.min(x).alias("min_ms"),
             F.max(x).alias("max_ms"),
-            F.count(x).alias("_measured"),
+            F.count(x).alias("measured"),
         ),
         "stats",
     )
     sizes = stats.select(
-        *group, F.col("_measured").alias("total"), F.col("min_ms").alias("low"), F.col("max_ms").alias("high")
+        *group, F.col("measured").alias("total"), F.col("min_ms").alias("low"), F.col("max_ms").alias("high")
     )
     found = exact_quantiles(df, group, "latency_ms", probs, sizes, ordered=ordered)
-    return with_quantiles(stats.drop("_measured"), found, group, probs)
+    return with_quantiles(stats, found, group, probs)
 
 
 def latency_summary(
@@ -74,6 +79,22 @@ def latency_sketch(df: DataFrame, group: Sequence[str], k: int = 200) -> DataFra
     return df.groupBy(*group).agg(F.kll_sketch_agg_double("latency_ms", F.lit(k)).alias("sketch"))
 
 
+def write_day_sketches(df: DataFrame, path: str, group: Sequence[str], k: int = 200) -> None:
+    """Adds a latency sketch per day and group to the table at ``path``.
+
+    A day that is written again is replaced, with all its groups; other days stay. So a day
+    must be whole when it is written, and may be written again when rows came late.
+    """
+    (
+        latency_sketch(df.withColumn("day", F.to_date("ts")).where(F.col("day").isNotNull()), ["day", *group], k)
+        .repartition("day")  # one small file per day
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("day")
+        .parquet(path)
+    )
+
+
 def sketch_quantiles(
     sketches: DataFrame, group: Sequence[str], probs: Sequence[float] = PROBS
 ) -> DataFrame:
@@ -143,10 +164,7 @@ def load_vs_latency(df: DataFrame, width: timedelta, bands: int) -> DataFrame:
     of its windows' p95.
     """
     timed = df.where(F.col("ts").isNotNull()).withColumn("window_start", window_start("ts", width))
-    per_window = stored(
-        request_summary(timed, ["window_start"], [0.95]).select("window_start", "requests", "errors", "p95"),
-        "windows",
-    )
+    per_window = stored(_measured_summary(timed, ["window_start"], [0.95], ORDERED), "windows")
     highest = per_window.select(F.max("requests")).scalar()
     banded = per_window.withColumn("band", F.floor(F.col("requests") * bands / (highest + 1)))
     span = micros(F.max("window_start")) - micros(F.min("window_start"))
@@ -174,7 +192,11 @@ def load_vs_latency(df: DataFrame, width: timedelta, bands: int) -> DataFrame:
     )
     own = timed.join(banded.select("window_start", "band"), "window_start")
     own = own.select("band", "latency_ms")
-    return with_quantiles(stats, exact_quantiles(own, ["band"], "latency_ms", [0.95]), ["band"], [0.95])
+    sizes = banded.groupBy("band").agg(
+        F.sum("measured").alias("total"), F.min("min_ms").alias("low"), F.max("max_ms").alias("high")
+    )
+    found = exact_quantiles(own, ["band"], "latency_ms", [0.95], sizes)
+    return with_quantiles(stats, found, ["band"], [0.95])
 
 
 def slow_samples(

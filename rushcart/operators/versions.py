@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rushcart.functions.money import fine, ratio
 from rushcart.functions.spans import micros
@@ -108,37 +108,67 @@ def regressions(compare: DataFrame, t: float, min_n: int) -> DataFrame:
     )
 
 
+def _around(low: Column, n: Column, halves: Sequence[Column], squares: Sequence[Column]) -> tuple[Column, Column]:
+    """Sums of the distances from ``low`` and of their squares, from whole-number sums of limbs.
+
+    A measurement is h * 2^32 + l. With ``low`` split alike, the sum of squares is
+    P * 2^64 + Q * 2^32 + R for whole P, Q and R, which are put together in 38 digits; where those
+    do not suffice, P or Q is so large that doubles lose nothing that shows.
+    """
+    (sh, sl), (hh, hl, ll) = halves, squares
+    lh, ll_ = (x.cast("decimal(20,0)") for x in _limbs(low))
+    limb = F.lit(1 << 32).cast("decimal(10,0)")
+    p = hh - 2 * lh * sh + n * lh * lh
+    q = 2 * (hl - lh * sl - ll_ * sh + n * lh * ll_)
+    r = ll - 2 * ll_ * sl + n * ll_ * ll_
+    upper = F.try_add(F.try_multiply(p, limb), q)
+    whole = F.try_add(F.try_multiply(upper, limb), r)
+    two = float(1 << 32)
+    rough = (p.cast("double") * two + q.cast("double")) * two + r.cast("double")
+    squared = F.coalesce(whole.cast("double"), upper.cast("double") * two + r.cast("double"), rough)
+    return ((sh - n * lh) * limb + (sl - n * ll_)).cast("double"), squared
+
+
+def _limbs(x: Column) -> tuple[Column, Column]:
+    """(h, l) with x = h * 2^32 + l and l from -2^31 up to 2^31, so that all their products fit a long."""
+    high = F.shiftright(x + F.lit(1 << 31), 32)
+    return high, x - F.shiftleft(high, 32)
+
+
 def welch(samples: DataFrame, base: str, other: str, group: Sequence[str] = ()) -> DataFrame:
     """Welch's t and degrees of freedom for the difference of mean latencies.
 
-    Sums, and sums of squares around each side's smallest value, are exact, so neither the
-    order of rows nor a large mean costs digits. Null where a side has fewer than two samples
-    or nothing varies.
+    One pass: sums of two limbs and of their products are whole numbers, from which the sums
+    around each side's smallest value follow. So neither the order of rows nor a large mean costs
+    digits, and no count or size of latencies overflows. Null where a side has fewer than two
+    samples or nothing varies.
     """
-    own = samples.where(F.col("version").isin(base, other)).select(
-        *group, "version", fine("latency_ms").alias("_x")
+    high, low = _limbs(F.col("_x"))
+    exact = "decimal(28,0)"
+    own = samples.where(F.col("version").isin(base, other)).select(*group, "version", fine("latency_ms").cast("long").alias("_x"))
+    sums = (
+        own.select(*group, "version", "_x", high.alias("_h"), low.alias("_l"))
+        .groupBy(*group, "version")
+        .agg(
+            F.count("_x").alias("n"),
+            F.min("_x").alias("low"),
+            *[F.sum(F.col(c).cast(exact)).alias(c) for c in ("_h", "_l")],
+            *[F.sum((F.col(a) * F.col(b)).cast(exact)).alias(a + b) for a, b in (("_h", "_h"), ("_h", "_l"), ("_l", "_l"))],
+        )
     )
-    sides = own.groupBy(*group, "version").agg(F.min("_x").alias("_low"))
-    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in (*group, "version")]
-    sides = sides.select(*[F.col(c).alias(f"_{c}") for c in (*group, "version")], "_low")
-    above = own.join(sides, reduce(lambda a, b: a & b, same)).withColumn(
-        "_d", (F.col("_x") - F.col("_low")).cast("decimal(19,0)")
+    n = F.col("n").cast("decimal(20,0)")
+    r, q = _around(F.col("low"), n, [F.col("_h"), F.col("_l")], [F.col("_h_h"), F.col("_h_l"), F.col("_l_l")])
+    total = F.col("_h") * F.lit(1 << 32).cast("decimal(10,0)") + F.col("_l")
+    times = F.col("n").cast("double")
+    sides = sums.select(
+        *group, "version", "n", ratio(total.cast("double") / 1e9, times).alias("mean"), ratio(ratio((q - r * r / times) / 1e18, times - 1.0), times).alias("e")
     )
-
-    def side(version, tag):
-        here = F.col("version") == version
-        return [
-            F.count(F.when(here, F.col("_x"))).alias(f"n_{tag}"),
-            F.sum(F.when(here, F.col("_x"))).alias(f"s_{tag}"),
-            F.sum(F.when(here, F.col("_d"))).alias(f"r_{tag}"),
-            F.sum(F.when(here, F.col("_d") * F.col("_d"))).alias(f"q_{tag}"),
-        ]
-
-    sums = above.groupBy(*group).agg(*side(base, "base"), *side(other, "other"))
-    for tag in ("base", "other"):
-        n, s, r, q = (F.col(f"{c}_{tag}").cast("double") for c in "nsrq")
-        spread = ratio((q - r * r / n) / 1e18, n - 1.0)
-        sums = sums.withColumn(f"mean_{tag}", ratio(s / 1e9, n)).withColumn(f"e_{tag}", ratio(spread, n))
+    picked = [
+        F.max(F.when(F.col("version") == version, F.col(c))).alias(f"{c}_{tag}")
+        for version, tag in ((base, "base"), (other, "other"))
+        for c in ("n", "mean", "e")
+    ]
+    sums = sides.groupBy(*group).agg(*picked).withColumns({c: F.coalesce(c, F.lit(0)) for c in ("n_base", "n_other")})
     e1, e2 = F.col("e_base"), F.col("e_other")
     n1, n2 = F.col("n_base"), F.col("n_other")
     t = ratio(F.col("mean_base") - F.col("mean_other"), F.sqrt(e1 + e2))

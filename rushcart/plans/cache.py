@@ -19,10 +19,12 @@ def hot_users_approx(spark, sf_dir):
     return cache.hot_keys_approx(events(spark, sf_dir), "user_id", 20)
 
 
-def hot_products_approx_of_all(spark, sf_dir):
-    """Sketches that track more keys than there are: every product with its exact number of lines."""
-    lines = load_table(spark, sf_dir, "lineitem")
-    return cache.hot_keys_approx(lines, "l_partkey", 100_000, tracked=100_000)
+def hot_users_counted(spark, sf_dir):
+    return cache.hot_keys_counted(events(spark, sf_dir), "user_id", 20)
+
+
+def hot_products_counted(spark, sf_dir):
+    return cache.hot_keys_counted(load_table(spark, sf_dir, "lineitem"), "l_partkey", 100)
 
 
 def load_spread_hashed_in_all(spark, sf_dir):
@@ -65,6 +67,43 @@ def working_set_approx_holds_its_bound(spark, sf_dir):
     return both.select("window_start", "keys", close.alias("close"))
 
 
+QUARTER = timedelta(days=91)
+
+
+def _shipped(spark, sf_dir):
+    lines = load_table(spark, sf_dir, "lineitem")
+    return lines.select("l_orderkey", "l_partkey", "l_returnflag", F.col("l_shipdate").alias("ts"))
+
+
+def products_sliding_approx(spark, sf_dir):
+    return cache.working_set_sliding(_shipped(spark, sf_dir), "l_partkey", 4 * QUARTER, QUARTER)
+
+
+def products_sliding_in_band(spark, sf_dir):
+    """Products shipped per sliding year, counted, and whether the merged sketches are within four standard errors."""
+    rows = _shipped(spark, sf_dir)
+    windows = rows.select(F.window("ts", "364 days", "91 days")["start"].alias("window_start"), "l_partkey")
+    exact = windows.groupBy("window_start").agg(F.countDistinct("l_partkey").alias("products"))
+    both = exact.join(products_sliding_approx(spark, sf_dir), "window_start")
+    band = 4 * 1.04 / 2 ** (cache.LG / 2) * F.col("products") + 1
+    return both.select("window_start", "products", (F.abs(F.col("keys") - F.col("products")) <= band).alias("in_band"))
+
+
+def shared_orders_approx(spark, sf_dir):
+    return cache.shared_keys(_shipped(spark, sf_dir), "l_orderkey", "l_returnflag", "A", "N")
+
+
+def shared_orders_in_band(spark, sf_dir):
+    """Orders with lines of both flags, and whether the estimate's band holds their number."""
+    rows = _shipped(spark, sf_dir)
+    flags = rows.where(F.col("l_returnflag").isin("A", "N")).groupBy("l_orderkey").agg(F.countDistinct("l_returnflag").alias("_n"))
+    exact = flags.agg(F.count("*").alias("either"), F.count_if(F.col("_n") == 2).alias("both"))
+    near = shared_orders_approx(spark, sf_dir).select(F.struct("low_both", "high_both", "either")).scalar()
+    close = F.abs(F.col("near.either") - F.col("either")) <= 4 / 2 ** (cache.LG / 2) * F.col("either")
+    held = F.col("both").between(F.floor("near.low_both"), F.ceil("near.high_both"))
+    return exact.withColumn("near", near).select("either", "both", (held & close).alias("in_band"))
+
+
 def load_spread(spark, sf_dir):
     return cache.load_spread(events(spark, sf_dir), "user_id", 8)
 
@@ -88,12 +127,19 @@ PLANS = {
         FROM events GROUP BY user_id ORDER BY uses DESC, user_id LIMIT 20""",
     ),
     "hot_users_approx": (hot_users_approx, None),
-    "hot_products_approx_of_all": (
-        hot_products_approx_of_all,
+    "hot_users_counted": (
+        hot_users_counted,
+        """
+        SELECT user_id, count(*) AS uses,
+               CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM events) AS share
+        FROM events GROUP BY user_id ORDER BY uses DESC, user_id LIMIT 20""",
+    ),
+    "hot_products_counted": (
+        hot_products_counted,
         """
         SELECT l_partkey, count(*) AS uses,
                CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM lineitem) AS share
-        FROM lineitem GROUP BY l_partkey""",
+        FROM lineitem GROUP BY l_partkey ORDER BY uses DESC, l_partkey LIMIT 100""",
     ),
     "coverage_curve": (
         coverage_curve,
@@ -128,6 +174,24 @@ PLANS = {
                count(DISTINCT user_id) AS keys, true AS close
         FROM events GROUP BY 1""",
     ),
+    "products_sliding_approx": (products_sliding_approx, None),
+    "products_sliding_in_band": (
+        products_sliding_in_band,
+        """
+        WITH starts AS (
+          SELECT time_bucket(INTERVAL 91 DAY, l_shipdate, TIMESTAMP '1970-01-01') - back * INTERVAL 91 DAY AS window_start, l_partkey
+          FROM lineitem, range(4) AS r(back))
+        SELECT window_start, count(DISTINCT l_partkey) AS products, true AS in_band FROM starts GROUP BY window_start""",
+    ),
+    "shared_orders_approx": (shared_orders_approx, None),
+    "shared_orders_in_band": (
+        shared_orders_in_band,
+        """
+        WITH flags AS (
+          SELECT l_orderkey, count(DISTINCT l_returnflag) AS n FROM lineitem
+          WHERE l_returnflag IN ('A', 'N') GROUP BY l_orderkey)
+        SELECT count(*) AS either, count(*) FILTER (n = 2) AS both, true AS in_band FROM flags""",
+    ),
     "load_spread": (
         load_spread,
         """

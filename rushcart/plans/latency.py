@@ -89,6 +89,22 @@ def latency_sketch_holds_its_bound(spark, sf_dir):
     )
 
 
+def latency_sketches_of_days(spark, sf_dir):
+    """Days written in two runs, the one in the middle first in part and then whole.
+
+    Requests per version, and whether the true rank of its p95 lies within 3 % of the wanted one."""
+    path, rows = work_folder(spark, "day-sketches"), samples(spark, sf_dir).withColumn("day", F.to_date("ts"))
+    middle = rows.select(F.min("day") + F.expr("CAST(datediff(max(day), min(day)) / 2 AS INT)")).scalar()
+    rows = rows.withColumn("_middle", middle)
+    latency.write_day_sketches(rows.where("day < _middle OR day = _middle AND hour(ts) < 12"), path, ["version"])
+    latency.write_day_sketches(rows.where("day >= _middle"), path, ["version"])
+    near = latency.sketch_quantiles(spark.read.parquet(path), ["version"], [0.95])
+    x, p95 = F.col("latency_ms"), F.col("p95")
+    ranked = rows.join(near, "version").groupBy("version", "requests")
+    low, high = F.count_if(x < p95) / F.count(x), F.count_if(x <= p95) / F.count(x)
+    return ranked.agg(((low <= 0.98) & (high >= 0.92)).alias("p95"))
+
+
 def latency_histogram(spark, sf_dir):
     return latency.latency_histogram(
         samples(spark, sf_dir), [5.0, 10.0, 25.0, 50.0, 100.0, 250.0], ["version"]
@@ -149,6 +165,10 @@ PLANS = {
         WITH {SAMPLES}
         SELECT DISTINCT version, true AS p50, true AS p90, true AS p95, true AS p99 FROM samples""",
     ),
+    "latency_sketches_of_days": (
+        latency_sketches_of_days,
+        f"WITH {SAMPLES} SELECT version, count(latency_ms) AS requests, true AS p95 FROM samples GROUP BY version",
+    ),
     "latency_histogram": (
         latency_histogram,
         f"""

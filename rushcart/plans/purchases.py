@@ -82,6 +82,11 @@ def last_touch(spark, sf_dir):
     return journeys.last_touch(events(spark, sf_dir), "purchase", "view")
 
 
+def conversions(spark, sf_dir):
+    log = events(spark, sf_dir)
+    return journeys.conversions(log.where("event_type = 'view'"), log.where("event_type = 'purchase'"), timedelta(hours=6))
+
+
 def sessions(spark, sf_dir):
     return journeys.sessionize(events(spark, sf_dir), timedelta(minutes=30))
 
@@ -207,6 +212,15 @@ PLANS = {
         ASOF LEFT JOIN (SELECT * FROM events WHERE event_type = 'view') v
           ON v.user_id = p.user_id AND p.ts > v.ts""",
     ),
+    "conversions": (
+        conversions,
+        """
+        SELECT v.user_id, v.event_id AS view_id, v.ts AS viewed_at,
+               b.event_id AS purchase_id, b.ts AS bought_at
+        FROM events v JOIN events b ON b.user_id = v.user_id
+          AND b.ts > v.ts AND b.ts <= v.ts + INTERVAL 6 HOUR
+        WHERE v.event_type = 'view' AND b.event_type = 'purchase'""",
+    ),
     "sessions": (
         sessions,
         """

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from datetime import timedelta
+from functools import reduce
 
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from rushcart.sources.folders import work_folder
 from rushcart.sources.tables import load_table, stream_events
@@ -73,6 +74,44 @@ def stream_late_rows(spark, sf_dir):
     return spark.read.parquet(path).agg(F.count("*").alias("kept")).withColumn("late", F.lit(run).cast("long"))
 
 
+def stream_late_requests(spark, sf_dir):
+    """The same halves into hourly windows, of which only those still open take late rows."""
+    events, folder, path = load_table(spark, sf_dir, "events"), work_folder(spark, "halves"), work_folder(spark, "late-windows")
+    middle = events.agg(F.expr("max(event_id) div 2")).first()[0]
+    end, runs = work_folder(spark, "late-end"), []
+
+    def start():
+        stream = streaming.watched(streaming.with_end(stream_events(spark, folder), end))
+        stream = streaming.stream_traffic(stream, HOUR, DELAY)
+        return streaming.write_stream(stream, path, f"{path}-checkpoint")
+
+    events.where(F.col("event_id") > middle).write.parquet(folder)
+    runs.append(start())
+    runs[0].awaitTermination()
+    events.where(F.col("event_id") <= middle).write.mode("append").parquet(folder)
+    runs += streaming.run_to_end(start, spark, end)
+    windows = spark.read.parquet(path)
+    late = streaming.late_requests(windows, *runs)
+    return windows.agg(F.sum("requests").alias("kept")).withColumn("late", F.lit(late).cast("long"))
+
+
+def stream_state(spark, sf_dir):
+    """Rows that each kind of query keeps in its state after the whole table: what can still change."""
+    makes = {
+        "traffic": lambda events: streaming.stream_traffic(events, HOUR, DELAY, ["event_type"]),
+        "sliding": lambda events: streaming.stream_sliding(events, HOUR, timedelta(minutes=15), DELAY),
+        "sessions": lambda events: streaming.stream_sessions(events, timedelta(minutes=30), DELAY),
+        "dedupe": lambda events: streaming.stream_dedupe(events, ["event_id"], DELAY),
+    }
+    counts = []
+    for name, make in makes.items():
+        path = work_folder(spark, f"state-{name}")
+        streaming.write_stream(make(_source(spark, sf_dir)), path, f"{path}-checkpoint").awaitTermination()
+        rows = streaming.open_state(spark, f"{path}-checkpoint").agg(F.count("*").alias("rows"))
+        counts.append(rows.select(F.lit(name).alias("query"), "rows"))
+    return reduce(DataFrame.unionByName, counts)
+
+
 def stream_enrich(spark, sf_dir):
     stream = streaming.stream_enrich(
         _source(spark, sf_dir), load_table(spark, sf_dir, "customer")
@@ -126,6 +165,37 @@ PLANS = {
         SELECT count(*) FILTER (WHERE early OR ts >= mark.at) AS kept, count(*) FILTER (WHERE NOT early AND ts < mark.at) AS late
         FROM halves, mark""",
     ),
+    "stream_late_requests": (
+        stream_late_requests,
+        """
+        WITH halves AS (SELECT *, event_id > (SELECT max(event_id) // 2 FROM events) AS early FROM events),
+        mark AS (
+          SELECT date_trunc('millisecond', max(ts)) - INTERVAL 10 MINUTE AS at FROM halves WHERE early),
+        judged AS (
+          SELECT early OR date_trunc('hour', ts) + INTERVAL 1 HOUR > mark.at AS kept FROM halves, mark)
+        SELECT count(*) FILTER (WHERE kept) AS kept, count(*) FILTER (WHERE NOT kept) AS late FROM judged""",
+    ),
+    "stream_state": (
+        stream_state,
+        # A window is open until its end, a session until its gap and a key until its delay have passed.
+        """
+        WITH mark AS (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 10 MINUTE AS at FROM events),
+        flagged AS (
+          SELECT user_id, ts,
+                 CASE WHEN ts - lag(ts) OVER w > INTERVAL 30 MINUTE THEN 1 ELSE 0 END AS fresh
+          FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+        numbered AS (
+          SELECT user_id, ts, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts) AS no FROM flagged),
+        sessions AS (SELECT max(ts) AS ends FROM numbered GROUP BY user_id, no),
+        slides AS (
+          SELECT DISTINCT time_bucket(INTERVAL 15 MINUTE, ts) - back * INTERVAL 15 MINUTE AS starts
+          FROM events, range(4) AS r(back)),
+        hours AS (SELECT DISTINCT date_trunc('hour', ts) AS starts, event_type FROM events)
+        SELECT 'traffic' AS query, count(*) AS rows FROM hours, mark WHERE starts + INTERVAL 1 HOUR > mark.at
+        UNION ALL SELECT 'sliding', count(*) FROM slides, mark WHERE starts + INTERVAL 1 HOUR > mark.at
+        UNION ALL SELECT 'sessions', count(*) FROM sessions, mark WHERE ends + INTERVAL 30 MINUTE > mark.at
+        UNION ALL SELECT 'dedupe', count(*) FROM events, mark WHERE ts + INTERVAL 10 MINUTE > mark.at""",
+    ),
     "stream_enrich": (
         stream_enrich,
         """

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import csv
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from rushcart.sources.folders import stored
+
 #: Columns declared as not nullable must be present in a record.
 SAMPLES = T.StructType(
     [
@@ -18,6 +22,9 @@ SAMPLES = T.StructType(
 )
 
 _RAW = "malformed_record"
+_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _RAW}
+#: Different header lines of CSV files that are read together.
+HEADERS = 100
 
 
 def read_samples(
@@ -48,28 +55,50 @@ def _parsed_lines(spark: SparkSession, path: str, fmt: str, schema: T.StructType
     """JSON or CSV records, one per line, every column of each parsed exactly once.
 
     Spark's own readers parse only the columns a query uses, so whether a record
-    counts as malformed would depend on the query. CSV columns stand as the header line
-    says, which must be the same in all files, or in the schema's order where there is none;
-    columns that the schema does not name are left out.
+    counts as malformed would depend on the query. CSV columns stand as the first line of their
+    file says, if that names all of the schema's columns, else in the schema's order; columns
+    that the schema does not name are left out.
     """
     full = T.StructType([*schema, T.StructField(_RAW, T.StringType())])
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _RAW}
     text = spark.read.text(path).where(F.trim("value") != "")
     if fmt == "json":
-        record = F.from_json("value", full, options)
-    elif fmt == "csv":
-        header = spark.read.option("header", True).csv(path).columns
-        if set(schema.names) <= set(header):
-            known = {f.name: f for f in schema}
-            order = [known.get(c, T.StructField(c, T.StringType())) for c in header]
-            text = text.where(F.col("value") != ",".join(header))
-        else:
-            order = list(schema)
-        record = F.from_csv("value", T.StructType([*order, full[_RAW]]).toDDL(), options)
-        return text.select(F.inline(F.array(record))).select(*full.names)
-    else:
+        return text.select(F.inline(F.array(F.from_json("value", full, _OPTIONS))))
+    if fmt != "csv":
         raise ValueError(f"unknown format {fmt!r}")
-    return text.select(F.inline(F.array(record)))
+    rows, headers = _with_headers(text, schema)
+    known = {f.name: f for f in schema}
+    parts = [_parsed_csv(rows.where(F.col("_header").isNull()), list(schema), full)]
+    for header in headers:
+        order = [known.get(c, T.StructField(c, T.StringType())) for c in _cells(header)]
+        own = rows.where((F.col("_header") == header) & (F.col("value") != header))
+        parts.append(_parsed_csv(own, order, full))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _cells(line: str) -> list[str]:
+    return [cell.strip() for cell in next(csv.reader([line], skipinitialspace=True))]
+
+
+def _with_headers(text: DataFrame, schema: T.StructType) -> tuple[DataFrame, list[str]]:
+    """Lines with the header of their file, null where it has none, and all headers there are.
+
+    A file's first line is the first one of the block that begins at 0.
+    """
+    lines = text.select("value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start"))
+    places = lines.where("_start = 0").withColumn("_place", F.monotonically_increasing_id())
+    firsts = places.groupBy("_file").agg(F.min_by("value", "_place").alias("_header"))
+    cells = F.transform(F.split("_header", ","), lambda c: F.trim(F.regexp_replace(c, '^\\s*"|"\\s*$', "")))
+    named = reduce(lambda a, b: a & b, [F.array_contains(cells, f.name) for f in schema])
+    files = stored(firsts.where(named), "headers")  # a row per file
+    headers = [r[0] for r in files.select("_header").distinct().orderBy("_header").limit(HEADERS + 1).collect()]
+    if len(headers) > HEADERS:
+        raise ValueError(f"more than {HEADERS} different header lines")
+    return lines.drop("_start").join(files, "_file", "left"), headers
+
+
+def _parsed_csv(lines: DataFrame, order: list[T.StructField], full: T.StructType) -> DataFrame:
+    record = F.from_csv("value", T.StructType([*order, full[_RAW]]).toDDL(), _OPTIONS)
+    return lines.select(F.inline(F.array(record))).select(*full.names)
 
 
 #: Line JSON of the load tool: one point of one metric per line.
@@ -100,10 +129,9 @@ def read_points(
     to UTC, and a request failed if its tag ``expected_response`` is false or, without that tag,
     its ``status`` is 400 or above or 0. Lines of other metrics or types are neither good nor bad.
     """
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _RAW}
     full = T.StructType([*POINTS, T.StructField(_RAW, T.StringType())])
     lines = spark.read.text(path).where(F.trim("value") != "")
-    points = lines.select("value", F.inline(F.array(F.from_json("value", full, options))))
+    points = lines.select("value", F.inline(F.array(F.from_json("value", full, _OPTIONS))))
     tag = lambda name: F.try_element_at("data.tags", F.lit(name))
     status = tag("status").try_cast("int")
     rows = points.where(F.col(_RAW).isNotNull() | ((F.col("type") == "Point") & (F.col("metric") == metric))).select(

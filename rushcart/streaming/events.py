@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from rushcart.functions.spans import text
+from rushcart.operators.journeys import conversions
 from rushcart.sources.tables import EVENTS, stream_events
 
 #: Time and user of the row that ends an input. Its own window or session never closes.
@@ -79,25 +80,11 @@ def stream_conversions(
 ) -> DataFrame:
     """Views followed by a purchase of the same user at most ``within`` later.
 
-    Watermarks and the time range bound what is kept of either side.
+    Both sides meet by user and span of ``within``, so a user with very many events is spread over
+    the state partitions. Watermarks and the time range bound what is kept of either side.
     """
-    v = views.select(
-        F.col("user_id"), F.col("event_id").alias("view_id"), F.col("ts").alias("viewed_at")
-    ).withWatermark("viewed_at", text(delay))
-    b = buys.select(
-        F.col("user_id").alias("_buyer"),
-        F.col("event_id").alias("purchase_id"),
-        F.col("ts").alias("bought_at"),
-    ).withWatermark("bought_at", text(delay))
-    in_time = (F.col("bought_at") > F.col("viewed_at")) & (
-        F.col("bought_at") <= F.col("viewed_at") + F.lit(within)
-    )
-    return (
-        v.join(b, (F.col("user_id") == F.col("_buyer")) & in_time)
-        .drop("_buyer")
-        .withColumn("viewed_at", F.col("viewed_at").cast("timestamp_ntz"))
-        .withColumn("bought_at", F.col("bought_at").cast("timestamp_ntz"))
-    )
+    pairs = conversions(views.withWatermark("ts", text(delay)), buys.withWatermark("ts", text(delay)), within)
+    return pairs.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("viewed_at", "bought_at")})
 
 
 def late_rows(query: StreamingQuery) -> int:
@@ -105,12 +92,38 @@ def late_rows(query: StreamingQuery) -> int:
 
     Fails where the session may have kept only the last of them; a larger
     ``spark.sql.streaming.numRecentProgressUpdates`` keeps more. Aggregations drop rows after
-    partial aggregation: late rows of one group that arrive in one task count as one.
+    partial aggregation: late rows of one group that arrive in one task count as one there, which
+    :func:`late_requests` counts in full.
     """
+    return sum(operator.numRowsDroppedByWatermark for progress in _reports(query) for operator in progress.stateOperators)
+
+
+def _reports(query: StreamingQuery) -> list:
     reports = query.recentProgress
     if len(reports) >= int(SparkSession.active().conf.get("spark.sql.streaming.numRecentProgressUpdates")):
         raise RuntimeError("progress reports were dropped: raise spark.sql.streaming.numRecentProgressUpdates")
-    return sum(operator.numRowsDroppedByWatermark for progress in reports for operator in progress.stateOperators)
+    return reports
+
+
+def watched(stream: DataFrame) -> DataFrame:
+    """The stream, with its rows counted before anything is aggregated, for :func:`late_requests`."""
+    return stream.observe("arrived", F.count_if(F.col("ts") < F.lit(END)).alias("rows"))
+
+
+def late_requests(windows: DataFrame, *runs: StreamingQuery) -> int:
+    """Rows of a :func:`watched` stream that came too late for their window, over all its ``runs``.
+
+    ``windows`` is all that the closed runs have written: each row that arrived in time is counted
+    in one of its windows, however late rows are grouped and spread over tasks.
+    """
+    arrived = sum(p.observedMetrics["arrived"]["rows"] for run in runs for p in _reports(run) if "arrived" in p.observedMetrics)
+    return arrived - (windows.agg(F.sum("requests")).first()[0] or 0)
+
+
+def open_state(spark: SparkSession, checkpoint: str, **options: str) -> DataFrame:
+    """What a stopped query keeps in its state: (key, value, partition_id), a row per window, session,
+    key or joined row that the watermark has not passed yet."""
+    return spark.read.format("statestore").options(**options).load(checkpoint)
 
 
 def with_end(events: DataFrame, folder: str) -> DataFrame:
@@ -120,16 +133,17 @@ def with_end(events: DataFrame, folder: str) -> DataFrame:
     return events.unionByName(stream_events(spark, folder))
 
 
-def run_to_end(start: Callable[[], StreamingQuery], spark: SparkSession, folder: str) -> StreamingQuery:
+def run_to_end(start: Callable[[], StreamingQuery], spark: SparkSession, folder: str) -> list[StreamingQuery]:
     """Runs a query until its input is used up, then once more over a last row far ahead of
     all others, which closes every window and session. ``start`` begins a run that goes on
-    from the query's checkpoint."""
-    start().awaitTermination()
+    from the query's checkpoint. Gives both runs."""
+    first = start()
+    first.awaitTermination()
     last = [(None, END, NOBODY, None, None, None)]
     spark.createDataFrame(last, EVENTS).coalesce(1).write.mode("append").parquet(folder)
     query = start()
     query.awaitTermination()
-    return query
+    return [first, query]
 
 
 def write_stream(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:

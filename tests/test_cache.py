@@ -63,3 +63,41 @@ def test_spread_covers_every_server(events, hashed):
 def test_one_key_on_two_servers_is_twice_the_mean(events):
     got = cache.load_spread(events([(1, 0, 4, "view"), (2, 1, 4, "view")]), "user_id", 2)
     assert tuples(got, "bucket", "requests", "imbalance") == [(0, 2, 2.0), (1, 0, 2.0)]
+
+
+@pytest.mark.parametrize("slots", [1, 7, 64, 1 << 16])
+@pytest.mark.parametrize("k", [1, 5, 40, 1_000])
+def test_counted_keys_are_the_hot_keys(spark, slots, k):
+    """Even ones, uneven ones and ties; few slots take the second pass or all of them."""
+    rng = random.Random(k)
+    keys = [int(rng.paretovariate(0.8)) % 300 for _ in range(3_000)] + list(range(300)) * 2 + [None] * 50
+    df = spark.createDataFrame([(x,) for x in keys], "key long")
+    columns = ("key", "uses", "share")
+    assert tuples(cache.hot_keys_counted(df, "key", k, slots=slots), *columns) == tuples(cache.hot_keys(df, "key", k), *columns)
+
+
+def test_counted_keys_of_nothing(spark):
+    assert cache.hot_keys_counted(spark.createDataFrame([], "key long"), "key", 3).count() == 0
+
+
+def test_sliding_working_sets_merge_panes(events):
+    rng = random.Random(3)
+    rows = [(i, float(rng.randrange(6_000)), rng.randrange(3_000), "view") for i in range(9_000)]
+    width, slide = timedelta(seconds=1_500), timedelta(seconds=600)
+    got = {r["window_start"]: r["keys"] for r in cache.working_set_sliding(events(rows), "user_id", width, slide).collect()}
+    for start in range(-1_200, 6_000, 600):
+        exact = len({u for _, s, u, _ in rows if start <= s < start + 1_500})
+        assert abs(got[at(start)] - exact) <= 4 * 1.04 / 64 * exact + 1
+    assert len(got) == 12 and cache.working_set_sliding(events([]), "user_id", width, slide).count() == 0
+
+
+def test_shared_keys_are_in_their_band(spark):
+    rows = [("V1", i) for i in range(30_000)] + [("V2", i) for i in range(20_000, 40_000)] + [("V3", 1), ("V1", None)]
+    df = spark.createDataFrame(rows * 2, "version string, user long")
+    got = cache.shared_keys(df, "user", "version", "V1", "V2").first()
+    assert got["low_both"] <= 10_000 <= got["high_both"] and got["high_both"] - got["low_both"] < 2_500
+    assert abs(got["either"] - 40_000) < 2_500 and abs(got["only_a"] - 20_000) < 2_000 and abs(got["only_b"] - 10_000) < 2_000
+    few = cache.shared_keys(df, "user", "version", "V3", "V1").first()
+    assert (few["both"], few["only_a"]) == (1, 0) or abs(few["both"] - 1) < 10
+    none = cache.shared_keys(df, "user", "version", "V8", "V9").first()
+    assert (none["either"], none["both"], none["low_both"], none["high_both"]) == (0, 0, 0.0, 0.0)

@@ -157,3 +157,16 @@ def test_raw_samples_never_meet_in_one_partition(samples):
         latency.error_runs(data, "route"),
     ):
         assert "SinglePartition" not in plan(df)
+
+
+def test_a_day_of_sketches_is_replaced_with_all_its_groups(spark, samples, tmp_path):
+    path, day = str(tmp_path / "days"), 86_400
+    first = [("V1", 1, 0, 1.0, False), ("V1", 1, day, 2.0, False), ("V2", 1, day, 9.0, False)]
+    latency.write_day_sketches(samples(first), path, ["version"])
+    latency.write_day_sketches(samples([("V1", 1, day, float(v), False) for v in range(5)] + [("V1", 1, 2 * day, 7.0, False)]), path, ["version"])
+    stored = spark.read.parquet(path)
+    got = latency.sketch_quantiles(stored, ["day", "version"], [0.5])
+    assert [(str(r["day"]), r["version"], r["requests"], r["p50"]) for r in got.orderBy("day", "version").collect()] == [
+        ("2024-01-01", "V1", 1, 1.0), ("2024-01-02", "V1", 5, 2.0), ("2024-01-03", "V1", 1, 7.0),
+    ]
+    assert latency.sketch_quantiles(stored, ["version"], [0.5]).first()["requests"] == 7

@@ -5,8 +5,13 @@ from itertools import combinations
 
 import pytest
 from conftest import plan, tuples
+from pyspark.sql import functions as F
 
+from rushcart.functions import products as products_module
+from rushcart.functions.products import largest_products
+from rushcart.functions.similar import tail_members
 from rushcart.operators import recommend
+from rushcart.sources.folders import stored
 
 
 def shop(seed=1):
@@ -139,3 +144,81 @@ def test_no_cross_join_and_no_single_partition_for_pairs(lines):
     for wide in (1_000, 3):
         text = plan(recommend.item_pairs(lines(shop()), 2, wide=wide))
         assert "Cartesian" not in text and "NestedLoop" not in text
+
+
+@pytest.mark.parametrize("wide", [1_000, 12, 2])
+@pytest.mark.parametrize("cosine", [0.05, 0.4, 0.7, 1.0])
+@pytest.mark.parametrize("least", [1, 3])
+def test_similar_pairs_are_those_of_the_whole_similarity(lines, least, cosine, wide):
+    always_together = [(900 + i, 300 + i, item, 2) for i in range(3) for item in (500, 501)]
+    inter = recommend.interactions(lines(shop(2) + always_together))
+    columns = ("a", "b", "users", "cosine")
+    whole = recommend.item_similarity(inter, least).where(F.col("cosine") >= cosine)
+    assert whole.count() > 0
+    assert tuples(recommend.item_similarity(inter, least, cosine, wide=wide), *columns) == tuples(whole, *columns)
+
+
+def test_similarity_of_odd_items(spark):
+    """Items of length 0 have no cosine; nor has anything where there is nothing."""
+    schema = "user long, item long, weight double"
+    rows = [(1, 1, 0.0), (2, 1, 0.0), (1, 2, 1.0), (2, 2, 1.0), (1, 3, 2.0), (2, 3, 2.0)]
+    assert tuples(recommend.item_similarity(spark.createDataFrame(rows, schema), 1, 0.5), "a", "b", "users") == [(2, 3, 2)]
+    assert recommend.item_similarity(spark.createDataFrame([], schema), 1, 0.5).count() == 0
+    with pytest.raises(ValueError, match="cosine"):
+        recommend.item_similarity(spark.createDataFrame(rows, schema), 1, 0.0)
+
+
+def test_fewer_rows_are_paired_the_higher_the_cosine(spark):
+    """A user who had everything, and many who had little: rows that meet, against all of them."""
+    rng = random.Random(4)
+    rows = {(0, item) for item in range(400)} | {(1 + rng.randrange(900), rng.randrange(400)) for _ in range(6000)}
+    members = stored(spark.createDataFrame([(u, i, 1.0) for u, i in sorted(rows)], "grp long, item long, w double"), "members")
+    items = members.groupBy("item").agg(F.count("*").alias("n"), F.sum(F.col("w") * F.col("w")).alias("q"))
+
+    def met(rows):
+        return rows.groupBy("grp").agg((F.count("*") * (F.count("*") - 1) / 2).alias("n")).agg(F.sum("n")).first()[0]
+
+    def tails(cosine):
+        marked, _ = tail_members(members, items, cosine)
+        return met(marked.where(F.col("class") >= F.col("tail")))
+
+    assert met(members) > tails(0.3) > tails(0.6) > tails(0.9)
+    assert tails(0.3) < 0.25 * met(members)  # the user with everything is in every head
+
+
+def products(users, items, had, n):
+    out = []
+    for user, u in users:
+        scores = sorted((-sum(a * b for a, b in zip(u, v)), item) for item, v in items if (user, item) not in had)
+        out += [(user, item, -s, rank) for rank, (s, item) in enumerate(scores[:n], 1)]
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("block, chunk", [(4_096, 20_000), (7, 5), (1, 1_000)])
+def test_largest_products_are_exact(spark, block, chunk):
+    rng = random.Random(6)
+    vector = lambda size: [float(rng.randrange(-4, 5) * size) for _ in range(3)]
+    users = [(u, vector(rng.choice([0, 1, 100]))) for u in range(30)]
+    items = [(i, vector(rng.choice([0.25, 1, 64]))) for i in range(60)]
+    had = {(u, i) for u in range(30) for i in range(60) if rng.random() < 0.2} | {(3, i) for i in range(60)} | {(4, i) for i in range(2, 60)}
+    frames = [spark.createDataFrame(rows, f"{name} long, features array<float>") for rows, name in ((users, "user"), (items, "item"))]
+    owned = spark.createDataFrame(sorted(had) + [(1, 9_999)], "user long, item long")
+    got = largest_products(*frames, owned, 5, block=block, chunk=chunk)
+    assert tuples(got, "user", "item", "score", "rank") == [(u, i, float(s) + 0.0, r) for u, i, s, r in products(users, items, had, 5)]
+
+
+def test_long_items_settle_most_users(spark, monkeypatch):
+    """Items fall off in length, so hardly any user meets more than the first blocks."""
+    met = []
+
+    def watched(df, name):
+        out = stored(df, name)
+        met.extend([out] * (name == "met"))
+        return out
+
+    monkeypatch.setattr(products_module, "stored", watched)
+    rng = random.Random(7)
+    users = spark.createDataFrame([(u, [rng.gauss(0, 1) for _ in range(4)]) for u in range(200)], "user long, features array<float>")
+    items = spark.createDataFrame([(i, [rng.gauss(0, 1) * 0.9**i for _ in range(4)]) for i in range(400)], "item long, features array<float>")
+    largest_products(users, items, spark.createDataFrame([], "user long, item long"), 3, block=25).count()
+    assert sum(df.count() for df in met) <= 3 * 200  # of 16 blocks each

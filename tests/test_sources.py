@@ -150,3 +150,26 @@ def test_a_cluster_without_that_setting_is_refused(where):
 def test_schema_declares_what_must_be_there():
     assert [f.name for f in SAMPLES if not f.nullable] == ["version", "route", "ts", "latency_ms"]
     assert isinstance(SAMPLES["latency_ms"].dataType, T.DoubleType)
+
+
+def test_each_csv_file_has_its_own_header(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('version,route,ts,latency_ms,is_error\nV1,1,2024-01-01 00:00:00,1.5,false\nbad,x\n')
+    (tmp_path / "b.csv").write_text('"is_error", "latency_ms","extra","route","ts","version"\ntrue,2.5,zz,2,2024-01-02 00:00:00,V2\n')
+    (tmp_path / "c.csv").write_text("V3,3,2024-01-03 00:00:00,3.5,true\n\nV3,4,2024-01-03 00:00:00,4.5,true\n")
+    (tmp_path / "d.csv").write_text("version,route,ts,latency_ms,is_error\n")
+    good, bad = read_samples(spark, str(tmp_path), "csv")
+    assert tuples(good, "version", "route", "latency_ms", "is_error") == [
+        ("V1", 1, 1.5, False), ("V2", 2, 2.5, True), ("V3", 3, 3.5, True), ("V3", 4, 4.5, True),
+    ]
+    assert tuples(bad, "reason", "malformed_record") == [("malformed", "bad,x")]
+
+
+def test_a_header_is_found_in_files_of_many_blocks(spark, tmp_path):
+    rows = "".join(f"{i}.5,V1,2024-01-01 00:00:00,{i},false\n" for i in range(5_000))
+    (tmp_path / "a.csv").write_text("latency_ms,version,ts,route,is_error\n" + rows)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        good, bad = read_samples(spark, str(tmp_path), "csv")
+        assert good.where("latency_ms = route + 0.5").count() == 5_000 and bad.count() == 0
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")

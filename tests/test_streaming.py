@@ -125,3 +125,58 @@ def test_a_restart_writes_nothing_twice(feed, run):
     first, _ = run(streaming.stream_traffic(stream, MINUTE, MINUTE))
     again, _ = run(streaming.stream_traffic(stream, MINUTE, MINUTE))
     assert tuples(first, "*") == tuples(again, "*") and again.count() == 1
+
+
+def test_every_late_row_of_a_group_counts(spark, feed, events, tmp_path):
+    """Three late rows of one window arrive in one task, after the aggregation's map side one row."""
+    # a batch is judged by the watermark that the batch before it began with
+    source = feed([(1, 0, 1, "view"), (2, 3_000, 1, "view")], [(6, 2_990, 1, "view")], [(3, 10, 1, "view"), (4, 11, 1, "view"), (5, 12, 1, "view")])
+    folder, out = str(tmp_path / "end"), str(tmp_path / "out")
+    stream = streaming.stream_traffic(streaming.watched(streaming.with_end(source, folder)), MINUTE, MINUTE)
+    runs = streaming.run_to_end(lambda: streaming.write_stream(stream, out, f"{out}-checkpoint"), spark, folder)
+    windows = spark.read.parquet(out)
+    assert tuples(windows, "window_start", "requests") == [(at(0), 1), (at(2940), 1), (at(3000), 1)]
+    assert sum(map(streaming.late_rows, runs)) == 1
+    assert streaming.late_requests(windows, *runs) == 3
+
+
+def test_closed_runs_keep_only_the_last_row(spark, tmp_path):
+    source, delay = stream_events(spark, SF, files="events.parquet"), timedelta(minutes=10)
+    for name, make in (
+        ("traffic", lambda s: streaming.stream_traffic(s, HOUR, delay, ["event_type"])),
+        ("sliding", lambda s: streaming.stream_sliding(s, HOUR, 15 * MINUTE, delay)),
+        ("sessions", lambda s: streaming.stream_sessions(s, 30 * MINUTE, delay)),
+        ("dedupe", lambda s: streaming.stream_dedupe(s, ["event_id"], delay)),
+    ):
+        folder, out = str(tmp_path / f"{name}-end"), str(tmp_path / name)
+        stream = make(streaming.with_end(source, folder))
+        streaming.run_to_end(lambda: streaming.write_stream(stream, out, f"{out}-checkpoint"), spark, folder)  # noqa: B023
+        assert streaming.open_state(spark, f"{out}-checkpoint").count() == (4 if name == "sliding" else 1), name
+
+
+def test_conversions_keep_what_can_still_convert(spark, feed, run, tmp_path):
+    rows = [(i, i * 10.0, i % 7, "view" if i % 2 else "purchase") for i in range(600)]
+    source = feed(rows, [(600, 6_000.0, 99, "view"), (601, 6_000.0, 98, "purchase")])
+    views, buys = (source.where(F.col("event_type") == t) for t in ("view", "purchase"))
+    run(streaming.stream_conversions(views, buys, MINUTE))
+    left, right = (streaming.open_state(spark, str(tmp_path / "out-checkpoint"), joinSide=side) for side in ("left", "right"))
+    # the four views of the last minute stand in two spans each; no view can come before a purchase of now
+    assert (left.count(), right.count()) == (8, 0)
+
+
+def test_conversions_of_one_user_use_all_state_partitions(spark, feed, run, tmp_path):
+    rows = [(i, i * 30.0, 1 if i % 10 else i, "view" if i % 3 else "purchase") for i in range(2_000)]
+    source = feed(rows)
+    views, buys = (source.where(F.col("event_type") == t) for t in ("view", "purchase"))
+    got, query = run(streaming.stream_conversions(views, buys, 10 * MINUTE))
+    want = [
+        (v, b) for v, s, u, t in rows if t == "view" for b, s2, u2, t2 in rows[v : v + 30] if t2 == "purchase" and u2 == u and s < s2 <= s + 600
+    ]
+    assert tuples(got, "view_id", "purchase_id") == sorted(want, key=repr)
+    read = [p for p in query.recentProgress if p.numInputRows][0].stateOperators[0]
+    assert read.numRowsUpdated > 0
+    log = source.sparkSession.read.parquet(str(tmp_path / "in"))
+    batch = journeys.conversions(log.where("event_type = 'view'"), log.where("event_type = 'purchase'"), 10 * MINUTE)
+    assert tuples(batch, "view_id", "purchase_id") == sorted(want, key=repr)
+    spans = log.where("user_id = 1").select(F.pmod(F.hash("user_id", F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 6e8).cast("long")), F.lit(4)))
+    assert spans.distinct().count() == 4

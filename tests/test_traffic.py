@@ -1,6 +1,9 @@
+import random
 from datetime import timedelta
 
-from conftest import at, tuples
+import pytest
+from conftest import at, plan, tuples
+from pyspark.sql import Window, functions as F
 
 from rushcart.operators import traffic
 
@@ -44,3 +47,33 @@ def test_a_spike_needs_two_windows_before_it(events):
     log = events([(w * 100 + i, w * 60, 1, "view") for w, n in enumerate(counts) for i in range(n)])
     got = traffic.spikes(traffic.traffic(log, MINUTE), 3, 2.0)
     assert [r["is_spike"] for r in got.orderBy("window_start").collect()] == [False] * 4 + [True]
+
+
+def test_groups_get_all_windows_whatever_the_chunk(events, monkeypatch):
+    rows = [(i, i * 37.0, 1, ["view", "click", None][i % 3]) for i in range(60)]
+    want = tuples(traffic.traffic(events(rows), MINUTE, ["event_type"]), "window_start", "event_type", "requests")
+    assert len(want) == 3 * 37 and sum(r[2] for r in want) == 60
+    monkeypatch.setattr(traffic._grid, "__defaults__", (3,))
+    assert tuples(traffic.traffic(events(rows), MINUTE, ["event_type"]), "window_start", "event_type", "requests") == want
+
+
+def test_ten_million_windows_of_a_second(events):
+    log = events([(1, 0, 1, "view"), (2, 10_000_000, 1, "view"), (3, 10_000_000.5, 1, "view")])
+    got = traffic.traffic(log, timedelta(seconds=1))
+    assert got.agg(F.count("*"), F.sum("requests"), F.max("requests"), F.max("window_start")).first()[:] == (10_000_001, 3, 2, at(10_000_000))
+    assert "sequence" not in plan(got)
+
+
+@pytest.mark.parametrize("group", [[], ["event_type"]])
+@pytest.mark.parametrize("rows", [1_000_000, 15, 4])
+def test_spikes_do_not_depend_on_the_pieces(events, group, rows):
+    rng = random.Random(1)
+    log = events([(i, rng.randrange(100) ** 2 * 1.0, 1, rng.choice(["view", "click"])) for i in range(900)])
+    counted = traffic.traffic(log, 2 * MINUTE, group).persist()
+    before = Window.partitionBy(*group).orderBy("window_start").rowsBetween(-4, -1)
+    limit = F.avg("requests").over(before) + 2.0 * F.stddev_samp("requests").over(before)
+    want = counted.withColumn("is_spike", F.coalesce((F.count("*").over(before) >= 2) & (F.col("requests") > limit), F.lit(False)))
+    got = traffic.spikes(counted, 4, 2.0, group, rows=rows)
+    columns = ("window_start", *group, "requests", "is_spike")
+    assert tuples(got, *columns) == tuples(want, *columns) and got.where("is_spike").count() > 2
+    assert "SinglePartition" not in plan(got)

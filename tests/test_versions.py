@@ -1,4 +1,9 @@
-from conftest import tuples
+import math
+from decimal import Decimal
+
+import pytest
+from conftest import plan, tuples
+from pyspark.sql import functions as F
 
 from rushcart.operators import versions
 
@@ -81,3 +86,52 @@ def test_runs_with_different_columns_stack(samples):
     data = samples([("V1", 1, 0, 1.0, True)])
     got = versions.combine_runs(data.drop("is_error"), data, data.drop("route"))
     assert tuples(got, "route", "is_error") == [(1, None), (1, True), (None, True)]
+
+
+def exact_welch(one, other):
+    from fractions import Fraction
+
+    def side(values):
+        x = [Fraction(math.floor(v * 1e9 + 0.5)) for v in values]
+        mean = sum(x) / len(x)
+        return mean, sum((v - mean) ** 2 for v in x) / (len(x) - 1) / len(x)
+
+    (m1, e1), (m2, e2) = side(one), side(other)
+    t = float(m1 - m2) / math.sqrt(float(e1 + e2))
+    return t, float(e1 + e2) ** 2 / float(e1**2 / (len(one) - 1) + e2**2 / (len(other) - 1))
+
+
+@pytest.mark.parametrize(
+    "one, other",
+    [
+        ([i * 1e8 for i in range(1, 45)], [i * 1e8 + 5e7 for i in range(1, 45)]),
+        ([i % 90 * 1e8 for i in range(2000)], [i % 90 * 1e8 + 3e6 for i in range(2000)]),
+        ([4.294967295, 4.294967297, 4.294967296], [2.147483647, 2.147483649, 2.147483648]),
+        ([0.000000001, 9e9, 4.5e9], [-3.5, 2.25, -1e9, 1e9]),
+        ([10 + i * 1e-6 for i in range(50)], [10 + i * 2e-6 for i in range(50)]),
+    ],
+    ids=["far apart", "above 38 digits", "at limb borders", "signs", "close together"],
+)
+def test_welch_of_any_size(samples, one, other):
+    rows = [("V1", 1, i, v, False) for i, v in enumerate(one)] + [("V2", 1, i, v, False) for i, v in enumerate(other)]
+    got = versions.welch(samples(rows), "V1", "V2").first()
+    t, dof = exact_welch(one, other)
+    assert abs(got["t"] - t) <= 1e-9 * abs(t) and abs(got["dof"] - dof) <= 1e-9 * dof
+
+
+def test_sums_beyond_38_digits_go_on_in_doubles(spark):
+    """What 10^13 requests would add up to."""
+    n, x = 10**13, 9 * 10**18
+    high = (x + (1 << 31)) >> 32
+    low = x - (high << 32)
+    sums = [n // 2 * v for v in (high, low, high * high, high * low, low * low)]
+    df = spark.createDataFrame([tuple(map(Decimal, sums))], ", ".join(f"{c} decimal(38,0)" for c in "abcde"))
+    n_, low_ = F.lit(n).cast("decimal(20,0)"), F.lit(0).cast("long")
+    r, q = versions._around(low_, n_, [F.col("a"), F.col("b")], [F.col("c"), F.col("d"), F.col("e")])
+    got = df.select(r.alias("r"), q.alias("q")).first()
+    assert abs(got["r"] / (n // 2 * x) - 1) < 1e-12 and abs(got["q"] / (n // 2 * x * x) - 1) < 1e-12
+
+
+def test_welch_reads_its_rows_once(samples):
+    text = plan(versions.welch(samples([("V1", 1, 0, 1.0, False)]), "V1", "V2", ["route"]))
+    assert text.count("Scan") == 1 and "Join" not in text
