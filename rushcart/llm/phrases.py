@@ -411,7 +411,7 @@ def collocations(docs: DataFrame, longest: int = 3, least: int = 10, top: int |
     for part in parts[1:]:
         out = out.unionByName(part)
     best = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    out = out.withColumn("rank", F.row_number().over(best).cast("long"))
+    out = out.withColumn("rank", F.row_number().over(best))
     if top is not None:
-        out = out.where(F.col("rank") <= top)
-    return out.join(sizes, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+        out = out.where(F.col("rank") <= top)  # which every task sees to before a lang's rows meet
+    return out.join(sizes, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")

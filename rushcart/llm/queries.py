@@ -95,30 +95,43 @@ WITH pieces AS (
                                    '[.,;:!?\x0A-\x0D]')) AS piece
   FROM documents
 ), words AS (
-  SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM pieces
+  SELECT row_number() OVER () AS no, lang,
+         list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM pieces
 ), sizes AS (
   SELECT lang, CAST(sum(len(ws)) AS BIGINT) AS n FROM words GROUP BY lang
 ), places AS (
-  SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM words
-), grams AS (
-  SELECT lang, k, ws[i:i + k - 1] AS p, count(*) AS f
-  FROM places, (VALUES (1), (2), (3)) AS lengths(k) WHERE i + k - 1 <= len(ws) GROUP BY ALL
-), candidates AS (
-  SELECT lang, k, p, f AS a FROM grams WHERE k > 1 AND f >= 10
+  SELECT lang, w AS w1, lead(w) OVER ahead AS w2, lead(w, 2) OVER ahead AS w3
+  FROM (SELECT no, lang, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM words)
+  WINDOW ahead AS (PARTITION BY no ORDER BY i)
+), ones AS (
+  SELECT lang, w1, count(*) AS f FROM places GROUP BY ALL
+), twos AS (
+  SELECT lang, w1, w2, count(*) AS f FROM places WHERE w2 IS NOT NULL GROUP BY ALL
+), threes AS (
+  SELECT lang, w1, w2, w3, count(*) AS f FROM places WHERE w3 IS NOT NULL GROUP BY ALL
 ), cuts AS (
-  SELECT c.lang, c.k, c.p, c.a, j, x.f AS l, y.f AS r,
-         (CAST(1000000 AS HUGEINT) * c.a * c.a) // (CAST(x.f AS HUGEINT) * y.f) AS score
-  FROM candidates c JOIN (VALUES (1), (2)) AS cut(j) ON cut.j < c.k
-  JOIN grams x ON x.lang = c.lang AND x.p = c.p[1:j]
-  JOIN grams y ON y.lang = c.lang AND y.p = c.p[j + 1:c.k]
+  SELECT p.lang, p.w1, p.w2, NULL AS w3, p.f AS a, 1 AS j, x.f AS l, y.f AS r
+  FROM twos p JOIN ones x ON x.lang = p.lang AND x.w1 = p.w1 JOIN ones y ON y.lang = p.lang AND y.w1 = p.w2
+  WHERE p.f >= 10
+  UNION ALL
+  SELECT p.lang, p.w1, p.w2, p.w3, p.f, 1, x.f, y.f
+  FROM threes p JOIN ones x ON x.lang = p.lang AND x.w1 = p.w1
+  JOIN twos y ON y.lang = p.lang AND y.w1 = p.w2 AND y.w2 = p.w3 WHERE p.f >= 10
+  UNION ALL
+  SELECT p.lang, p.w1, p.w2, p.w3, p.f, 2, x.f, y.f
+  FROM threes p JOIN twos x ON x.lang = p.lang AND x.w1 = p.w1 AND x.w2 = p.w2
+  JOIN ones y ON y.lang = p.lang AND y.w1 = p.w3 WHERE p.f >= 10
+), scored AS (
+  SELECT *, (CAST(1000000 AS HUGEINT) * a * a) // (CAST(l AS HUGEINT) * r) AS score FROM cuts
 ), best AS (
-  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, j) = 1
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, w1, w2, w3 ORDER BY score, j) = 1
 ), covered AS (
-  SELECT lang, part, max(a) AS most
-  FROM (SELECT lang, a, unnest([p[1:2], p[2:3]]) AS part FROM candidates WHERE k = 3) GROUP BY lang, part
+  SELECT lang, w1, w2, max(f) AS most
+  FROM (SELECT lang, w1, w2, f FROM threes WHERE f >= 10 UNION ALL SELECT lang, w2, w3, f FROM threes WHERE f >= 10)
+  GROUP BY lang, w1, w2
 ), kept AS (
-  SELECT b.lang, array_to_string(b.p, ' ') AS phrase, b.a, b.l, b.r, CAST(b.score AS BIGINT) AS score
-  FROM best b LEFT JOIN covered c ON c.lang = b.lang AND c.part = b.p
+  SELECT b.lang, concat_ws(' ', b.w1, b.w2, b.w3) AS phrase, b.a, b.l, b.r, CAST(b.score AS BIGINT) AS score
+  FROM best b LEFT JOIN covered c ON c.lang = b.lang AND c.w1 = b.w1 AND c.w2 = b.w2 AND b.w3 IS NULL
   WHERE c.most IS NULL OR 100 * c.most < 50 * b.a
 )
 SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
