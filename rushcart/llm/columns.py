@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import gc
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +47,19 @@ def plain(docs: DataFrame, *names: str) -> DataFrame:
     return docs.select(*[F.coalesce(F.col(n), F.lit("")).alias(n) if n == "text" else F.col(n) for n in names])
 
 
+def all_columns(run: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """For functions that give rows back with all their columns: those that documents do not have
+    themselves go by neutral names meanwhile, so that none clashes with a name used inside."""
+
+    @wraps(run)
+    def renamed(docs: DataFrame, *args, **how) -> DataFrame:
+        own = ("doc_id", "text", "lang", "source", "n_chars")
+        names = [c if c in own else f"extra {i}" for i, c in enumerate(docs.columns)]
+        return run(docs.toDF(*names), *args, **how).select(*names).toDF(*docs.columns)
+
+    return renamed
+
+
 def partitions(df: DataFrame, rows: int, per_task: int) -> int:
     """Enough tasks for ``rows`` rows at ``per_task`` each, at least what the session sets."""
     return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // per_task))

@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from rushcart.llm.columns import partitions, plain
+from rushcart.llm.columns import all_columns, partitions, plain
 from rushcart.sources.folders import stored
 
 SLOTS = 4
@@ -220,8 +220,10 @@ def exact_dedup(docs: DataFrame) -> DataFrame:
     )
 
 
+@all_columns
 def unique_rows(docs: DataFrame) -> DataFrame:
-    """The rows that stay, with all their columns. Equal rows with one id leave one row."""
+    """The rows that stay, with all their columns, whatever their names. Equal rows with one id
+    leave one row; nulls and texts are as in :func:`exact_dedup`, and no rows give no rows."""
     _, groups = _grouped(docs)
     groups = groups.select("_sha", F.col("keep").alias("_keep"), F.col("ties").alias("_ties"))
     sha = F.sha2(F.coalesce("text", F.lit("")), 256)

@@ -307,6 +307,6 @@ def nearest_neighbours(vectors: DataFrame, every: int = 20, k: int = 20) -> Data
     """The ``k`` nearest of every vector whose id ``every`` divides, among all others.
 
     Vectors that are null, empty, zero or hold null or non-finite components take no part, nor
-    does a null id. Only ``vec_id`` and ``embedding`` are read.
+    does a null id; without any others there are no rows. Only ``vec_id`` and ``embedding`` are read.
     """
     return nearest(build_index(vectors, k), vectors.where(F.col("vec_id") % every == 0), k)

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from rushcart.llm.columns import plain
+from rushcart.llm.columns import all_columns, plain
 from rushcart.sources.folders import stored
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -156,7 +156,7 @@ def mix(
     Size counts words; null text has none, and a null source is a source of its own, the
     last. No row is taken more than ``limit`` times. Which documents of a source and size
     are taken follows a keyed hash of doc_id, so reruns agree; rows that repeat an id count
-    one by one. Without any words all targets are 0. Only ``doc_id``, ``text`` and
+    one by one. Without any words all targets are 0; no rows give no rows. Only ``doc_id``, ``text`` and
     ``source`` are read.
     """
     sizes = stored(plain(docs, "doc_id", "text", "source").select("doc_id", _key().alias("key"), words().alias("size")), "sizes")
@@ -182,8 +182,14 @@ def mix(
     )
 
 
+@all_columns
 def mixed_rows(docs: DataFrame, **how) -> DataFrame:
-    """The mix itself: rows with all their columns, as often as they are taken."""
+    """The mix itself: rows with all their columns, as often as they are taken.
+
+    Columns may have any names. Rows of one id are told apart by their size; of two such rows of
+    one size either may be the one taken more often. Nulls are as in :func:`mix`; no rows
+    give no rows.
+    """
     turn = F.row_number().over(Window.partitionBy("_id").orderBy("_size"))
     taken = mix(docs, **how).select(F.col("doc_id").alias("_id"), F.col("size").alias("_size"), "copies")
     taken = taken.withColumn("_turn", turn).where("copies > 0").select(F.col("_id").alias("_taken"), F.col("_turn").alias("_at"), F.col("copies").alias("_copies"))

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from rushcart.llm.columns import partitions, pieces, plain, utf8
+from rushcart.llm.columns import all_columns, partitions, pieces, plain, utf8
 from rushcart.llm.components import components
 from rushcart.llm.shingles import shingle_sets
 from rushcart.sources.folders import stored
@@ -478,7 +478,7 @@ def near_duplicates(docs: DataFrame, words: int = 4, percent: int = 85) -> DataF
     of at least ``percent`` hundredths. ``component_id`` is the smallest doc_id that links
     reach, its own included; a null id is never the smallest. Null, empty and blank texts
     have no shingles and link with nothing; fewer words are one shingle. Repeated rows are
-    rows of one class. Only ``doc_id`` and ``text`` are read.
+    rows of one class; no rows give no rows. Only ``doc_id`` and ``text`` are read.
     """
     grouped = _grouped(docs, words, percent)
     smallest = grouped.where("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("component_id"))
@@ -501,9 +501,10 @@ def _classed(words: int):
     return run
 
 
+@all_columns
 def first_of_groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """One row of each component, with all columns: that of the smallest id, a null id being the
-    largest, then of the smallest class, then of the smallest text. Texts without shingles all stay."""
+    """One row of each component, with all columns, whatever their names: that of the smallest id, a null id being the
+    largest, then of the smallest class, then of the smallest text. Texts without shingles all stay; no rows give no rows."""
     blank = ~F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
     number, missing = F.coalesce("doc_id", F.lit(0).cast("long")).alias("_id"), F.col("doc_id").isNull().alias("_null")
     grouped = _grouped(docs, words, percent).where("root IS NOT NULL").select("root", missing, number, F.col("class").alias("_class"))

@@ -412,7 +412,8 @@ def _without_collector():
 
 
 def encode_pieces(docs: DataFrame, path: str = MODEL, dropout: float = 0.1, seed: int = 0) -> DataFrame:
-    """Per row: (doc_id, ids). Null text counts as empty and has no ids; repeated rows are encoded alike.
+    """Per row: (doc_id, ids). Null text counts as empty and has no ids; repeated rows are encoded alike,
+    texts of any length whole, and no rows give no rows.
 
     Only ``doc_id`` and ``text`` are read. The model file must be readable at ``path`` on
     every machine; it is loaded once per task.
@@ -432,7 +433,7 @@ def encode_pieces(docs: DataFrame, path: str = MODEL, dropout: float = 0.1, seed
 
 
 def decode_pieces(encoded: DataFrame, path: str = MODEL) -> DataFrame:
-    """Per row: (doc_id, text), from (doc_id, ids). Null ids count as none."""
+    """Per row: (doc_id, text), from (doc_id, ids). Null ids count as none; no rows give no rows."""
 
     def run(batches):
         model = Pieces(path)

@@ -114,7 +114,7 @@ def shard(docs: DataFrame, shards: int = 8, seed: int = 0) -> DataFrame:
 
     Law ``bytes``: sizes are near equal. Equal texts share a shard, null counts as the empty
     text of size 1, and rows that repeat are rows of their own. A text whose copies outweigh
-    a shard fills one alone. Slots count from 0 in each shard. Only ``doc_id`` and ``text`` are read.
+    a shard fills one alone. Slots count from 0 in each shard; no rows give no rows. Only ``doc_id`` and ``text`` are read.
     """
     rows = stored(_keyed(docs), "sizes")
     borders, shard_of, most = _plan(rows, shards, seed)

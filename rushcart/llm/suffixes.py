@@ -659,7 +659,7 @@ def remove_repeats(docs: DataFrame, split_from: int = SPLIT_FROM) -> DataFrame:
     smaller doc_id, or earlier in the same one. Strings are judged on the input and never
     cross rows; null text counts as empty and a null doc_id as the smallest. Rows that share
     an id are the same document, so copies under one id don't remove each other. Shorter
-    texts lose nothing. Only ``doc_id`` and ``text`` are read.
+    texts lose nothing, and no rows give no rows. Only ``doc_id`` and ``text`` are read.
     """
     rows, ranges = _rows(docs), removed_ranges(docs, split_from)
     bits = _filter(ranges)

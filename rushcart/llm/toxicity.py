@@ -181,7 +181,7 @@ def score_toxicity(docs: DataFrame, model: Model, threshold: float = THRESHOLD)
     """Per row: (doc_id, held_out, score, predicted). Reads ``doc_id`` and ``text`` only.
 
     An empty or null text scores as the bias says. A null id is not held out. Equal texts
-    score alike; texts are read whole, whatever their length.
+    score alike; texts are read whole, whatever their length. No rows give no rows.
     """
 
     def run(batches):
