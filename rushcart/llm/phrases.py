@@ -44,6 +44,8 @@ ASKED_SQL = "part int, block long, lang string, keys binary, numbers binary, cou
 #: Answers, the numbers of a block's frequent phrases (and ids of its words); and totals, without a block: frequent phrases and their counts.
 FOUND = pa.schema([("block", pa.int64()), ("lang", pa.string()), ("keys", pa.binary()), ("numbers", pa.binary()), ("counts", pa.binary())])
 FOUND_SQL = "block long, lang string, keys binary, numbers binary, counts binary"
+#: Shares of a lang's phrases that are ranked apart before the best of them are.
+TOP_SHARES = 64
 NO_LANG = "und"
 
 
@@ -410,8 +412,12 @@ def collocations(docs: DataFrame, longest: int = 3, least: int = 10, top: int |
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
-    best = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    out = out.withColumn("rank", F.row_number().over(best))
+    order = [F.desc("score"), F.desc("a"), F.col("phrase")]
+    if top is not None:  # the best of every share of a lang, of which no more than TOP_SHARES times ``top`` meet
+        share_of = F.pmod(F.xxhash64("phrase"), F.lit(TOP_SHARES))
+        turn = F.row_number().over(Window.partitionBy("lang", share_of).orderBy(*order))
+        out = out.withColumn("turn", turn).where(F.col("turn") <= top).drop("turn")
+    out = out.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)))
     if top is not None:
-        out = out.where(F.col("rank") <= top)  # which every task sees to before a lang's rows meet
+        out = out.where(F.col("rank") <= top)
     return out.join(sizes, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
