@@ -172,7 +172,7 @@ def later_equals(hashes, group, start, length, doc, place) -> np.ndarray:
 def anchors(data: np.ndarray, starts: np.ndarray) -> dict[str, np.ndarray]:
     """The anchors of all windows: row, first and last window start, place and hash of the anchor."""
     n, span = len(data), LENGTH - GRAM + 1
-    if len(starts) == 2 and n > LONG:  # one long row: its windows in parts; an anchor at a cut has two segments then
+    if len(starts) == 2 and n - LENGTH + 1 > LONG:  # one long row: its windows in parts; an anchor at a cut has two segments then
         parts = []
         for a in range(0, n - LENGTH + 1, LONG):
             cut = data[a : a + LONG + LENGTH - 1]
@@ -204,8 +204,10 @@ def anchors(data: np.ndarray, starts: np.ndarray) -> dict[str, np.ndarray]:
     first, row, ends = first[keep], row[keep], ends[keep]
     last = np.minimum(ends, starts[row + 1] - LENGTH + 1) - 1
     smallest = least[first]
-    at = first + span - 1  # a smallest hash that has just come in, else it is searched for
-    old = np.flatnonzero((gram[at] != smallest) | (first == starts[row]) | (least[np.maximum(first - 1, 0)] == smallest))
+    # A hash below the window before is new and stands last; else the leftmost place is searched for, as the
+    # hash that comes in may stand further left, too.
+    at = first + span - 1
+    old = np.flatnonzero((first == starts[row]) | (least[np.maximum(first - 1, 0)] <= smallest))
     for a in range(0, len(old), 20_000):
         i = old[a : a + 20_000]
         at[i] = first[i] + (gram[first[i][:, None] + np.arange(span)] == smallest[i][:, None]).argmax(axis=1)

@@ -118,6 +118,44 @@ def test_equal_windows_have_equal_anchors():
     assert covered == len(data) - 99
 
 
+def _anchor_of_windows(data):
+    found, out = anchors(data, np.array([0, len(data)])), np.full(len(data) - 99, -1)
+    for first, last, at in zip(*(found[c].tolist() for c in ("first", "last", "at"))):
+        out[first : last + 1] = at
+    return out.tolist()
+
+
+def _repetitive(seed):
+    rng, parts = random.Random(seed), [b"." * 100]
+    for _ in range(rng.randrange(2, 8)):
+        unit = bytes(rng.choices(b"abcdefgh ", k=rng.randrange(1, 90)))
+        parts.append(unit * rng.randrange(1, 400 // len(unit) + 3))
+    return b"".join(parts)
+
+
+def test_anchor_is_the_leftmost_of_equal_hashes_whatever_stands_before():
+    """The smallest hash comes in a second time in the very step in which a smaller one leaves."""
+    for seed in range(100):
+        data = np.frombuffer(_repetitive(seed), np.uint8)
+        alone = [int(anchors(data[s : s + 100], np.array([0, 100]))["at"][0]) + s for s in range(len(data) - 99)]
+        assert _anchor_of_windows(data) == alone
+
+
+def test_long_rows_in_parts_have_the_same_anchors(monkeypatch):
+    data = np.random.default_rng(5).integers(97, 123, 1400).astype(np.uint8)
+    whole = {n: _anchor_of_windows(data[:n]) for n in (301, 399, 400, 699, 1400)}
+    monkeypatch.setattr(suffixes, "LONG", 300)
+    assert whole == {n: _anchor_of_windows(data[:n]) for n in whole}
+
+
+def test_repetitive_texts_equal_all_strings(docs):
+    rows = []
+    for seed in range(40):
+        text = _repetitive(seed).decode()
+        rows += [(2 * seed, text), (2 * seed + 1, text[random.Random(seed).randrange(80, 180) :])]
+    assert rows_of(remove_repeats(docs(rows).repartition(4)), *COLUMNS) == wanted(rows)
+
+
 def test_suffix_order_sorts_and_finds_equals():
     rng = random.Random(4)
     strings = [bytes(rng.choice(b"ab") for _ in range(6)) for _ in range(300)]
