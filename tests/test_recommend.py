@@ -222,3 +222,34 @@ def test_long_items_settle_most_users(spark, monkeypatch):
     items = spark.createDataFrame([(i, [rng.gauss(0, 1) * 0.9**i for _ in range(4)]) for i in range(400)], "item long, features array<float>")
     largest_products(users, items, spark.createDataFrame([], "user long, item long"), 3, block=25).count()
     assert sum(df.count() for df in met) <= 3 * 200  # of 16 blocks each
+
+
+def test_joins_are_dealt_by_the_rows_they_give(spark, lines, monkeypatch):
+    """Not by the bytes they read: 60 users with 20 items each are one small file, but 190 pairs each."""
+    from rushcart.functions import pairs
+    from rushcart.sources import folders
+
+    rows = [(u, u, (u + 3 * i) % 40, 1 + i % 3) for u in range(60) for i in range(20)]
+    inter = recommend.interactions(lines(rows))
+    plain = sorted(map(tuple, recommend.item_similarity(inter, 2).collect()))
+    offers = sorted(map(tuple, recommend.recommend(inter, recommend.item_similarity(inter, 2), 3, "cosine").collect()))
+    given = []
+    monkeypatch.setattr(folders, "TASK_ROWS", 100)
+    monkeypatch.setattr(pairs, "stored", lambda df, name, tasks=1: given.append((name, tasks)) or folders.stored(df, name, tasks=tasks))
+    monkeypatch.setattr(recommend, "stored", lambda df, name, tasks=1: given.append((name, tasks)) or folders.stored(df, name, tasks=tasks))
+    for wide in (1_000, 7):
+        found = recommend.item_similarity(inter, 2, wide=wide)
+        assert sorted(map(tuple, found.collect())) == plain
+        assert dict(given)["pairs"] >= (114 if wide == 1_000 else 1)
+    assert sorted(map(tuple, recommend.recommend(inter, found, 3, "cosine").collect())) == offers
+    assert dict(given)["offers"] > 114
+
+
+def test_stored_deals_its_shuffles_to_so_many_tasks(spark):
+    from rushcart.sources.folders import stored
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spread = stored(spark.range(5000).groupBy("id").count(), "spread", tasks=30)
+    files = {r[0] for r in spread.selectExpr("input_file_name()").distinct().collect()}
+    assert len(files) == 30 and spread.count() == 5000
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
