@@ -249,7 +249,23 @@ def test_stored_deals_its_shuffles_to_so_many_tasks(spark):
     from rushcart.sources.folders import stored
 
     before = spark.conf.get("spark.sql.shuffle.partitions")
-    spread = stored(spark.range(5000).groupBy("id").count(), "spread", tasks=30)
+    spread = stored(spark.range(5000).groupBy(F.expr("id % 1000").alias("k")).count(), "spread", tasks=30)
     files = {r[0] for r in spread.selectExpr("input_file_name()").distinct().collect()}
-    assert len(files) == 30 and spread.count() == 5000
+    assert len(files) == 30 and spread.count() == 1000
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def test_tails_that_hold_most_pairs_are_not_looked_up(lines, monkeypatch):
+    """A low threshold rules little out: then all pairs are built once, which gives the same rows."""
+    from rushcart.functions import similar
+    from rushcart.sources import folders
+
+    rng = random.Random(4)
+    inter = recommend.interactions(lines([(u, u, rng.randrange(30), 1 + u % 3) for u in range(40) for _ in range(9)]))
+    names = []
+    monkeypatch.setattr(similar, "stored", lambda df, name, tasks=1: names.append(name) or folders.stored(df, name, tasks=tasks))
+    low = sorted(map(tuple, recommend.item_similarity(inter, 2, 0.1).collect()))
+    assert low and "met" not in names
+    monkeypatch.setattr(similar, "TAIL_COST", 0)
+    assert sorted(map(tuple, recommend.item_similarity(inter, 2, 0.1).collect())) == low
+    assert "met" in names
