@@ -21,10 +21,11 @@ from rushcart.sources.folders import stored
 # What runs inside tasks travels with its code, so executors need no copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-#: Items of a block at least; there are no more blocks than BLOCKS.
-BLOCK, BLOCKS = 4_096, 1_024
-#: Users that meet a block in one task.
-CHUNK = 20_000
+#: Items of a block at least; there are no more blocks than BLOCKS, so no user is sent more often than that.
+BLOCK, BLOCKS = 4_096, 128
+#: Users that meet a block in one task, and as many as CHUNK_MOST where all cores have a chunk: every chunk
+#: takes a copy of the items, so there are no more chunks than that asks for.
+CHUNK, CHUNK_MOST = 20_000, 200_000
 #: Products that a task holds at a time.
 PRODUCTS = 1 << 20
 _FOUND = "user long, item long, score double"
@@ -87,7 +88,9 @@ def largest_products(
     by_length = ranked(items, [F.desc("length"), F.col("item")], "length")
     dealt = stored(by_length.select(F.expr(f"(rank - 1) div {block}").alias("block"), "item", "features", "length"), "item-blocks")
     longest = [r[1] for r in dealt.groupBy("block").agg(F.max("length")).orderBy("block").collect()]  # BLOCKS at most
-    chunks = max(1, -(-users.count() // chunk))
+    many = users.count()
+    cores = users.sparkSession.sparkContext.defaultParallelism
+    chunks = max(1, -(-many // CHUNK_MOST), min(cores, -(-many // chunk)))
     place = F.pmod(F.xxhash64("user"), F.lit(chunks)).alias("chunk")
     users = stored(users.select("user", "features", _length().alias("length"), place), "users")
     owned = had.select("user", "item").distinct().join(dealt.select("item", "block"), "item")

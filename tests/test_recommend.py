@@ -269,3 +269,13 @@ def test_tails_that_hold_most_pairs_are_not_looked_up(lines, monkeypatch):
     monkeypatch.setattr(similar, "TAIL_COST", 0)
     assert sorted(map(tuple, recommend.item_similarity(inter, 2, 0.1).collect())) == low
     assert "met" in names
+
+
+def test_als_computes_its_interactions_once(lines, monkeypatch):
+    from rushcart.sources import folders
+
+    names = []
+    monkeypatch.setattr(recommend, "stored", lambda df, name, tasks=1: names.append(name) or folders.stored(df, name, tasks=tasks))
+    inter = recommend.interactions(lines([(u, u, (u + i) % 5, 1) for u in range(6) for i in range(2)]))
+    assert recommend.recommend_als(inter, 2, rank=2, max_iter=1).count() == 12
+    assert names == ["interactions"]
