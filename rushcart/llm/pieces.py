@@ -6,8 +6,10 @@ keyed hash decides, so one seed always gives one segmentation. Text is cut befor
 every run of word marks: no piece of the vocabulary reaches across such a border
 (checked when the model is loaded), so pieces of a chunk do not depend on its
 neighbours. The hash is keyed by the document and the place in it, too, so every
-occurrence of a chunk is decided for itself; what has been worked off is used again
-only for occurrences that skip the very same merges.
+occurrence of a chunk is decided for itself. Each chunk has a tree of decisions: a node
+holds the merges that come up when a certain few are skipped, and what they end in. An
+occurrence goes on from the first of them that its own hash skips to the node below, and
+has arrived where it skips none; only merges that really come up are hashed.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ import hashlib
 import heapq
 import re
 from contextlib import contextmanager
-from itertools import islice
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -35,10 +37,10 @@ OWN_MARK = f"!{MARK}"
 KEPT_CHARS = 32
 #: Segmentations that a task keeps, about.
 KEPT_CHUNKS = 300_000
+#: Occurrences that skip more merges are worked off one by one and not kept.
+KEPT_SKIPS = 6
 #: Chunks that are looked up together.
 BLOCK = 150_000
-#: A chunk with more possible merges is not kept: its skips would not fit into 63 bits.
-KEPT_MERGES = 63
 _NONE = np.int32(2**31 - 1)
 #: In a row of pieces: beyond its end, and from where on characters that are no piece stand, downwards.
 _PAST, _UNKNOWN = -3, -10
@@ -65,6 +67,54 @@ def _stir(x):
     return x ^ (x >> 31)
 
 
+class _Grown:
+    """A numpy array that grows at its end."""
+
+    def __init__(self, kind):
+        self.held, self.size = np.zeros(1024, kind), 0
+
+    def add(self, values: np.ndarray) -> None:
+        size = self.size + len(values)
+        if size > len(self.held):
+            self.held = np.concatenate([self.held[: self.size], np.zeros(2 * size - self.size, self.held.dtype)])
+        self.held[self.size : size] = values
+        self.size = size
+
+    @property
+    def all(self) -> np.ndarray:
+        return self.held[: self.size]
+
+
+class _Lists:
+    """Many short lists of numbers, end to end."""
+
+    def __init__(self, kind):
+        self.flat, self.begin, self.count = _Grown(kind), _Grown(np.int64), _Grown(np.int64)
+
+    def add(self, flat: np.ndarray, count: np.ndarray) -> None:
+        self.begin.add(self.flat.size + np.cumsum(count) - count)
+        self.count.add(count)
+        self.flat.add(flat)
+
+
+def _members(begin: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """Where the members of lists stand, one list after the other."""
+    last = np.cumsum(count)
+    return np.arange(int(last[-1]) if len(last) else 0) + np.repeat(begin - last + count, count)
+
+
+def _in_order(owners, flats, counts, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Lists that come in parts, each with its owners, in the order of the owners 0 to n - 1."""
+    owner, flat, count = (np.concatenate(x) for x in (owners, flats, counts))
+    begin, size = np.zeros((2, n), np.int64)
+    begin[owner], size[owner] = np.cumsum(count) - count, count
+    return flat[_members(begin, size)], size
+
+
+def _place(a, b, end) -> np.ndarray:
+    return a.astype(np.uint64) << np.uint64(42) | b.astype(np.uint64) << np.uint64(21) | end.astype(np.uint64)
+
+
 class Pieces:
     """A merge-type SentencePiece vocabulary with byte pieces."""
 
@@ -134,48 +184,41 @@ class Pieces:
         return found
 
     def _forget(self) -> None:
-        mark = np.array([self.bytes[b] for b in MARK.encode()], np.int32).tobytes()
-        self.kept: dict[tuple[str, int], bytes] = {(OWN_MARK, 0): mark}  # by chunk and the merges that are skipped
-        self.merges: dict[str, tuple[int, np.ndarray] | None] = {OWN_MARK: (0, np.zeros(0, np.uint64))}
-
-    def _merges(self, chunk: str) -> tuple[int, np.ndarray] | None:
-        """A chunk's part of the key, and all merges that may come up in it; none for one that is not kept."""
-        size = len(chunk)
-        if size > KEPT_CHARS:
-            return None
-        places, made = [], {(at, at + 1) for at in range(size)}
-        for length in range(2, size + 1) if self.limit else ():
-            for a in range(size - length + 1):
-                end = a + length
-                if chunk[a:end] in self.ids:
-                    found = [a << 42 | b << 21 | end for b in range(a + 1, end) if (a, b) in made and (b, end) in made]
-                    if found:
-                        made.add((a, end))
-                        places += found
-        if len(places) > KEPT_MERGES:
-            return None
-        return sum((ord(char) + 1) * _POWERS[j] for j, char in enumerate(chunk)) & _MIX, _stir(np.array(places, np.uint64))
-
-    def _skips(self, merges: list[tuple[int, np.ndarray] | None], which: np.ndarray, variants: np.ndarray) -> list[int]:
-        """Of each occurrence, the merges that are skipped in it, as bits; -1 where it is not kept."""
-        out = np.zeros(len(which), np.int64)
-        if not self.limit:
-            out[np.array([m is None for m in merges])[which]] = -1
-            return out.tolist()
-        total = np.array([m[0] if m else 0 for m in merges], np.uint64)
-        count = np.array([len(m[1]) if m else 0 for m in merges])
-        flat = np.concatenate([m[1] for m in merges if m] or [np.zeros(0, np.uint64)])
-        begin = (np.cumsum(count) - count)[which]
-        keys = _stir(_stir(np.uint64(self.seed * 0x9E3779B97F4A7C15 & _MIX) + variants) + total[which])
-        size = count[which]
-        some = np.flatnonzero(size)
-        if len(some):
-            first = np.cumsum(size) - size
-            bit = np.arange(int(size.sum())) - np.repeat(first, size)
-            hashed = _stir(np.repeat(keys, size) ^ flat[bit + np.repeat(begin, size)])
-            out[some] = np.add.reduceat((hashed < np.uint64(self.limit)).astype(np.int64) << bit, first[some])
-        out[np.array([m is None for m in merges])[which]] = -1
-        return out.tolist()
+        self.roots: dict[str, int] = {}  # the node of each chunk where nothing is skipped
+        self.words: list[str] = []
+        self.word, self.total = _Grown(np.int64), _Grown(np.uint64)  # a node's chunk, and that chunk's part of the key
+        self.above, self.skip = _Grown(np.int64), _Grown(np.uint64)  # the node above, and the merge skipped on the way from there
+        self.ways, self.ends = _Lists(np.uint64), _Lists(np.int32)  # the merges that come up, and the ids in the end
+        self.turns, self.lead = np.zeros(0, np.int64), np.zeros(0, np.int64)  # sorted: node and merge skipped; the node below
+        self.roots[OWN_MARK] = 0  # goes as bytes, whatever is skipped
+        self.words.append(OWN_MARK)
+        own = [self.bytes[b] for b in MARK.encode()]
+        self._keep([0], [0], [-1], [0], [], [0], own, [len(own)])
+
+    def _keep(self, word, total, above, skip, way, steps, ids, count) -> None:
+        for held, values in ((self.word, word), (self.total, total), (self.above, above), (self.skip, skip)):
+            held.add(values)
+        self.ways.add(way, steps)
+        self.ends.add(ids, count)
+
+    def _grow(self, new: list[str], above: np.ndarray | None = None, skip: np.ndarray | None = None) -> np.ndarray:
+        """Adds the roots of new chunks, or else the nodes below others; their numbers."""
+        begin = self.word.size
+        if above is None:
+            word = np.arange(len(self.words), len(self.words) + len(new))
+            self.roots |= dict(zip(new, range(begin, begin + len(new))))
+            self.words += new
+            above, skip = np.full(len(new), -1), np.zeros(len(new), np.uint64)
+        else:
+            word = self.word.all[above]
+        skipped, at = np.zeros((len(word), KEPT_SKIPS), np.uint64), above
+        skipped[:, 0] = skip
+        for column in range(1, KEPT_SKIPS):
+            skipped[:, column] = np.where(at >= 0, self.skip.all[at], np.uint64(0))
+            at = np.where(at >= 0, self.above.all[at], -1)
+        ids, count, way, steps, total = self._learn([self.words[i] for i in word.tolist()], skipped=skipped)
+        self._keep(word, total, above, skip, way, steps, ids, count)
+        return np.arange(begin, begin + len(word))
 
     def _key(self, chunk: str, variant: int) -> int:
         total = sum((ord(char) + 1) * _POWERS[j] for j, char in enumerate(chunk))
@@ -211,7 +254,7 @@ class Pieces:
             at = ends[at]
         return ids
 
-    def _offer(self, agenda, pieces, after, keys, row, a, b) -> None:
+    def _offer(self, agenda, pieces, after, keys, skipped, row, a, b) -> None:
         """Puts the rank of merging the pieces that begin at ``a`` and ``b`` of the given rows on
         the agenda, _NONE where there is no such merge or it is skipped."""
         made = self._made(pieces[row, a], pieces[row, b])
@@ -220,14 +263,27 @@ class Pieces:
         ranks[can] = self.rank[made[can]]
         if self.limit:
             row_, a_, b_ = row[can], a[can], b[can]
-            place = a_.astype(np.uint64) << np.uint64(42) | b_.astype(np.uint64) << np.uint64(21) | after[row_, b_].astype(np.uint64)
-            ranks[can[_stir(keys[row_] ^ _stir(place)) < np.uint64(self.limit)]] = _NONE
+            place = _stir(_place(a_, b_, after[row_, b_]))
+            if skipped is None:
+                out = _stir(keys[row_] ^ place) < np.uint64(self.limit)
+            else:
+                out = (skipped[row_] == place[:, None]).any(axis=1)
+            ranks[can[out]] = _NONE
         agenda[row, a] = ranks
 
     def chunks(self, chunks: list[str], variants: list[int]) -> list[bytes]:
-        """The same for many chunks at once: in every round each row takes the best merge of its agenda.
+        """The same for many chunks at once."""
+        ids, count, *_ = self._rounds(chunks, np.array(variants, np.uint64), None)
+        flat, cut = ids.tobytes(), np.cumsum(4 * count).tolist()
+        return [flat[a:b] for a, b in zip([0, *cut], cut)]
+
+    def _rounds(self, chunks: list[str], variants: np.ndarray | None, skipped: np.ndarray | None):
+        """Many chunks at once: in every round each row takes the best merge of its agenda. What is skipped,
+        the variants' hashes say, or else the given lists of (stirred) merges.
 
         A row holds its pieces where they begin, and for each the beginnings before and after.
+        Returned end to end are ids and their number per chunk, the (stirred) merges in their order and
+        theirs, and the chunks' parts of the key.
         """
         sizes = np.array([len(c) for c in chunks])
         size = int(sizes.max())
@@ -241,19 +297,19 @@ class Pieces:
         places = np.array([_POWERS[j] for j in range(size)], np.uint64)
         weighed = np.zeros(inside.shape, np.uint64)
         weighed[inside] = joined.astype(np.uint64) + np.uint64(1)
-        keys = _stir(np.uint64(self.seed * 0x9E3779B97F4A7C15 & _MIX) + np.array(variants, np.uint64))
-        keys = _stir(keys + (weighed * places).sum(axis=1))
-        unknown = np.flatnonzero((pieces <= _UNKNOWN).any(axis=1))
+        total = (weighed * places).sum(axis=1)
+        keys = total if variants is None else self._keys(variants, total)
+        skipped_ = np.zeros((len(chunks), 0), np.uint64) if skipped is None else skipped
         after = np.broadcast_to(np.arange(1, size + 1, dtype=np.int32), inside.shape).copy()
         before = np.broadcast_to(np.arange(-1, size - 1, dtype=np.int32), inside.shape).copy()
         agenda = np.full(pieces.shape, _NONE)
         row, at = np.nonzero(inside[:, 1:])
-        self._offer(agenda, pieces, after, keys, row, at, at + 1)
+        self._offer(agenda, pieces, after, keys, skipped, row, at, at + 1)
         rows = np.arange(len(chunks))  # all that goes on is kept together in the arrays below
-        out: list[bytes] = [b""] * len(chunks)
-        state = [rows, pieces, after, before, keys, agenda, sizes]
+        done_rows, done_ids, done_count, taken_rows, taken = [], [], [], [], []
+        state = [rows, pieces, after, before, keys, skipped_, agenda, sizes]
         while len(state[0]):
-            rows, pieces, after, before, keys, agenda, ends = state
+            rows, pieces, after, before, keys, skipped_, agenda, ends = state
             best = agenda.argmin(axis=1)
             lane = np.arange(len(rows))
             rank = agenda[lane, best]
@@ -262,50 +318,69 @@ class Pieces:
                 over = rank == _NONE
                 done = pieces[over]
                 real = done != _PAST
-                flat, cut = done[real].tobytes(), np.cumsum(4 * real.sum(axis=1)).tolist()
-                for i, a, b in zip(rows[over].tolist(), [0, *cut], cut):
-                    out[i] = flat[a:b]
+                done_rows.append(rows[over])
+                done_ids.append(done[real])
+                done_count.append(real.sum(axis=1))
                 state = [x[~over] for x in state]
                 continue
             a = best[lane]
             b = after[lane, a]
             c, d = after[lane, b], before[lane, a]
+            if skipped is not None:
+                taken_rows.append(rows[lane])
+                taken.append(_place(a, b, c))
             pieces[lane, a], pieces[lane, b] = self.ranked[rank[lane]], _PAST
             after[lane, a] = c
             agenda[lane, a] = agenda[lane, b] = _NONE
             right, left = np.flatnonzero(c < ends[lane]), np.flatnonzero(d >= 0)
             before[lane[right], c[right]] = a[right]
             self._offer(
-                agenda, pieces, after, keys,
+                agenda, pieces, after, keys, None if skipped is None else skipped_,
                 np.concatenate([lane[right], lane[left]]),
                 np.concatenate([a[right], d[left]]),
                 np.concatenate([c[right], a[left]]),
             )
-        for i in unknown.tolist():
-            ids = []
-            for x in np.frombuffer(out[i], np.int32).tolist():
-                ids += [x] if x >= 0 else [self.bytes[b] for b in chr(_UNKNOWN - x).encode("utf-8", "surrogatepass")]
-            out[i] = np.array(ids, np.int32).tobytes()
-        return out
-
-    def _learn(self, pairs: list[tuple[int, str]]) -> list[bytes]:
-        """Ids of (variant, chunk) pairs, rows of like length together."""
-        sizes = np.fromiter((len(c) for _, c in pairs), np.int64, len(pairs))
+        ids, count = self._as_bytes(*_in_order(done_rows, done_ids, done_count, len(chunks)))
+        none = np.zeros(0, np.uint64)
+        owner = np.concatenate([*taken_rows, none.astype(np.int64)])
+        way = _stir(np.concatenate([*taken, none])[np.argsort(owner, kind="stable")])
+        return ids, count, way, np.bincount(owner, minlength=len(chunks)), total
+
+    def _as_bytes(self, ids: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """What ended as no piece goes as bytes."""
+        unknown = np.flatnonzero(ids <= _UNKNOWN)
+        if not len(unknown):
+            return ids, count
+        chars, which = np.unique(ids[unknown], return_inverse=True)
+        coded = [chr(_UNKNOWN - c).encode("utf-8", "surrogatepass") for c in chars.tolist()]
+        width = np.ones(len(ids), np.int64)
+        width[unknown] = np.array([len(x) for x in coded])[which]
+        begin = np.cumsum(width) - width
+        wide = np.repeat(ids, width)
+        for n in range(4):
+            has = np.array([len(x) > n for x in coded])[which]
+            wide[begin[unknown[has]] + n] = np.array([self.bytes[x[n]] if len(x) > n else 0 for x in coded], np.int32)[which[has]]
+        owner = np.repeat(np.arange(len(count)), count)
+        return wide, np.bincount(owner, weights=width, minlength=len(count)).astype(np.int64)
+
+    def _learn(self, chunks: list[str], variants: np.ndarray | None = None, skipped: np.ndarray | None = None):
+        """What _rounds gives, from rows of like length together."""
+        sizes = np.fromiter(map(len, chunks), np.int64, len(chunks))
         order = np.argsort(sizes, kind="stable")
-        sizes = sizes[order]
-        kept = int(np.searchsorted(sizes, KEPT_CHARS, side="right"))
-        out: list[bytes] = [b""] * len(pairs)
-        for i in order[kept:].tolist():
-            out[i] = np.array(self.chunk(pairs[i][1], pairs[i][0]), np.int32).tobytes()
-        a = 0
-        while a < kept:
-            b = min(int(np.searchsorted(sizes, max(4, sizes[a] * 4 // 3), side="right")), kept)
-            own = order[a:b].tolist()
-            variants, chunks = zip(*[pairs[i] for i in own])
-            for i, ids in zip(own, self.chunks(chunks, variants)):
-                out[i] = ids
+        sizes, a, parts = sizes[order], 0, []
+        while a < len(order):
+            b = int(np.searchsorted(sizes, max(4, sizes[a] * 4 // 3), side="right"))
+            own = order[a:b]
+            keyed = None if variants is None else variants[own], None if skipped is None else skipped[own]
+            parts.append((own, *self._rounds([chunks[i] for i in own.tolist()], *keyed)))
             a = b
-        return out
+        own, ids, count, way, steps, total = zip(*parts)
+        sums = np.empty(len(chunks), np.uint64)
+        sums[np.concatenate(own)] = np.concatenate(total)
+        return *_in_order(own, ids, count, len(chunks)), *_in_order(own, way, steps, len(chunks)), sums
+
+    def _keys(self, variants: np.ndarray, total: np.ndarray) -> np.ndarray:
+        return _stir(_stir(np.uint64(self.seed * 0x9E3779B97F4A7C15 & _MIX) + variants) + total)
 
     def _places(self, document: int, first: int, count: int) -> np.ndarray:
         """What keys the skips at ``count`` places of a document, from its place ``first``."""
@@ -316,7 +391,7 @@ class Pieces:
 
     def encode_all(self, rows: list[str], documents: list[int]) -> list[np.ndarray]:
         """Ids of whole texts. A word mark that a text itself holds goes as bytes, so nothing is lost."""
-        out: list[list[bytes]] = [[] for _ in rows]
+        out: list[list[np.ndarray]] = [[] for _ in rows]
         block: list[tuple[int, np.ndarray, list[str]]] = []
         waiting = 0
         for row, text in enumerate(rows):
@@ -328,44 +403,71 @@ class Pieces:
                     self._flush(block, out)
                     block, waiting = [], 0
         self._flush(block, out)
-        return [np.frombuffer(b"".join(parts), np.int32) for parts in out]
+        return [np.concatenate([np.zeros(0, np.int32), *parts]) for parts in out]
 
     def _flush(self, block, out) -> None:
         if not block:
             return
-        if len(self.kept) > KEPT_CHUNKS or len(self.merges) > KEPT_CHUNKS:
+        if self.word.size > KEPT_CHUNKS:
             self._forget()
-        numbers: dict[str, int] = {}
-        which = np.array([numbers.setdefault(c, len(numbers)) for _, _, chunks in block for c in chunks], np.int64)
-        merges = []
-        for c in numbers:
-            if c not in self.merges:
-                self.merges[c] = self._merges(c)
-            merges.append(self.merges[c])
+        chunks = list(chain.from_iterable(own for _, _, own in block))
         variants = np.concatenate([places for _, places, _ in block])
-        skips, get, at = self._skips(merges, which, variants), self.kept.get, 0
-        missing: dict[tuple[str, int], int] = {}  # what is not kept, numbered
-        first: list[tuple[int, str]] = []
-        found = []
-        for _, places, chunks in block:
-            keys = list(zip(chunks, skips[at : at + len(chunks)]))
-            ids, open_ = [get(k) for k in keys], []
-            for i, x in enumerate(ids):
-                if x is None:
-                    key = keys[i] if keys[i][1] >= 0 else (chunks[i], -1 - int(places[i]))
-                    if (number := missing.setdefault(key, len(missing))) == len(first):
-                        first.append((int(places[i]), chunks[i]))
-                    open_.append((i, number))
-            found.append((ids, open_))
-            at += len(chunks)
-        learned = self._learn(first)
-        for key, ids in zip(missing, learned):
-            if key[1] >= 0:
-                self.kept[key] = ids
-        for (ids, open_), (row, _, _) in zip(found, block):
-            for i, number in open_:
-                ids[i] = learned[number]
-            out[row].append(b"".join(ids))
+        node = self._arrive(chunks, variants)
+        held, count, begin = self.ends.flat.all, self.ends.count.all[node], self.ends.begin.all[node]
+        if len(alone := np.flatnonzero(node < 0)):
+            ids, count[alone] = self._alone([chunks[i] for i in alone.tolist()], variants[alone])
+            begin[alone] = len(held) + np.cumsum(count[alone]) - count[alone]
+            held = np.concatenate([held, ids])
+        flat, cut, at = held[_members(begin, count)], [0, *np.cumsum(count).tolist()], 0
+        for row, _, own in block:
+            out[row].append(flat[cut[at] : cut[at + len(own)]])
+            at += len(own)
+
+    def _arrive(self, chunks: list[str], variants: np.ndarray) -> np.ndarray:
+        """The node in which each occurrence skips no more; -1 for one that is to be worked off alone."""
+        get = self.roots.get
+        node = np.array([get(c, -1) for c in chunks], np.int64)
+        open_ = np.flatnonzero(node < 0).tolist()
+        if new := list(dict.fromkeys(c for i in open_ if len(c := chunks[i]) <= KEPT_CHARS)):
+            self._grow(new)
+            node[open_] = [get(chunks[i], -1) for i in open_]
+        live = np.flatnonzero(node >= 0) if self.limit else np.zeros(0, np.int64)
+        keys = self._keys(variants[live], self.total.all[node[live]])
+        for skips in range(KEPT_SKIPS + 1):
+            count = self.ways.count.all[node[live]]
+            way = self.ways.flat.all[_members(self.ways.begin.all[node[live]], count)]
+            hit = np.flatnonzero(_stir(np.repeat(keys, count) ^ way) < np.uint64(self.limit))
+            owner = np.repeat(np.arange(len(live)), count)[hit]
+            first = np.flatnonzero(np.diff(owner, prepend=-1))
+            owner, hit = owner[first], hit[first]
+            step = hit - (np.cumsum(count) - count)[owner]
+            live, keys = live[owner], keys[owner]
+            if not len(live):
+                break
+            node[live] = self._below(node[live], step, way[hit]) if skips < KEPT_SKIPS else -1
+        return node
+
+    def _below(self, node: np.ndarray, step: np.ndarray, skip: np.ndarray) -> np.ndarray:
+        """The nodes to which skipping the given merges leads."""
+        key = node * KEPT_CHARS + step
+        at = np.searchsorted(self.turns, key)
+        open_ = np.flatnonzero(np.append(self.turns, -1)[at] != key)
+        if len(open_):
+            missing, first = np.unique(key[open_], return_index=True)
+            numbers = self._grow([], node[open_[first]], skip[open_[first]])
+            turns = np.concatenate([self.turns, missing])
+            order = np.argsort(turns, kind="stable")
+            self.turns, self.lead = turns[order], np.concatenate([self.lead, numbers])[order]
+        return self.lead[np.searchsorted(self.turns, key)]
+
+    def _alone(self, chunks: list[str], variants: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids, end to end, and their numbers of chunks that are not kept."""
+        sizes = np.array([len(c) for c in chunks])
+        short, long = np.flatnonzero(sizes <= KEPT_CHARS), np.flatnonzero(sizes > KEPT_CHARS).tolist()
+        parts = [([i], np.array(ids, np.int32), [len(ids)]) for i in long for ids in [self.chunk(chunks[i], int(variants[i]))]]
+        if len(short):
+            parts.append((short, *self._learn([chunks[i] for i in short.tolist()], variants[short])[:2]))
+        return _in_order(*zip(*parts), len(chunks))
 
     def encode(self, text: str, document: int = 0) -> list[int]:
         return self.encode_all([text], [document])[0].tolist()

@@ -78,3 +78,25 @@ def test_tables(docs):
     assert rows_of(digests, "doc_id", "text_sha256") == rows_of(sha, "doc_id", "text_sha256")
     assert rows_of(digests.where("doc_id = 1"), "n_pieces") == [(0,)]
     assert encode_pieces(docs([])).count() == 0 and piece_digests(docs([])).count() == 0
+
+
+def test_only_merges_that_come_up_are_hashed(monkeypatch):
+    """Far fewer merges come up than are possible."""
+    hashed, real = [], pieces._stir
+    model = Pieces(dropout=0.1, seed=4)
+    model.encode(" ".join(["appreciation"] * 4000), 11)
+    monkeypatch.setattr(pieces, "_stir", lambda x: hashed.append(np.size(x)) or real(x))
+    text = " ".join(["appreciation"] * 4000)
+    ids = model.encode(text, 12)
+    assert sum(hashed) < 4000 * 40
+    monkeypatch.undo()
+    assert ids == [i for v in model._places(12, 0, 4000) for i in model.chunk("▁appreciation", int(v))]
+
+
+def test_occurrences_that_skip_more_than_is_kept_are_worked_off_alone(monkeypatch):
+    text = prose(400, 3)
+    whole = Pieces(dropout=0.5, seed=2).encode(text, 5)
+    monkeypatch.setattr(pieces, "KEPT_SKIPS", 1)
+    model = Pieces(dropout=0.5, seed=2)
+    assert model.encode(text, 5) == whole and (model.above.all[model.above.all >= 0] == 0).sum() == 0
+    assert set(model.above.all[model.above.all >= 0]) <= set(np.flatnonzero(model.above.all < 0))
