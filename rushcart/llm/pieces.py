@@ -209,13 +209,13 @@ class Pieces:
             self.roots |= dict(zip(new, range(begin, begin + len(new))))
             self.words += new
             above, skip = np.full(len(new), -1), np.zeros(len(new), np.uint64)
+            skipped = np.zeros((len(new), 0), np.uint64)
         else:
-            word = self.word.all[above]
-        skipped, at = np.zeros((len(word), KEPT_SKIPS), np.uint64), above
-        skipped[:, 0] = skip
-        for column in range(1, KEPT_SKIPS):
-            skipped[:, column] = np.where(at >= 0, self.skip.all[at], np.uint64(0))
-            at = np.where(at >= 0, self.above.all[at], -1)
+            word, columns, at = self.word.all[above], [skip], above
+            while ((up := self.above.all[at]) >= 0).any():
+                columns.append(self.skip.all[at])
+                at = np.where(up >= 0, up, at)  # a root stays, where nothing is skipped
+            skipped = np.stack(columns, axis=1)
         ids, count, way, steps, total = self._learn([self.words[i] for i in word.tolist()], skipped=skipped)
         self._keep(word, total, above, skip, way, steps, ids, count)
         return np.arange(begin, begin + len(word))
@@ -254,22 +254,24 @@ class Pieces:
             at = ends[at]
         return ids
 
-    def _offer(self, agenda, pieces, after, keys, skipped, row, a, b) -> None:
+    def _offer(self, agenda, pieces, after, keys, skipped, size, row, a, b) -> None:
         """Puts the rank of merging the pieces that begin at ``a`` and ``b`` of the given rows on
         the agenda, _NONE where there is no such merge or it is skipped."""
-        made = self._made(pieces[row, a], pieces[row, b])
+        begin = row * size
+        left, right = begin + a, begin + b
+        made = self._made(pieces.take(left), pieces.take(right))
         ranks = np.full(len(row), _NONE)
         can = np.flatnonzero(made >= 0)
-        ranks[can] = self.rank[made[can]]
-        if self.limit:
-            row_, a_, b_ = row[can], a[can], b[can]
-            place = _stir(_place(a_, b_, after[row_, b_]))
+        ranks[can] = self.rank.take(made.take(can))
+        if self.limit and (skipped is None or skipped.shape[1]):
+            row = row.take(can)
+            place = _stir(_place(a.take(can), b.take(can), after.take(right.take(can))))
             if skipped is None:
-                out = _stir(keys[row_] ^ place) < np.uint64(self.limit)
+                out = _stir(keys.take(row) ^ place) < np.uint64(self.limit)
             else:
-                out = (skipped[row_] == place[:, None]).any(axis=1)
+                out = (skipped.take(row, axis=0) == place[:, None]).any(axis=1)
             ranks[can[out]] = _NONE
-        agenda[row, a] = ranks
+        agenda[left] = ranks
 
     def chunks(self, chunks: list[str], variants: list[int]) -> list[bytes]:
         """The same for many chunks at once."""
@@ -304,15 +306,16 @@ class Pieces:
         before = np.broadcast_to(np.arange(-1, size - 1, dtype=np.int32), inside.shape).copy()
         agenda = np.full(pieces.shape, _NONE)
         row, at = np.nonzero(inside[:, 1:])
-        self._offer(agenda, pieces, after, keys, skipped, row, at, at + 1)
+        self._offer(agenda.reshape(-1), pieces.reshape(-1), after.reshape(-1), keys, skipped, size, row, at, at + 1)
         rows = np.arange(len(chunks))  # all that goes on is kept together in the arrays below
         done_rows, done_ids, done_count, taken_rows, taken = [], [], [], [], []
         state = [rows, pieces, after, before, keys, skipped_, agenda, sizes]
         while len(state[0]):
             rows, pieces, after, before, keys, skipped_, agenda, ends = state
             best = agenda.argmin(axis=1)
-            lane = np.arange(len(rows))
-            rank = agenda[lane, best]
+            begin = np.arange(len(rows)) * size
+            flat, flat_after, flat_before, flat_agenda = (x.reshape(-1) for x in (pieces, after, before, agenda))
+            rank = flat_agenda.take(begin + best)
             lane = np.flatnonzero(rank != _NONE)
             if len(lane) < 0.7 * len(rows) or not len(lane):
                 over = rank == _NONE
@@ -321,24 +324,26 @@ class Pieces:
                 done_rows.append(rows[over])
                 done_ids.append(done[real])
                 done_count.append(real.sum(axis=1))
-                state = [x[~over] for x in state]
+                state = [x.take(lane, axis=0) for x in state]
                 continue
-            a = best[lane]
-            b = after[lane, a]
-            c, d = after[lane, b], before[lane, a]
-            if skipped is not None:
-                taken_rows.append(rows[lane])
+            begin, a = begin.take(lane), best.take(lane)
+            at = begin + a
+            b = flat_after.take(at)
+            to = begin + b
+            c, d = flat_after.take(to), flat_before.take(at)
+            if skipped is not None and self.limit:
+                taken_rows.append(rows.take(lane))
                 taken.append(_place(a, b, c))
-            pieces[lane, a], pieces[lane, b] = self.ranked[rank[lane]], _PAST
-            after[lane, a] = c
-            agenda[lane, a] = agenda[lane, b] = _NONE
-            right, left = np.flatnonzero(c < ends[lane]), np.flatnonzero(d >= 0)
-            before[lane[right], c[right]] = a[right]
+            flat[at], flat[to] = self.ranked.take(rank.take(lane)), _PAST
+            flat_after[at] = c
+            flat_agenda[at] = flat_agenda[to] = _NONE
+            right, left = np.flatnonzero(c < ends.take(lane)), np.flatnonzero(d >= 0)
+            flat_before[(begin + c).take(right)] = a.take(right)
             self._offer(
-                agenda, pieces, after, keys, None if skipped is None else skipped_,
-                np.concatenate([lane[right], lane[left]]),
-                np.concatenate([a[right], d[left]]),
-                np.concatenate([c[right], a[left]]),
+                flat_agenda, flat, flat_after, keys, None if skipped is None else skipped_, size,
+                lane.take(np.concatenate([right, left])),
+                np.concatenate([a.take(right), d.take(left)]),
+                np.concatenate([c.take(right), a.take(left)]),
             )
         ids, count = self._as_bytes(*_in_order(done_rows, done_ids, done_count, len(chunks)))
         none = np.zeros(0, np.uint64)
