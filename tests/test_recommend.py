@@ -279,3 +279,37 @@ def test_als_computes_its_interactions_once(lines, monkeypatch):
     inter = recommend.interactions(lines([(u, u, (u + i) % 5, 1) for u in range(6) for i in range(2)]))
     assert recommend.recommend_als(inter, 2, rank=2, max_iter=1).count() == 12
     assert names == ["interactions"]
+
+
+def test_the_first_block_stays_small_however_many_items_there_are(spark, monkeypatch):
+    """All users meet the first block, so it must not grow with the items; later ones do, and stay few."""
+    blocks = []
+
+    def watched(df, name):
+        out = stored(df, name)
+        blocks.extend([out] * (name == "item-blocks"))
+        return out
+
+    monkeypatch.setattr(products_module, "stored", watched)
+    monkeypatch.setattr(products_module, "BLOCKS", 4)
+    users = [(u, [1.0, u % 3 - 1.0]) for u in range(20)]
+    items = [(i, [float(i % 7), float(i % 5 - 2)]) for i in range(400)]
+    frames = [spark.createDataFrame(rows, f"{name} long, features array<float>") for rows, name in ((users, "user"), (items, "item"))]
+    got = largest_products(*frames, spark.createDataFrame([], "user long, item long"), 3, block=10)
+    assert tuples(got, "user", "item", "score", "rank") == products(users, items, set(), 3)
+    sizes = [r["count"] for r in blocks[0].groupBy("block").count().orderBy("block").collect()]
+    assert sizes[:4] == [10, 20, 40, 80] and sum(sizes) == 400 and len(sizes) <= 7
+
+
+def test_stretches_of_a_block_are_exact(spark):
+    """One block of several stretches, with ties across them and users who had the longest items."""
+    rng = random.Random(8)
+    vector = lambda size: [float(rng.randrange(-3, 4) * size) for _ in range(3)]
+    users = [(u, vector(u % 4)) for u in range(25)]
+    items = [(i, vector(rng.choice([1, 2, 3]))) for i in range(1_400)]
+    had = {(u, i) for u in range(25) for i in range(1_400) if rng.random() < 0.1 * (u % 3)}
+    frames = [spark.createDataFrame(rows, f"{name} long, features array<float>") for rows, name in ((users, "user"), (items, "item"))]
+    owned = spark.createDataFrame(sorted(had), "user long, item long")
+    for n in (4, 70):
+        got = largest_products(*frames, owned.unionByName(owned), n)
+        assert tuples(got, "user", "item", "score", "rank") == [(u, i, float(s) + 0.0, r) for u, i, s, r in products(users, items, had, n)]
