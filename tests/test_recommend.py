@@ -7,7 +7,8 @@ import pytest
 from conftest import plan, tuples
 from pyspark.sql import functions as F
 
-from rushcart.functions import products as products_module
+from rushcart.functions import pairs as pairs_module, products as products_module
+from rushcart.functions.pairs import meet
 from rushcart.functions.products import largest_products
 from rushcart.functions.similar import tail_members
 from rushcart.operators import recommend
@@ -313,3 +314,45 @@ def test_stretches_of_a_block_are_exact(spark):
     for n in (4, 70):
         got = largest_products(*frames, owned.unionByName(owned), n)
         assert tuples(got, "user", "item", "score", "rank") == [(u, i, float(s) + 0.0, r) for u, i, s, r in products(users, items, had, n)]
+
+
+def met_by_hand(rows):
+    groups, n, dot = {}, Counter(), Counter()
+    for grp, item, w in rows:
+        groups.setdefault(grp, {})[item] = w
+    for items in groups.values():
+        for a, b in combinations(sorted(items), 2):
+            n[a, b] += 1
+            dot[a, b] += items[a] * items[b]
+    return sorted(((a, b, n[a, b], float(dot[a, b])) for a, b in n), key=repr)
+
+
+@pytest.mark.parametrize("weight, first", [(1.0, 0), (300.0, -5), (70_000.0, 2**31 - 3), (-0.5, 2**40), (2.0**40, 0)])
+def test_pairs_are_built_where_they_are_added_up(spark, weight, first):
+    """Lists of items travel, in types as small as the values allow; pairs do not."""
+    rows = [(g, first + i, weight * (1 + (g + i) % 3)) for g in range(12) for i in range(20) if (g * i) % 4 != 1]
+    members = spark.createDataFrame(rows, "grp long, item long, w double")
+    met = meet(members, members, ["grp"], F.lit(1), 6)
+    assert "Exchange" not in plan(met).split("Generate")[0]
+    assert tuples(met, "a", "b", "n", "dot") == met_by_hand(rows)
+    assert met.schema["b"].dataType == members.schema["item"].dataType
+
+
+def test_pairs_of_a_hot_item_are_dealt_to_several_tasks(spark, monkeypatch):
+    from rushcart.sources import folders
+
+    rows = [(g, i, 1.0) for g in range(40) for i in {0, *(1 + (g * k) % 30 for k in range(6))}]
+    members = spark.createDataFrame(rows, "grp long, item long, w double")
+    monkeypatch.setattr(folders, "TASK_ROWS", 50)
+    hot = {r["a"]: r["_slices"] for r in pairs_module._hot_items(members, ["grp"]).collect()}
+    assert hot[0] >= 4 and min(hot.values()) > 1
+    met = meet(members, members, ["grp"], F.lit(1), 16)
+    assert tuples(met, "a", "b", "n", "dot") == met_by_hand(rows)
+    parts = met.where("a = 0").select(F.spark_partition_id().alias("p")).distinct().count()
+    assert parts > 1
+
+
+def test_null_items_and_groups_meet_nothing(spark):
+    rows = [(1, 5, 2.0), (1, 6, None), (1, None, 1.0), (None, 5, 1.0), (None, 6, 1.0), (2, 5, 3.0), (2, 6, 4.0)]
+    members = spark.createDataFrame(rows, "grp long, item long, w double")
+    assert tuples(meet(members, members, ["grp"], F.lit(1), 2), "a", "b", "n", "dot") == [(5, 6, 2, 12.0)]
