@@ -327,7 +327,7 @@ def met_by_hand(rows):
     return sorted(((a, b, n[a, b], float(dot[a, b])) for a, b in n), key=repr)
 
 
-@pytest.mark.parametrize("weight, first", [(1.0, 0), (300.0, -5), (70_000.0, 2**31 - 3), (-0.5, 2**40), (2.0**40, 0)])
+@pytest.mark.parametrize("weight, first", [(1.0, 0), (300.0, -5), (1.0, 2**15 - 4), (-1.0, -(2**16) - 3), (70_000.0, 2**23 - 4), (1.0, 2**31 - 3), (-0.5, 2**40), (2.0**40, 0)])
 def test_pairs_are_built_where_they_are_added_up(spark, weight, first):
     """Lists of items travel, in types as small as the values allow; pairs do not."""
     rows = [(g, first + i, weight * (1 + (g + i) % 3)) for g in range(12) for i in range(20) if (g * i) % 4 != 1]
